@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.functions.vocabulary import DEFAULT_LABELS
-from labelloom.operators.sizing import MAX_BROADCAST_ROWS
+from labelloom.operators.sizing import broadcast_rows
 from labelloom.schema import LABEL_DIM
 
 
@@ -21,7 +21,7 @@ def label_dim(spark: SparkSession, labels: Sequence[str] = DEFAULT_LABELS) -> Da
     if len(set(names)) != len(names):
         raise ValueError("label names must be unique")
     dim = spark.createDataFrame(list(enumerate(names)), LABEL_DIM).coalesce(1)
-    return F.broadcast(dim) if len(names) <= MAX_BROADCAST_ROWS else dim
+    return broadcast_rows(dim, len(names))
 
 
 def label_maps(labels: Sequence[str] = DEFAULT_LABELS) -> tuple[dict[str, int], dict[int, str]]:
@@ -32,7 +32,7 @@ def label_maps(labels: Sequence[str] = DEFAULT_LABELS) -> tuple[dict[str, int],
 def dim_from_map(spark: SparkSession, label2id: Mapping[str, int]) -> DataFrame:
     rows = sorted((int(i), str(n)) for n, i in label2id.items())
     dim = spark.createDataFrame(rows, LABEL_DIM).coalesce(1)
-    return F.broadcast(dim) if len(rows) <= MAX_BROADCAST_ROWS else dim
+    return broadcast_rows(dim, len(rows))
 
 
 def encode_labels(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.arrays import argmax, cross_entropy
 from labelloom.operators.ranking import nth_smallest
+from labelloom.storage import cut_lineage
 
 # The names under which the metrics are reported.
 METRIC_NAMES = (
@@ -119,23 +120,25 @@ def evaluate_splits(
 ) -> DataFrame:
     """``(phase, split, metric, value)`` for the named splits, which must exist.
 
-    All phases and splits share one aggregation; only a row limit per split
-    needs a look at each split first.
+    All phases and splits share one pass and one aggregation. Its result, at
+    most one row per pair of classes, is materialised: the check for absent
+    splits and the metrics read that, not the predictions.
     """
-    for name in splits:
-        if predictions.where(F.col("split") == name).isEmpty():
-            raise KeyError(f"Split {name!r} not found in predictions.")
-    if max_eval_samples is None:
-        wanted = predictions.where(F.col("split").isin(list(splits)))
-    else:
+    wanted = predictions.where(F.col("split").isin(list(splits)))
+    if max_eval_samples is not None:
         wanted = reduce(
             DataFrame.unionByName,
             [
-                first_rows_per_phase(predictions.where(F.col("split") == name), max_eval_samples, id_col)
-                for name in splits
+                first_rows_per_phase(wanted.where(F.col("split") == s), max_eval_samples, id_col)
+                for s in splits
             ],
         )
-    return metric_table(confusion(wanted, ("phase", "split"), logits_col, label_col))
+    cells = cut_lineage(confusion(wanted, ("phase", "split"), logits_col, label_col))
+    present = {row["split"] for row in cells.select("split").distinct().collect()}
+    for name in splits:
+        if name not in present:
+            raise KeyError(f"Split {name!r} not found in predictions.")
+    return metric_table(cells)
 
 
 def first_rows_per_phase(df: DataFrame, n: int, id_col: str = "row_id") -> DataFrame:

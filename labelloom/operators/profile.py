@@ -156,47 +156,45 @@ def length_histogram(lengths: DataFrame, bins: int = 40) -> DataFrame:
     whose edges enclose it; the last bin includes its right edge. A constant
     column gets a range of plus and minus one half.
     """
-    per_length = _per_length(lengths)
     by_split = Window.partitionBy("split")
     low, high = F.min("n_words").over(by_split), F.max("n_words").over(by_split)
     half = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-    ranged = per_length.select(
+    ranged = _per_length(lengths).select(
         "split",
         "n",
         F.col("n_words").cast("double").alias("x"),
+        (F.col("n_words") == low).alias("is_first"),
         (low - half).alias("lo"),
         (high + half).alias("hi"),
     )
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    lo, hi, x = F.col("lo"), F.col("hi"), F.col("x")
 
     def edge(k: Column) -> Column:
-        return F.when(k == bins, F.col("hi")).otherwise(k * step + F.col("lo"))
+        return F.when(k == bins, hi).otherwise(k * ((hi - lo) / F.lit(float(bins))) + lo)
 
-    guess = F.least(
-        F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)
-    )
+    # A first guess by division, then moved to the bin whose edges enclose x.
+    guess = F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))
+    down = (x < edge(F.col("k"))).cast("long")
+    up = ((x >= edge(F.col("k") + 1)) & (F.col("k") < bins - 1)).cast("long")
     placed = (
-        ranged.withColumn("guess", guess)
-        .withColumn("guess", F.col("guess") - (F.col("x") < edge(F.col("guess"))).cast("long"))
-        .withColumn(
-            "bin",
-            F.col("guess")
-            + (
-                (F.col("x") >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1)
-            ).cast("long"),
-        )
+        ranged.withColumn("k", guess).withColumn("k", F.col("k") - down).withColumn("k", F.col("k") + up)
     )
-    counted = placed.groupBy("split", "bin").agg(F.sum("n").alias("n_rows"))
-    frame = (
-        placed.groupBy("split")
-        .agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-        .select("split", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("b"))
-        .select("split", "lo", "hi", F.col("b").cast("long").alias("bin"))
+    # The row of the smallest length also brings every bin with a count of 0.
+    own = F.array(F.struct(F.col("k").alias("k"), F.col("n").alias("n")))
+    empty = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")),
+        lambda k: F.struct(k.alias("k"), F.lit(0).cast("long").alias("n")),
     )
-    return frame.join(counted, ["split", "bin"], "left").select(
-        "split",
-        (F.col("bin") + 1).alias("bin"),
-        edge(F.col("bin")).alias("bin_start"),
-        edge(F.col("bin") + 1).alias("bin_end"),
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+    filled = F.when(F.col("is_first"), F.concat(own, empty)).otherwise(own)
+    return (
+        placed.select("split", "lo", "hi", F.inline(filled))
+        .groupBy("split", "lo", "hi", "k")
+        .agg(F.sum("n").alias("n_rows"))
+        .select(
+            "split",
+            (F.col("k") + 1).alias("bin"),
+            edge(F.col("k")).alias("bin_start"),
+            edge(F.col("k") + 1).alias("bin_end"),
+            "n_rows",
+        )
     )

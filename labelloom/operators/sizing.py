@@ -9,6 +9,11 @@ MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def broadcast_rows(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast for a table of narrow rows whose count is known."""
+    return F.broadcast(df) if rows <= max_rows else df
+
+
 def broadcast_if_small(
     df: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelloom.operators.sizing import broadcast_if_small
+from labelloom.operators.sizing import broadcast_if_small, broadcast_rows
 from labelloom.storage import cut_lineage
 
 HASH_DIGITS = 4  # 65,536 buckets per label
@@ -90,7 +90,7 @@ def validation_cutoffs(
     )
     edges = (
         counts.withColumn("upto", running)
-        .join(broadcast_if_small(quotas), label_col)
+        .join(broadcast_rows(quotas, n_classes), label_col)
         .where((F.col("upto") >= F.col("n_val")) & (F.col("upto") - F.col("count") < F.col("n_val")))
         .select(
             label_col,
@@ -98,7 +98,7 @@ def validation_cutoffs(
             (F.col("n_val") - F.col("upto") + F.col("count")).alias("need"),
         )
     )
-    in_edge = hashed.join(broadcast_if_small(edges), [label_col, "bucket"])
+    in_edge = hashed.join(broadcast_rows(edges, n_classes), [label_col, "bucket"])
     place = F.row_number().over(Window.partitionBy(label_col).orderBy("h", id_col))
     cuts = (
         in_edge.withColumn("place", place)
@@ -106,7 +106,8 @@ def validation_cutoffs(
         .select(label_col, F.col("h").alias("cut_hash"), F.col(id_col).alias("cut_id"))
     )
     # A class whose quota is 0 has no last validation row; keep it with nulls.
-    cutoffs = cut_lineage(quotas.join(cuts, label_col, "left"))
+    # One row per class in all three tables.
+    cutoffs = cut_lineage(quotas.join(broadcast_rows(cuts, n_classes), label_col, "left"))
     counts.unpersist()
     return cutoffs
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labelloom.functions.arrays import pad, truncate
-from labelloom.operators.ranking import BUCKETS
 from labelloom.operators.sizing import broadcast_if_small
+from labelloom.storage import cut_lineage
 
 # Words (letters, marks, digits, underscore) or single other visible characters.
 TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[^\s\p{Z}\p{C}\p{L}\p{M}\p{N}_]"
@@ -60,32 +60,34 @@ def tokenize(
 
 
 def batch_numbers(df: DataFrame, batch_size: int, id_col: str = "row_id") -> DataFrame:
-    """``(row_id, batch_id)``: consecutive rows in id order, ``batch_size`` a batch.
+    """``df`` with ``batch_id``: consecutive rows in id order, ``batch_size`` a batch.
 
-    The global position of a row is the number of rows in earlier id ranges
-    plus its place in its own range. Ranges have equal width, so there are at
-    most 65,536 of them, and only ids are shuffled.
+    Meant for narrow rows. They are range-partitioned and sorted by id, which
+    balances partitions for any distribution of ids, and materialised, so that
+    places within partitions are fixed. A row's global position is then its
+    place plus the number of rows in earlier partitions.
     """
-    ids = df.select(F.col(id_col).cast("long").alias("id"))
-    low, high = ids.agg(F.min("id"), F.max("id")).first()
-    if low is None:
-        return ids.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("batch_id"))
-    width = (high - low) // BUCKETS + 1
-    ranged = ids.withColumn("range", F.expr(f"(id - {low}L) div {width}L"))
-    counts = ranged.groupBy("range").count()
+    ordered = cut_lineage(
+        df.repartitionByRange(id_col)
+        .sortWithinPartitions(id_col)
+        .withColumn("place", F.monotonically_increasing_id())
+    )
+    # The id function numbers the rows of partition p from p * 2^33.
+    part = F.shiftright("place", 33)
+    counts = ordered.groupBy(part.alias("part")).count()
     before = F.coalesce(
-        F.sum("count").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)),
+        F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0),
     )
-    offsets = counts.select("range", before.alias("before"))
-    place = F.row_number().over(Window.partitionBy("range").orderBy("id")) - 1
+    # One row per partition.
+    offsets = counts.select("part", before.alias("before"))
+    position = F.col("before") + F.col("place") - F.shiftleft("part", 33)
     return (
-        ranged.join(broadcast_if_small(offsets), "range")
-        .withColumn("place", place)
-        .select(
-            F.col("id").alias(id_col),
-            F.expr(f"(before + place) div {int(batch_size)}L").alias("batch_id"),
-        )
+        ordered.withColumn("part", part)
+        .join(broadcast_if_small(offsets), "part")
+        .withColumn("position", position)
+        .withColumn("batch_id", F.expr(f"position div {int(batch_size)}L"))
+        .drop("part", "place", "before", "position")
     )
 
 
@@ -99,15 +101,17 @@ def pad_batches(
 ) -> DataFrame:
     """Pad the tokens of each batch to its longest member and mask the padding.
 
-    Adds ``batch_id``. Batches are formed on ids alone; the rows are shuffled
-    once, by batch, and a batch is never larger than ``batch_size``.
+    Adds ``batch_id``. Batches and their lengths are worked out on ids and
+    token counts alone; the token lists are shuffled once, by their unique id.
     """
-    batches = batch_numbers(df, batch_size, id_col)
-    longest = F.max(F.size(tokens_col)).over(Window.partitionBy("batch_id"))
+    sizes = df.select(id_col, F.size(tokens_col).alias("size"))
+    longest = F.max("size").over(Window.partitionBy("batch_id"))
+    batches = batch_numbers(sizes, batch_size, id_col).select(
+        id_col, "batch_id", longest.alias("batch_length")
+    )
     ones = F.array_repeat(F.lit(1), F.size(tokens_col))
     return (
         df.join(batches, id_col)
-        .withColumn("batch_length", longest)
         .withColumns(
             {
                 "attention_mask": pad(ones, F.col("batch_length"), F.lit(0), side),
