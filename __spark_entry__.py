@@ -39,7 +39,7 @@ from labelloom.plans.views import (  # noqa: E402
     quality_splits,
 )
 from labelloom.sources import readers, writers  # noqa: E402
-from labelloom.storage import scratch_path  # noqa: E402
+from labelloom.storage import cut_lineage, scratch_path  # noqa: E402
 from labelloom.streaming.landing import land_new_files, stream_files  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,7 +138,8 @@ def q_dedup_removed(spark, sf):
 
 
 def q_stratified_split(spark, sf):
-    rows = dedup.first_ids(cleaned_train(spark, sf))
+    # Ids and labels only; read several times by the split, so materialised.
+    rows = cut_lineage(dedup.first_ids(cleaned_train(spark, sf)))
     return splitting.stratified_split(rows, VAL_SIZE, SEED).select("row_id", "label", "split")
 
 

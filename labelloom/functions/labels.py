@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,10 @@ from labelloom.operators.sizing import broadcast_rows
 from labelloom.schema import LABEL_DIM
 
 
+# Up to here a vocabulary is written into the plan; beyond, it is a table of rows.
+MAX_LITERAL_LABELS = 1_000
+
+
 def label_dim(spark: SparkSession, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     """``(label, category)`` with the position in ``labels`` as the id.
 
@@ -20,7 +24,13 @@ def label_dim(spark: SparkSession, labels: Sequence[str] = DEFAULT_LABELS) -> Da
     names = list(labels)
     if len(set(names)) != len(names):
         raise ValueError("label names must be unique")
-    dim = spark.createDataFrame(list(enumerate(names)), LABEL_DIM).coalesce(1)
+    if 0 < len(names) <= MAX_LITERAL_LABELS:
+        dim = spark.range(0, 1, 1, 1).select(
+            F.posexplode(F.lit(names)).alias("label", "category")
+        )
+        dim = dim.select(F.col("label").cast("long"), "category")
+    else:
+        dim = spark.createDataFrame(list(enumerate(names)), LABEL_DIM)
     return broadcast_rows(dim, len(names))
 
 
@@ -29,12 +39,6 @@ def label_maps(labels: Sequence[str] = DEFAULT_LABELS) -> tuple[dict[str, int],
     return {n: i for i, n in enumerate(labels)}, dict(enumerate(labels))
 
 
-def dim_from_map(spark: SparkSession, label2id: Mapping[str, int]) -> DataFrame:
-    rows = sorted((int(i), str(n)) for n, i in label2id.items())
-    dim = spark.createDataFrame(rows, LABEL_DIM).coalesce(1)
-    return broadcast_rows(dim, len(rows))
-
-
 def encode_labels(
     df: DataFrame, dim: DataFrame, category_col: str = "category", label_col: str = "label"
 ) -> DataFrame:
@@ -55,7 +59,6 @@ def decode_labels(
 __all__ = [
     "DEFAULT_LABELS",
     "decode_labels",
-    "dim_from_map",
     "encode_labels",
     "label_dim",
     "label_maps",
