@@ -34,8 +34,8 @@ def read_csv(
     """CSV with a header. All columns are strings, header names are trimmed,
     and quotes inside a quoted field are doubled.
 
-    ``strict`` skips blanks after the delimiter and keeps a quoted empty field
-    as an empty string; otherwise every empty field is null. ``multi_line``
+    Empty fields, quoted or not, are null. ``strict`` skips blanks after the
+    delimiter and makes them empty strings. ``multi_line``
     lets a quoted text contain line breaks, at the price of one task per file;
     turn it off for large files without such texts.
     """
@@ -49,8 +49,8 @@ def read_csv(
     )
     df = reader.csv(path if isinstance(path, str) else list(path))
     df = df.toDF(*[c.strip() for c in df.columns])
-    if not strict:
-        df = df.select([F.nullif(c, F.lit("")).alias(c) for c in df.columns])
+    if strict:
+        df = df.select([F.coalesce(c, F.lit("")).alias(c) for c in df.columns])
     return with_row_id(df)
 
 
