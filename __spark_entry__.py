@@ -31,7 +31,7 @@ from labelloom.operators import (  # noqa: E402
 from labelloom.plans.eda import run_eda  # noqa: E402
 from labelloom.plans.load import load_labelled_pair, stack_splits  # noqa: E402
 from labelloom.plans.preprocess import preprocess  # noqa: E402
-from labelloom.plans.train import train_and_compare  # noqa: E402
+from labelloom.plans.train import baseline_predictions, train_and_compare  # noqa: E402
 from labelloom.plans.views import (  # noqa: E402
     LANGS,
     labelled_documents,
@@ -39,7 +39,7 @@ from labelloom.plans.views import (  # noqa: E402
     quality_splits,
 )
 from labelloom.sources import readers, writers  # noqa: E402
-from labelloom.storage import cut_lineage, scratch_path  # noqa: E402
+from labelloom.storage import scratch_path, write_table  # noqa: E402
 from labelloom.streaming.landing import land_new_files, stream_files  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.length_table(by_source(spark, sf_dir))
 
 
+def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.class_table(by_source(spark, sf_dir))
+
+
 def round6(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -139,7 +143,7 @@ def q_dedup_removed(spark, sf):
 
 def q_stratified_split(spark, sf):
     # Ids and labels only; read several times by the split, so materialised.
-    rows = cut_lineage(dedup.first_ids(cleaned_train(spark, sf)))
+    rows = write_table(dedup.first_ids(cleaned_train(spark, sf)), "kept")
     return splitting.stratified_split(rows, VAL_SIZE, SEED).select("row_id", "label", "split")
 
 
@@ -179,15 +183,15 @@ def q_quality_checks(spark, sf):
 
 
 def q_split_sizes(spark, sf):
-    return profile.split_sizes(lengths(spark, sf))
+    return profile.split_sizes(classes(spark, sf))
 
 
 def q_class_distribution(spark, sf):
-    return profile.class_distribution(lengths(spark, sf))
+    return profile.class_distribution(classes(spark, sf))
 
 
 def q_imbalance(spark, sf):
-    return round6(profile.imbalance(lengths(spark, sf)), "imbalance_ratio")
+    return round6(profile.imbalance(classes(spark, sf)), "imbalance_ratio")
 
 
 def q_length_summary(spark, sf):
@@ -418,6 +422,15 @@ def q_comparison_json(spark, sf):
     ).withColumn("delta", F.round("delta", 6))
 
 
+def q_untrained_baseline(spark, sf):
+    """The first half of the next query: metrics of the predictor that only
+    knows the class shares."""
+    splits = quality_splits(spark, sf)
+    judged = splits.where(F.col("split").isin("validation", "test"))
+    table = metrics.evaluate_splits(baseline_predictions(splits, judged, 2))
+    return round6(table, "value")
+
+
 def q_train_text_classifier(spark, sf):
     result = train_and_compare(quality_splits(spark, sf), num_labels=2)
     return round6(result.delta, "baseline", "after", "delta")
@@ -731,6 +744,20 @@ def oracle_sql() -> dict[str, str]:
         "preprocess_no_dedupe": f"""WITH {_DOCS}, base_rows AS (SELECT row_id, label FROM e WHERE split = 'train'),
             {_split_ctes("base_rows")} SELECT row_id, label, split FROM assigned
             UNION ALL SELECT row_id, label, split FROM e WHERE split = 'test'""",
+        "untrained_baseline": f"""WITH q AS (
+              SELECT doc_id, quality::BIGINT AS label, CASE WHEN digit < '3' THEN 'test'
+                     WHEN digit < '5' THEN 'validation' ELSE 'train' END AS split
+              FROM (SELECT doc_id, quality, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) AS digit
+                    FROM documents JOIN labels USING (doc_id))),
+            prior AS (
+              SELECT ln((count(*) FILTER (label = 0) + 1)::DOUBLE / (count(*) + 2)) AS l0,
+                     ln((count(*) FILTER (label = 1) + 1)::DOUBLE / (count(*) + 2)) AS l1
+              FROM q WHERE split = 'train'),
+            judged AS (
+              SELECT 'baseline' AS phase, split, label, CASE WHEN l1 > l0 THEN 1 ELSE 0 END AS prediction,
+                     ln(exp(l0) + exp(l1)) - CASE WHEN label = 0 THEN l0 ELSE l1 END AS loss
+              FROM q, prior WHERE split <> 'train'),
+            {_metric_ctes("judged")} SELECT phase, split, metric, round(value, 6) AS value FROM table6""",
         "stream_landing": f"WITH {_DOCS} SELECT row_id, clean AS text, lang AS category, label FROM e",
     }
     return sql

@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None) -> None:
             num_labels,
             config.eval_splits,
             config.max_eval_samples,
+            config.max_length,
             config.run_baseline,
             config.metric_for_best_model,
             out_dir=config.output_dir,

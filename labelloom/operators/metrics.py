@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.arrays import argmax, cross_entropy
 from labelloom.operators.ranking import nth_smallest
-from labelloom.storage import cut_lineage
+from labelloom.storage import cut_lineage, write_table
 
 # The names under which the metrics are reported.
 METRIC_NAMES = (
@@ -144,7 +144,8 @@ def evaluate_splits(
 def first_rows_per_phase(df: DataFrame, n: int, id_col: str = "row_id") -> DataFrame:
     """First rows of one split. Every phase holds the same ids, so the cutoff
     is found once, on distinct ids, and applied as a filter."""
-    cutoff = nth_smallest(df.select(id_col).distinct(), n, id_col)
+    ids = write_table(df.select(id_col).distinct(), "ids")
+    cutoff = nth_smallest(ids, n, id_col)
     return df if cutoff is None else df.where(F.col(id_col) <= F.lit(cutoff))
 
 

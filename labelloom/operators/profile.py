@@ -27,6 +27,14 @@ def length_table(
     )
 
 
+def class_table(df: DataFrame, category_col: str = "category") -> DataFrame:
+    """``(split, category, n)``: what the reports on class sizes need. Reads no
+    text, so it is the cheaper start if lengths are not asked for."""
+    return df.groupBy("split", F.col(category_col).alias("category")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 def _mean_words(when: Column | None = None) -> Column:
     counted = F.when(F.col("n_words").isNotNull(), F.col("n"))
     words = F.col("n_words").cast("long") * F.col("n")
@@ -64,32 +72,33 @@ def per_class_stats(lengths: DataFrame) -> DataFrame:
     )
 
 
-def split_sizes(lengths: DataFrame) -> DataFrame:
-    """Rows and distinct categories per split; null is a category."""
+def split_sizes(classes: DataFrame) -> DataFrame:
+    """Rows and distinct categories per split; null is a category. Takes a
+    class table or a length table, as do the next two."""
     return (
-        lengths.groupBy("split", "category")
+        classes.groupBy("split", "category")
         .agg(F.sum("n").alias("n"))
         .groupBy("split")
         .agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_categories"))
     )
 
 
-def class_distribution(lengths: DataFrame, split: str = "train", ascending: bool = False) -> DataFrame:
+def class_distribution(classes: DataFrame, split: str = "train", ascending: bool = False) -> DataFrame:
     """Rows per class of one split, sorted by size."""
     order = F.asc("n_rows") if ascending else F.desc("n_rows")
     return (
-        lengths.where((F.col("split") == split) & F.col("category").isNotNull())
+        classes.where((F.col("split") == split) & F.col("category").isNotNull())
         .groupBy("category")
         .agg(F.sum("n").alias("n_rows"))
         .orderBy(order, "category")
     )
 
 
-def imbalance(lengths: DataFrame, split: str = "train") -> DataFrame:
+def imbalance(classes: DataFrame, split: str = "train") -> DataFrame:
     """Largest and smallest class and the ratio of their sizes; of equal
     classes the alphabetically first is named."""
     sizes = (
-        lengths.where((F.col("split") == split) & F.col("category").isNotNull())
+        classes.where((F.col("split") == split) & F.col("category").isNotNull())
         .groupBy("category")
         .agg(F.sum("n").alias("n_rows"))
     )
@@ -124,10 +133,13 @@ def top_classes_by_length(
 
 
 def _per_length(lengths: DataFrame) -> DataFrame:
+    # The filter stands on an aggregate: on the grouping column itself it would
+    # be pushed to the texts, and words would be counted twice.
     return (
-        lengths.where(F.col("n_words").isNotNull())
-        .groupBy("split", "n_words")
-        .agg(F.sum("n").alias("n"))
+        lengths.groupBy("split", "n_words")
+        .agg(F.sum("n").alias("n"), F.max("n_words").alias("known"))
+        .where(F.col("known").isNotNull())
+        .drop("known")
     )
 
 

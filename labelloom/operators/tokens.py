@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from labelloom.functions.arrays import pad, truncate
 from labelloom.operators.sizing import broadcast_if_small
-from labelloom.storage import cut_lineage
+from labelloom.storage import write_table
 
 # Words (letters, marks, digits, underscore) or single other visible characters.
 TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[^\s\p{Z}\p{C}\p{L}\p{M}\p{N}_]"
@@ -67,10 +67,11 @@ def batch_numbers(df: DataFrame, batch_size: int, id_col: str = "row_id") -> Dat
     places within partitions are fixed. A row's global position is then its
     place plus the number of rows in earlier partitions.
     """
-    ordered = cut_lineage(
+    ordered = write_table(
         df.repartitionByRange(id_col)
         .sortWithinPartitions(id_col)
-        .withColumn("place", F.monotonically_increasing_id())
+        .withColumn("place", F.monotonically_increasing_id()),
+        "ordered",
     )
     # The id function numbers the rows of partition p from p * 2^33.
     part = F.shiftright("place", 33)
@@ -103,8 +104,10 @@ def pad_batches(
 
     Adds ``batch_id``. Batches and their lengths are worked out on ids and
     token counts alone; the token lists are shuffled once, by their unique id.
+    Counts are materialised first, as range partitioning reads its input more
+    than once: the tokens are computed once for them and once for the result.
     """
-    sizes = df.select(id_col, F.size(tokens_col).alias("size"))
+    sizes = write_table(df.select(id_col, F.size(tokens_col).alias("size")), "sizes")
     longest = F.max("size").over(Window.partitionBy("batch_id"))
     batches = batch_numbers(sizes, batch_size, id_col).select(
         id_col, "batch_id", longest.alias("batch_length")

@@ -15,7 +15,7 @@ from labelloom.operators.guards import MissingLabelError, missing_labels
 from labelloom.operators.splitting import assign_split, validation_cutoffs
 from labelloom.schema import SPLITS
 from labelloom.sources.writers import write_label_map, write_splits
-from labelloom.storage import cut_lineage
+from labelloom.storage import cut_lineage, write_table
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ def preprocess(
 
     removed = 0
     if dedupe:
-        kept = cut_lineage(first_ids(train))
+        kept = write_table(first_ids(train), "kept")
         removed = kept.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
         kept = kept.drop("copies")
     else:

@@ -8,17 +8,18 @@ same splits, and report the differences.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.operators.metrics import compare_evaluations, evaluate_splits
+from labelloom.operators.tokens import tokenize
 from labelloom.sources.writers import comparison_document, write_comparison
 from labelloom.storage import cut_lineage
 
@@ -41,20 +42,35 @@ def prior_logits(train: DataFrame, num_labels: int) -> list[float]:
     return [math.log((counts.get(i, 0) + 1) / total) for i in range(num_labels)]
 
 
-def text_classifier(num_features: int = 1 << 16, max_iter: int = 20, reg: float = 0.01) -> Pipeline:
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}\p{N}]+"),
-            HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
-            IDF(inputCol="tf", outputCol="features"),
-            LogisticRegression(
-                featuresCol="features",
-                labelCol="label",
-                family="multinomial",
-                maxIter=max_iter,
-                regParam=reg,
-            ),
-        ]
+def fit_text_classifier(
+    train: DataFrame, num_features: int = 1 << 16, max_iter: int = 20, reg: float = 0.01
+) -> PipelineModel:
+    """TF-IDF and multinomial logistic regression over ``(input_ids, label)``.
+
+    Both fits read the term counts, so these are kept; a lost block is counted
+    again from its tokens.
+    """
+    terms = HashingTF(inputCol="input_ids", outputCol="tf", numFeatures=num_features)
+    counted = terms.transform(train).select("tf", "label").persist()
+    try:
+        idf = IDF(inputCol="tf", outputCol="features").fit(counted)
+        regression = LogisticRegression(
+            featuresCol="features",
+            labelCol="label",
+            family="multinomial",
+            maxIter=max_iter,
+            regParam=reg,
+        ).fit(idf.transform(counted))
+    finally:
+        counted.unpersist()
+    return PipelineModel([terms, idf, regression])
+
+
+def baseline_predictions(splits: DataFrame, judged: DataFrame, num_labels: int) -> DataFrame:
+    """The rows of ``judged`` with the same prior logits in each."""
+    priors = prior_logits(splits.where(F.col("split") == "train"), num_labels)
+    return judged.select(
+        "row_id", "split", "label", F.lit(priors).alias("logits"), F.lit("baseline").alias("phase")
     )
 
 
@@ -63,25 +79,37 @@ def train_and_compare(
     num_labels: int,
     eval_splits: Sequence[str] = ("validation", "test"),
     max_eval_samples: int | None = None,
+    max_length: int | None = None,
     run_baseline: bool = True,
     primary_metric: str = "f1_macro",
-    classifier: Pipeline | None = None,
+    fit: Callable[[DataFrame], PipelineModel] = fit_text_classifier,
     out_dir: str | None = None,
     comparison_filename: str = "evaluation_comparison.json",
 ) -> Comparison:
-    """``splits`` holds ``(row_id, text, label, split)`` with labels 0..K-1."""
-    train = splits.where(F.col("split") == "train").select("text", F.col("label").cast("double"))
+    """``splits`` holds ``(row_id, text, label, split)`` with labels 0..K-1.
+
+    ``fit`` gets ``(input_ids, label)`` of the train split and returns a model
+    that adds a ``rawPrediction`` vector. Texts are whole unless ``max_length``
+    asks for the first tokens only.
+    """
     judged = splits.where(F.col("split").isin(list(eval_splits)))
-    model = (classifier or text_classifier()).fit(train)
-    columns = ["row_id", "split", "label"]
-    predictions = model.transform(judged).select(
-        *columns, vector_to_array("rawPrediction").alias("logits"), F.lit("after_lora").alias("phase")
+    tokenized = tokenize(splits, max_length)
+    model = fit(
+        tokenized.where(F.col("split") == "train").select(
+            "input_ids", F.col("label").cast("double")
+        )
+    )
+    predictions = model.transform(
+        tokenized.where(F.col("split").isin(list(eval_splits)))
+    ).select(
+        "row_id",
+        "split",
+        "label",
+        vector_to_array("rawPrediction").alias("logits"),
+        F.lit("after_lora").alias("phase"),
     )
     if run_baseline:
-        priors = prior_logits(splits.where(F.col("split") == "train"), num_labels)
-        predictions = predictions.unionByName(
-            judged.select(*columns, F.lit(priors).alias("logits"), F.lit("baseline").alias("phase"))
-        )
+        predictions = predictions.unionByName(baseline_predictions(splits, judged, num_labels))
     # A few dozen rows; materialised so that the model is applied once.
     metrics = cut_lineage(evaluate_splits(predictions, eval_splits, max_eval_samples))
     delta = compare_evaluations(metrics, primary_metric=primary_metric)

@@ -35,7 +35,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that losing an executor
-    costs a re-read and not a recomputation."""
+    """Materialise a small ``df`` in the shared folder, so that losing an
+    executor costs a re-read and not a recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """The same for a table with one row per input row: written as parquet, so
+    that later reads are columnar and know its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
