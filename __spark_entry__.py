@@ -28,6 +28,8 @@ from labelloom.operators import (  # noqa: E402
     splitting,
     tokens,
 )
+from labelloom.config import JobConfig  # noqa: E402
+from labelloom.plans.batches import evaluation_batches  # noqa: E402
 from labelloom.plans.eda import run_eda  # noqa: E402
 from labelloom.plans.load import load_labelled_pair, stack_splits  # noqa: E402
 from labelloom.plans.preprocess import preprocess  # noqa: E402
@@ -134,7 +136,9 @@ def q_text_problems(spark, sf):
 
 
 def q_dedup_exact(spark, sf):
-    return dedup.deduplicate(cleaned_train(spark, sf)).select("row_id", "text", "label")
+    train = encoded(spark, sf).where(F.col("split") == "train")
+    kept = dedup.deduplicate(train, clean_text("text"))
+    return kept.select("row_id", clean_text("text").alias("text"), "label")
 
 
 def q_dedup_removed(spark, sf):
@@ -325,20 +329,25 @@ def q_pad_batches_left(spark, sf):
     return out.select("row_id", "batch_id", F.array_join("input_ids", " ").alias("tokens"))
 
 
+def q_evaluation_batches(spark, sf):
+    splits = encoded(spark, sf)
+    config = JobConfig(max_length=MAX_TOKENS, padding_side="left", eval_splits=("train", "test"))
+    out = evaluation_batches(splits, config)
+    return out.select("row_id", "split", "batch_id", F.array_join("input_ids", " ").alias("tokens"))
+
+
 # --- sources, sinks and whole jobs --------------------------------------------------
 
 
 def q_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")
-    source = by_source(spark, sf).select("text", "category")
-    source.write.option("header", True).option("escape", '"').csv(path)
+    writers.write_csv(by_source(spark, sf).select("text", "category"), path)
     return readers.read_csv(spark, path).select("text", "category")
 
 
 def q_csv_strict(spark, sf):
     path = scratch_path(spark, "csv-quoted")
-    source = by_source(spark, sf).select("text", "category")
-    source.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    writers.write_csv(by_source(spark, sf).select("text", "category"), path, quote_all=True)
     return readers.read_csv(spark, path, strict=True).select("text", "category")
 
 
@@ -354,15 +363,9 @@ def q_load_labelled_pair(spark, sf):
     base = scratch_path(spark, "pair")
     documents = by_lang(spark, sf)
     for split in ("train", "test"):
-        (
-            documents.where(F.col("split") == split)
-            .select(F.col("text").alias(" text"), F.col("category").alias("category "))
-            .write.option("header", True)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(f"{base}/{split}")
-        )
+        part = documents.where(F.col("split") == split)
+        headed = part.select(F.col("text").alias(" text"), F.col("category").alias("category "))
+        writers.write_csv(headed, f"{base}/{split}")
     pair = load_labelled_pair(
         spark, f"{base}/train", f"{base}/test", cache_dir=f"{base}/raw", labels=LANGS
     )
@@ -727,6 +730,12 @@ def oracle_sql() -> dict[str, str]:
             repeat('1', len(tokens)) || repeat('0', gap) AS mask FROM padded""",
         "pad_batches_left": f"""WITH {_PADDED} SELECT row_id, batch_id,
             array_to_string(list_concat(filler, tokens), ' ') AS tokens FROM padded""",
+        "evaluation_batches": f"""WITH {_DOCS},
+            cut AS (SELECT row_id, split, regexp_extract_all(text, '{_TOKEN}')[1:{MAX_TOKENS}] AS tokens,
+                           (row_number() OVER (PARTITION BY split ORDER BY row_id) - 1) // {BATCH} AS batch_id FROM d),
+            sized AS (SELECT *, max(len(tokens)) OVER (PARTITION BY split, batch_id) - len(tokens) AS gap FROM cut)
+            SELECT row_id, split, batch_id, array_to_string(
+              list_concat(list_transform(range(gap), lambda i: '[PAD]'), tokens), ' ') AS tokens FROM sized""",
         "csv_roundtrip": "SELECT text, source AS category FROM documents",
         "csv_strict": "SELECT text, source AS category FROM documents",
         "land_raw": "SELECT doc_id AS row_id, text FROM documents",

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import digest
 
 
 def first_ids(
-    df: DataFrame, text_col: str = "text", label_col: str = "label", id_col: str = "row_id"
+    df: DataFrame, text_col: Column | str = "text", label_col: str = "label", id_col: str = "row_id"
 ) -> DataFrame:
     """``(row_id, label, copies)``: the first row of each distinct (text, label).
 
@@ -26,10 +26,12 @@ def first_ids(
 
 
 def deduplicate(
-    df: DataFrame, text_col: str = "text", label_col: str = "label", id_col: str = "row_id"
+    df: DataFrame, text_col: Column | str = "text", label_col: str = "label", id_col: str = "row_id"
 ) -> DataFrame:
     """Rows of ``df`` without later exact duplicates of (text, label).
 
+    ``text_col`` may be an expression, such as the cleaned text: the rows keep
+    their raw text and only the survivors need cleaning.
     ``id_col`` is unique and gives the row order, so the join back on it has
     no hot key.
     """
@@ -38,7 +40,7 @@ def deduplicate(
 
 
 def duplicate_count(
-    df: DataFrame, text_col: str = "text", label_col: str = "label", id_col: str = "row_id"
+    df: DataFrame, text_col: Column | str = "text", label_col: str = "label", id_col: str = "row_id"
 ) -> DataFrame:
     """One row: rows before, rows after and rows removed."""
     return first_ids(df, text_col, label_col, id_col).agg(

@@ -45,13 +45,12 @@ def preprocess(
     """
     spark = pair.sparkSession
     dim = label_dim(spark, labels)
-    cleaned = pair.withColumn("text", clean_text("text"))
-    train = cleaned.where(F.col("split") == "train").drop("split")
-    test = cleaned.where(F.col("split") == "test")
+    train = pair.where(F.col("split") == "train").drop("split")
+    test = pair.where(F.col("split") == "test")
 
     removed = 0
     if dedupe:
-        kept = write_table(first_ids(train), "kept")
+        kept = write_table(first_ids(train, clean_text("text")), "kept")
         removed = kept.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
         kept = kept.drop("copies")
     else:
@@ -84,7 +83,9 @@ def preprocess(
     else:
         train_rows = assign_split(train, cutoffs, seed)
     columns = ["row_id", "text", "category", "label", "split"]
+    # Cleaned last, so that removed duplicates are not.
     splits = train_rows.select(columns).unionByName(test.select(columns))
+    splits = splits.withColumn("text", clean_text("text"))
 
     if out_dir is not None:
         write_splits(splits, out_dir, fmt, layout)

@@ -37,7 +37,8 @@ def read_csv(
     Empty fields, quoted or not, are null. ``strict`` skips blanks after the
     delimiter and makes them empty strings. ``multi_line``
     lets a quoted text contain line breaks, at the price of one task per file;
-    turn it off for large files without such texts.
+    turn it off for large files without such texts. A row with too few or too
+    many fields fails the job.
     """
     reader = (
         spark.read.option("header", True)

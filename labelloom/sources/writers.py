@@ -19,31 +19,41 @@ def write_splits(
 ) -> None:
     """Write the columns of each split.
 
-    ``partitioned`` writes ``split=<name>`` folders in one pass over the data.
-    ``per_split`` writes ``<name>.<fmt>`` for readers that expect one path per
-    split; it costs one pass per split.
+    ``partitioned`` writes ``split=<name>`` folders of parquet in one pass over
+    the data. ``per_split`` writes ``<name>.<fmt>`` for readers that expect one
+    path per split; it costs one pass per split.
     """
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"unknown format {fmt!r}")
+    if layout == "partitioned" and fmt != "parquet":
+        raise ValueError("the partitioned layout is parquet only; use per_split for CSV")
     if layout == "partitioned":
-        _write(df.select(*columns, "split"), out_dir, fmt, partition="split")
+        df.select(*columns, "split").write.mode("overwrite").partitionBy("split").parquet(out_dir)
     elif layout == "per_split":
         for row in df.select("split").distinct().orderBy("split").toLocalIterator():
             name = row["split"]
             part = df.where(F.col("split") == name).select(*columns)
-            _write(part, f"{out_dir.rstrip('/')}/{name}.{fmt}", fmt)
+            path = f"{out_dir.rstrip('/')}/{name}.{fmt}"
+            if fmt == "csv":
+                write_csv(part, path)
+            else:
+                part.write.mode("overwrite").parquet(path)
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
 
-def _write(df: DataFrame, path: str, fmt: str, partition: str | None = None) -> None:
-    writer = df.write.mode("overwrite")
-    if partition is not None:
-        writer = writer.partitionBy(partition)
-    if fmt == "parquet":
-        writer.parquet(path)
-    else:
-        writer.option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
+    """CSV with a header, doubled quotes, and texts as they are: Spark would
+    trim them by default."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("quoteAll", quote_all)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_label_map(dim: DataFrame, path: str) -> None:
@@ -66,7 +76,7 @@ def write_label_map(dim: DataFrame, path: str) -> None:
 
 def write_stats_csv(stats: DataFrame, path: str) -> None:
     """Per-class statistics as one CSV file (one row per class)."""
-    stats.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    write_csv(stats.coalesce(1), path)
 
 
 def comparison_document(

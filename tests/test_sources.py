@@ -63,6 +63,15 @@ def test_land_once(spark, tmp_path):
     assert {r["text"]: r["row_id"] for r in second.repartition(3).collect()} == ids
 
 
+def test_csv_written_is_csv_read(spark, tmp_path):
+    df = spark.createDataFrame([*TRICKY, (None, "n")], "text string, category string")
+    for quote_all in (False, True):
+        path = str(tmp_path / f"c{quote_all}")
+        writers.write_csv(df.coalesce(1), path, quote_all)
+        back = readers.read_csv(spark, path).orderBy("row_id")
+        assert [(r["text"], r["category"]) for r in back.collect()] == [*TRICKY, (None, "n")]
+
+
 def test_landing_replaces_an_unfinished_write(spark, tmp_path):
     (tmp_path / "raw" / "_temporary").mkdir(parents=True)
     df = spark.createDataFrame([("t", 1)], "text string, row_id long")
@@ -112,6 +121,8 @@ def test_required_columns_and_vocabulary_size(spark, tmp_path):
     writers.write_label_map(label_dim(spark, ["a", "b"]), f"{good}/label_mapping.json")
     with pytest.raises(ValueError, match="Expected 77 labels, found 2"):
         readers.load_processed(spark, good)
+    with pytest.raises(ValueError, match="parquet only"):
+        writers.write_splits(splits_frame(spark), out, fmt="csv")
     with pytest.raises(ValueError, match="layout"):
         writers.write_splits(splits_frame(spark), out, layout="other")
     with pytest.raises(ValueError, match="format"):
