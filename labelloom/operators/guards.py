@@ -83,6 +83,15 @@ def text_problems(df: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
+def category_summary(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows and null texts per split and category. Every ``require_*`` check on
+    categories and texts can read this table in place of the rows."""
+    return df.groupBy("split", "category").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(text_col).isNull()).alias("null_texts"),
+    )
+
+
 def require_known_labels(df: DataFrame, dim: DataFrame) -> DataFrame:
     bad = unknown_labels(df, dim).orderBy("split", "category").take(SHOWN_IN_ERRORS)
     if bad:
@@ -114,9 +123,10 @@ def require_all_labels(df: DataFrame, dim: DataFrame, splits: Sequence[str]) ->
     return df
 
 
-def require_text(df: DataFrame, text_col: str = "text") -> DataFrame:
-    nulls = df.groupBy("split").agg(F.count_if(F.col(text_col).isNull()).alias("n"))
+def require_text(summary: DataFrame) -> DataFrame:
+    """Takes a category summary."""
+    nulls = summary.groupBy("split").agg(F.sum("null_texts").alias("n"))
     bad = {r["split"]: r["n"] for r in nulls.where("n > 0").take(SHOWN_IN_ERRORS)}
     if bad:
         raise NullTextError(f"null texts per split: {bad}")
-    return df
+    return summary

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.labels import DEFAULT_LABELS, encode_labels, label_dim
 from labelloom.operators.guards import (
+    category_summary,
     require_columns,
     require_coverage,
     require_known_labels,
     require_text,
 )
 from labelloom.sources.readers import land_raw, read_csv
+from labelloom.storage import cut_lineage
 
 
 def stack_splits(**splits: DataFrame) -> DataFrame:
@@ -47,10 +49,13 @@ def load_labelled_pair(
         parts[name] = df.select("row_id", "text", "category")
     pair = stack_splits(**parts)
     dim = label_dim(spark, labels)
+    if encode or validate:
+        # One scan feeds all checks: a row per split and category.
+        summary = cut_lineage(category_summary(pair))
     if encode:
-        require_known_labels(pair, dim)
+        require_known_labels(summary, dim)
         pair = encode_labels(pair, dim)
     if validate:
-        require_coverage(pair, dim, ("train",))
-        require_text(pair)
+        require_coverage(summary, dim, ("train",))
+        require_text(summary)
     return pair

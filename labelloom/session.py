@@ -16,6 +16,9 @@ def build_session(app_name: str = "labelloom", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # A join whose narrow side turns out to fit per partition is hashed, so
+        # that the side with the texts is not sorted.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         # Lets a task write its train, validation and test rows side by side
         # in place of sorting all rows by split first.
         "spark.sql.maxConcurrentOutputFileWriters": "16",
