@@ -314,7 +314,7 @@ def q_tokenize_custom(spark, sf):
 
 def q_pad_batches(spark, sf):
     short = tokens.tokenize(encoded(spark, sf), max_length=MAX_TOKENS)
-    out = tokens.pad_batches(short, BATCH, "[PAD]")
+    out = tokens.pad_batches(short.select("row_id", "input_ids"), BATCH, "[PAD]")
     return out.select(
         "row_id",
         "batch_id",
@@ -325,7 +325,8 @@ def q_pad_batches(spark, sf):
 
 def q_pad_batches_left(spark, sf):
     short = tokens.tokenize(encoded(spark, sf), max_length=MAX_TOKENS)
-    out = tokens.pad_batches(short, BATCH, "[PAD]", side="left")
+    inputs = short.select("row_id", "input_ids")
+    out = tokens.pad_batches(inputs, BATCH, "[PAD]", side="left")
     return out.select("row_id", "batch_id", F.array_join("input_ids", " ").alias("tokens"))
 
 
@@ -464,7 +465,7 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- the same results in SQL ---------------------------------------------------------
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
-_TOKEN = r"[\p{L}\p{M}\p{N}_]+|[^\s\p{Z}\p{C}\p{L}\p{M}\p{N}_]"
+_TOKEN = r"[\p{L}\p{M}\p{N}_]+|[\p{P}\p{S}]"
 
 _DOCS = rf"""
 d AS (

@@ -13,8 +13,8 @@ from labelloom.functions.arrays import pad, truncate
 from labelloom.operators.sizing import broadcast_if_small
 from labelloom.storage import write_table
 
-# Words (letters, marks, digits, underscore) or single other visible characters.
-TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[^\s\p{Z}\p{C}\p{L}\p{M}\p{N}_]"
+# Words (letters, marks, digits, underscore) or single punctuation and symbols.
+TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[\p{P}\p{S}]"
 
 Tokenizer = Callable[[list[str]], list[list[int]]]
 
@@ -102,24 +102,26 @@ def pad_batches(
 ) -> DataFrame:
     """Pad the tokens of each batch to its longest member and mask the padding.
 
-    Adds ``batch_id``. Batches and their lengths are worked out on ids and
-    token counts alone; the token lists are shuffled once, by their unique id.
-    Counts are materialised first, as range partitioning reads its input more
-    than once: the tokens are computed once for them and once for the result.
+    Adds ``batch_id``. The token lists are materialised once, as cutting them
+    costs more than reading them back, so ``df`` should hold no other wide
+    column. Batches and their lengths are worked out on ids and token counts;
+    the lists are shuffled once, by their unique id.
     """
-    sizes = write_table(df.select(id_col, F.size(tokens_col).alias("size")), "sizes")
+    stored = write_table(
+        df.drop("attention_mask").withColumn("size", F.size(tokens_col)), "tokens"
+    )
     longest = F.max("size").over(Window.partitionBy("batch_id"))
-    batches = batch_numbers(sizes, batch_size, id_col).select(
+    batches = batch_numbers(stored.select(id_col, "size"), batch_size, id_col).select(
         id_col, "batch_id", longest.alias("batch_length")
     )
-    ones = F.array_repeat(F.lit(1), F.size(tokens_col))
+    ones = F.array_repeat(F.lit(1), F.col("size"))
     return (
-        df.join(batches, id_col)
+        stored.join(batches, id_col)
         .withColumns(
             {
                 "attention_mask": pad(ones, F.col("batch_length"), F.lit(0), side),
                 tokens_col: pad(tokens_col, F.col("batch_length"), F.lit(pad_value), side),
             }
         )
-        .drop("batch_length")
+        .drop("batch_length", "size")
     )

@@ -18,11 +18,13 @@ def evaluation_batches(
     tokenizer: Tokenizer | None = None,
 ) -> DataFrame:
     """Each evaluation split of the configuration is batched on its own, in row
-    order, with the configured length, batch size and padding side."""
+    order, with the configured length, batch size and padding side. The texts
+    are left behind."""
     padded = []
     for name in config.eval_splits:
         tokens = tokenize(
             splits.where(F.col("split") == name), config.max_length, tokenizer=tokenizer
         )
-        padded.append(pad_batches(tokens, config.eval_batch_size, pad_value, config.padding_side))
+        inputs = tokens.select("row_id", "split", "input_ids", "labels")
+        padded.append(pad_batches(inputs, config.eval_batch_size, pad_value, config.padding_side))
     return reduce(DataFrame.unionByName, padded)
