@@ -37,7 +37,7 @@ def require_columns(df: DataFrame, columns: Sequence[str], split: str) -> DataFr
     """Schema check only; runs no job."""
     for name in columns:
         if name not in df.columns:
-            raise MissingColumnError(f"Split {split} is missing a {name!r} column.")
+            raise MissingColumnError(f"{split}: column {name!r} is required")
     return df
 
 
@@ -98,8 +98,8 @@ def require_known_labels(df: DataFrame, dim: DataFrame) -> DataFrame:
         names: dict[str, list] = {}
         for row in bad:
             names.setdefault(row["split"], []).append(row["category"])
-        text = "; ".join(f"{s} split: {v}" for s, v in names.items())
-        raise UnknownLabelError(f"Unknown categories in {text}")
+        text = "; ".join(f"{s}: {v}" for s, v in names.items())
+        raise UnknownLabelError(f"categories outside the vocabulary: {text}")
     return df
 
 
@@ -118,8 +118,10 @@ def require_all_labels(df: DataFrame, dim: DataFrame, splits: Sequence[str]) ->
         ids: dict[str, list] = {}
         for row in bad:
             ids.setdefault(row["split"], []).append(row["label"])
-        text = "; ".join(f"{s} split is missing labels {v}" for s, v in ids.items())
-        raise MissingLabelError(f"{text} - lower val_size or reduce dedupe")
+        text = "; ".join(f"{s}: {v}" for s, v in ids.items())
+        raise MissingLabelError(
+            f"labels without a row: {text}; a smaller val_size or keeping duplicates may help"
+        )
     return df
 
 

@@ -137,7 +137,7 @@ def evaluate_splits(
     present = {row["split"] for row in cells.select("split").distinct().collect()}
     for name in splits:
         if name not in present:
-            raise KeyError(f"Split {name!r} not found in predictions.")
+            raise KeyError(f"no predictions for split {name!r}")
     return metric_table(cells)
 
 

@@ -60,6 +60,8 @@ def validation_cutoffs(
     Rows are counted per label and leading hash digits; only the rows of the
     one bucket per label in which the quota runs out are ranked. No class is
     sorted as a whole, so a class with a third of all rows is no hot spot.
+    ``df`` is read twice here and once more by ``assign_split``, labels and ids
+    only; materialise it first if it is costly to compute.
     """
     if not 0.0 < val_size < 1.0:
         raise ValueError("val_size must lie strictly between 0 and 1")

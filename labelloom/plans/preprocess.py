@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from labelloom.functions.labels import DEFAULT_LABELS, label_dim
 from labelloom.functions.text import clean_text
 from labelloom.operators.dedup import first_ids
-from labelloom.operators.guards import MissingLabelError, missing_labels
+from labelloom.operators.guards import require_all_labels
 from labelloom.operators.splitting import assign_split, validation_cutoffs
 from labelloom.schema import SPLITS
 from labelloom.sources.writers import write_label_map, write_splits
@@ -65,12 +65,7 @@ def preprocess(
         .groupBy("split", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    absent = missing_labels(sizes, dim, SPLITS).orderBy("split", "label").take(200)
-    if absent:
-        raise MissingLabelError(
-            f"splits lack labels {[(r['split'], r['label']) for r in absent]} "
-            "- lower val_size or reduce dedupe"
-        )
+    require_all_labels(sizes, dim, SPLITS)
     summary = sizes.groupBy("split").agg(
         F.sum("n").alias("n_rows"),
         F.count("label").alias("n_labels"),

@@ -99,9 +99,8 @@ def locate_splits(
                 break
         else:
             raise FileNotFoundError(
-                f"Missing {name} split under {data_dir} "
-                f"(expected {name}.parquet, {name}.csv or split={name}). "
-                "Run the preprocess job first."
+                f"no {name} split in {data_dir}: looked for {name}.parquet, {name}.csv "
+                f"and split={name}, which the preprocess job writes"
             )
     return found
 
@@ -149,5 +148,5 @@ def load_processed(
             df = first_rows(df, max_train_samples)
         stacked = df if stacked is None else stacked.unionByName(df, allowMissingColumns=True)
     if expected_labels is not None and n_labels != expected_labels:
-        raise ValueError(f"Expected {expected_labels} labels, found {n_labels} in mapping.")
+        raise ValueError(f"the label map has {n_labels} labels, not {expected_labels}")
     return stacked, dim, n_labels

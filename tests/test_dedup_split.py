@@ -72,6 +72,28 @@ def test_split_matches_brute_force(spark, sizes, val_size):
         assert got == brute_split(by_class, val_size, 7)
 
 
+def test_split_and_dedup_without_any_broadcast(spark, monkeypatch):
+    """The way beyond the size bound: everything is a shuffle join."""
+    monkeypatch.setattr(splitting, "broadcast_rows", lambda df, rows: df)
+    monkeypatch.setattr(splitting, "broadcast_if_small", lambda df: df)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_class = {0: list(range(900)), 1: list(range(900, 960)), 2: [960, 961]}
+        data = [(i, c, f"t{i}") for c, v in by_class.items() for i in v]
+        df = spark.createDataFrame(data, "row_id long, label int, text string")
+        out = splitting.stratified_split(df, 0.2, seed=3)
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {r["row_id"] for r in out.where("split = 'validation'").collect()}
+        assert got == brute_split(by_class, 0.2, 3)
+        twice = df.unionByName(df.withColumn("row_id", F.col("row_id") + 5000))
+        assert {r["row_id"] for r in dedup.deduplicate(twice).collect()} == set(range(962))
+    finally:
+        spark.conf.unset(threshold)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_quotas_do_not_overflow(spark):
     counts = {0: 3 * 10**12, 1: 2 * 10**12 + 1, 2: 17}
     df = spark.createDataFrame(list(counts.items()), "label int, n long")
@@ -113,6 +135,13 @@ def test_split_summary(spark):
     assert got == {"a": (3, 2, 1, 2), "b": (1, 1, 1, 1)}
 
 
+def test_first_rows_filter_reaches_the_scan(spark, tmp_path):
+    spark.range(1000).withColumnRenamed("id", "row_id").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = ranking.first_rows(df, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(row_id), LessThanOrEqual(row_id,9)]" in plan
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     ids=st.sets(st.integers(0, 2**62), min_size=1, max_size=60),

@@ -139,6 +139,26 @@ def test_orders(pair):
     assert sizes == {"train": (9, 4), "test": (5, 3)}
 
 
+def test_shares_of_the_published_class_sizes(spark):
+    # Largest, smallest and some other classes of a train set of 10,003 rows.
+    shares = {187: 1.87, 182: 1.82, 181: 1.81, 180: 1.8, 177: 1.77, 175: 1.75, 163: 1.63, 35: 0.35}
+    sizes = [*shares, 10003 - sum(shares)]
+    data = [("train", f"c{n}", 10, n) for n in sizes]
+    table = spark.createDataFrame(data, "split string, category string, n_words int, n long")
+    got = {r["train_count"]: r["train_share_%"] for r in profile.per_class_stats(table).collect()}
+    assert {n: got[n] for n in shares} == shares
+
+
+def test_class_sizes_read_no_text(spark, tmp_path, pair):
+    pair.write.parquet(str(tmp_path / "pair"))
+    stored = spark.read.parquet(str(tmp_path / "pair"))
+    plan = profile.class_distribution(profile.class_table(stored))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<split:string,category:string>" in plan
+    assert [tuple(r) for r in profile.class_distribution(profile.class_table(pair)).collect()] == [
+        tuple(r) for r in profile.class_distribution(profile.length_table(pair)).collect()
+    ]
+
+
 def test_reports_do_not_depend_on_partitioning(pair):
     one = profile.per_class_stats(profile.length_table(pair.coalesce(1))).collect()
     many = profile.per_class_stats(profile.length_table(pair.repartition(7, F.rand(3)))).collect()

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -35,6 +36,24 @@ def test_white_space_follows_python(spark):
         assert words == len(text.split())
 
 
+def test_random_texts_follow_python(spark):
+    rng = random.Random(11)
+    alphabet = list(WHITESPACE_CHARS) + list("aÉßñΣσİ.,?_-0\u200b\ufeff\u0301😀") + [" "] * 8
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    got = {r["i"]: r for r in df.select("i", clean_text("t").alias("c"), word_count("t").alias("n"), F.btrim("t", F.lit(WHITESPACE_CHARS)).alias("s")).collect()}
+    for i, text in enumerate(texts):
+        assert got[i]["c"] == re.sub(r"\s+", " ", text.strip())
+        assert got[i]["n"] == len(text.split())
+        assert got[i]["s"] == text.strip()
+
+
+def test_lower_case_beyond_ascii(spark):
+    texts = ["ÉCOLE", "ΟΔΟΣ", "STRASSE ß", "Ǆ", "ÀÖØ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(compare_key("t")).collect()] == [t.lower() for t in texts]
+
+
 def test_white_space_set_is_complete():
     assert all(c.isspace() for c in WHITESPACE_CHARS)
     assert [c for c in map(chr, range(0x110000)) if c.isspace()] == sorted(WHITESPACE_CHARS)
