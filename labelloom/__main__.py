@@ -24,7 +24,8 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--test", required=True, help="CSV with the test rows")
         sub.add_argument("--cache-dir", help="folder to land the parsed tables in")
         sub.add_argument("--labels", help="text file with one label per line, in id order")
-        sub.add_argument("--out", required=True)
+        out = "data/processed" if name == "preprocess" else "reports/eda"
+        sub.add_argument("--out", default=out)
         if name == "preprocess":
             sub.add_argument("--val-size", type=float, default=0.1)
             sub.add_argument("--seed", type=int, default=42)

@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from labelloom.functions.arrays import argmax, cross_entropy
-from labelloom.operators.ranking import nth_smallest
-from labelloom.storage import cut_lineage, write_table
+from labelloom.operators.ranking import first_rows
+from labelloom.storage import cut_lineage
 
 # The names under which the metrics are reported.
 METRIC_NAMES = (
@@ -28,6 +29,18 @@ METRIC_NAMES = (
 )
 
 
+def first_logits(df: DataFrame, logits_col: str) -> Column:
+    """The logit vector. A model may return several outputs per row, as a struct
+    or as a list of vectors; the first one holds the logits."""
+    kind = df.schema[logits_col].dataType
+    column = F.col(logits_col)
+    if isinstance(kind, StructType):
+        return column[kind.names[0]]
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, ArrayType):
+        return F.get(column, F.lit(0))
+    return column
+
+
 def confusion(
     df: DataFrame,
     groups: Sequence[str] = ("phase", "split"),
@@ -35,12 +48,13 @@ def confusion(
     label_col: str = "label",
 ) -> DataFrame:
     """``(groups, label, prediction, n, loss_sum)``."""
+    logits = first_logits(df, logits_col)
     return (
         df.select(
             *groups,
             F.col(label_col).cast("int").alias("label"),
-            argmax(logits_col).alias("prediction"),
-            cross_entropy(logits_col, label_col).alias("loss"),
+            argmax(logits).alias("prediction"),
+            cross_entropy(logits, label_col).alias("loss"),
         )
         .groupBy(*groups, "label", "prediction")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss_sum"))
@@ -61,7 +75,7 @@ def class_scores(cells: DataFrame, groups: Sequence[str] = ("phase", "split")) -
                  F.col("n").alias("predicted"), F.lit(0).cast("long").alias("hits")),
     )
 
-    def ratio(top, bottom):
+    def ratio(top: Column, bottom: Column) -> Column:
         return F.when(bottom == 0, F.lit(0.0)).otherwise(top / bottom)
 
     support, predicted, hits = F.col("support"), F.col("predicted"), F.col("hits")
@@ -126,13 +140,7 @@ def evaluate_splits(
     """
     wanted = predictions.where(F.col("split").isin(list(splits)))
     if max_eval_samples is not None:
-        wanted = reduce(
-            DataFrame.unionByName,
-            [
-                first_rows_per_phase(wanted.where(F.col("split") == s), max_eval_samples, id_col)
-                for s in splits
-            ],
-        )
+        wanted = first_rows_per_group(wanted, max_eval_samples, ("phase", "split"), id_col)
     cells = cut_lineage(confusion(wanted, ("phase", "split"), logits_col, label_col))
     present = {row["split"] for row in cells.select("split").distinct().collect()}
     for name in splits:
@@ -141,12 +149,16 @@ def evaluate_splits(
     return metric_table(cells)
 
 
-def first_rows_per_phase(df: DataFrame, n: int, id_col: str = "row_id") -> DataFrame:
-    """First rows of one split. Every phase holds the same ids, so the cutoff
-    is found once, on distinct ids, and applied as a filter."""
-    ids = write_table(df.select(id_col).distinct(), "ids")
-    cutoff = nth_smallest(ids, n, id_col)
-    return df if cutoff is None else df.where(F.col(id_col) <= F.lit(cutoff))
+def first_rows_per_group(
+    df: DataFrame, n: int, groups: Sequence[str], id_col: str = "row_id"
+) -> DataFrame:
+    """First ``n`` rows of each of a few groups, such as phases and splits; one
+    filter per group, no sort."""
+    parts = []
+    for key in df.select(*groups).distinct().collect():
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(key[c])) for c in groups])
+        parts.append(first_rows(df.where(same), n, id_col))
+    return reduce(DataFrame.unionByName, parts) if parts else df
 
 
 def clean_metric_names(metrics: DataFrame) -> DataFrame:

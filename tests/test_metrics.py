@@ -73,6 +73,24 @@ def test_first_rows_per_split(spark):
     assert everything.count() == 12
 
 
+def test_first_rows_with_other_ids_per_phase(spark):
+    rows = [r for r in random_rows(4) if r[1] == "baseline" or r[0] % 2]
+    got = metrics.evaluate_splits(frame(spark, rows), ("test",), max_eval_samples=9)
+    table = {(r["phase"], r["metric"]): r["value"] for r in got.collect()}
+    for phase in ("baseline", "after_lora"):
+        mine = sorted(r for r in rows if r[1] == phase and r[2] == "test")[:9]
+        want = brute([r[3] for r in mine], [r[4] for r in mine])
+        assert {n: table[phase, n] for n in want} == pytest.approx(want)
+
+
+def test_several_model_outputs(spark):
+    plain = frame(spark, random_rows(5))
+    want = sorted(map(tuple, metrics.confusion(plain).collect()))
+    other = F.array(F.lit(9.0).cast("float"))
+    for packed in (F.struct(F.col("logits").alias("z"), other), F.array(F.col("logits"), other)):
+        assert sorted(map(tuple, metrics.confusion(plain.withColumn("logits", packed)).collect())) == want
+
+
 def test_unknown_split_is_an_error(spark):
     with pytest.raises(KeyError, match="holdout"):
         metrics.evaluate_splits(frame(spark, random_rows(0)), ("test", "holdout"))
