@@ -136,9 +136,7 @@ def q_text_problems(spark, sf):
 
 
 def q_dedup_exact(spark, sf):
-    train = encoded(spark, sf).where(F.col("split") == "train")
-    kept = dedup.deduplicate(train, clean_text("text"))
-    return kept.select("row_id", clean_text("text").alias("text"), "label")
+    return dedup.deduplicate(cleaned_train(spark, sf)).select("row_id", "text", "label")
 
 
 def q_dedup_removed(spark, sf):
@@ -147,7 +145,7 @@ def q_dedup_removed(spark, sf):
 
 def q_stratified_split(spark, sf):
     # Ids and labels only; read several times by the split, so materialised.
-    rows = write_table(dedup.first_ids(cleaned_train(spark, sf)), "kept")
+    rows = write_table(dedup.first_ids(cleaned_train(spark, sf)), "firsts")
     return splitting.stratified_split(rows, VAL_SIZE, SEED).select("row_id", "label", "split")
 
 

@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import digest
+from labelloom.storage import write_table
+
+# A copied text costs about 50 bytes on each executor: digest, label and id.
+MAX_BROADCAST_COPIED = 500_000
 
 
 def first_ids(
     df: DataFrame, text_col: Column | str = "text", label_col: str = "label", id_col: str = "row_id"
 ) -> DataFrame:
-    """``(row_id, label, copies)``: the first row of each distinct (text, label).
+    """``(digest, label, row_id, copies)``: the first row of each distinct
+    (text, label).
 
     Only a digest, the label and the id are shuffled, and ``min`` and
     ``count`` combine before the shuffle, so a text holding a third of all
@@ -21,22 +26,50 @@ def first_ids(
         df.select(digest(text_col).alias("digest"), label_col, id_col)
         .groupBy("digest", label_col)
         .agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies"))
-        .drop("digest")
     )
 
 
-def deduplicate(
-    df: DataFrame, text_col: Column | str = "text", label_col: str = "label", id_col: str = "row_id"
+def keep_first(
+    df: DataFrame,
+    firsts: DataFrame,
+    text_col: Column | str = "text",
+    label_col: str = "label",
+    id_col: str = "row_id",
+    max_broadcast: int = MAX_BROADCAST_COPIED,
 ) -> DataFrame:
-    """Rows of ``df`` without later exact duplicates of (text, label).
+    """Rows of ``df`` that are listed in ``firsts``, its materialised first ids.
 
-    ``text_col`` may be an expression, such as the cleaned text: the rows keep
-    their raw text and only the survivors need cleaning.
-    ``id_col`` is unique and gives the row order, so the join back on it has
-    no hot key.
+    Rows have to be compared only with texts that occur more than once. While
+    these are few, however many copies they have, they are broadcast and no
+    text is shuffled. Beyond the bound it is a semi-join on the unique id,
+    whose shuffle has no hot key.
     """
-    keep = first_ids(df, text_col, label_col, id_col).select(id_col)
-    return df.join(keep, id_col, "left_semi")
+    copied = firsts.where("copies > 1").select(
+        F.col("digest").alias("copied_digest"),
+        F.col(label_col).alias("copied_label"),
+        F.col(id_col).alias("first_id"),
+    )
+    if copied.count() > max_broadcast:
+        return df.join(firsts.select(id_col), id_col, "left_semi")
+    same = F.col("own_digest").eqNullSafe(F.col("copied_digest")) & F.col(label_col).eqNullSafe(
+        F.col("copied_label")
+    )
+    return (
+        df.withColumn("own_digest", digest(text_col))
+        .join(F.broadcast(copied), same, "left")
+        .where(F.col("first_id").isNull() | (F.col("first_id") == F.col(id_col)))
+        .select(df.columns)
+    )
+
+
+def deduplicate(
+    df: DataFrame, text_col: Column | str = "text", label_col: str = "label", id_col: str = "row_id"
+) -> DataFrame:
+    """Rows of ``df`` without later exact duplicates of (text, label), in the
+    order of the unique ``id_col``. ``text_col`` may be an expression, such as
+    the cleaned text."""
+    firsts = write_table(first_ids(df, text_col, label_col, id_col), "firsts")
+    return keep_first(df, firsts, text_col, label_col, id_col)
 
 
 def duplicate_count(

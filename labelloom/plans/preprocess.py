@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.labels import DEFAULT_LABELS, label_dim
 from labelloom.functions.text import clean_text
-from labelloom.operators.dedup import first_ids
+from labelloom.operators.dedup import first_ids, keep_first
 from labelloom.operators.guards import require_all_labels
 from labelloom.operators.splitting import assign_split, validation_cutoffs
 from labelloom.schema import SPLITS
@@ -40,21 +40,24 @@ def preprocess(
 
     Duplicates are taken out of train only, after cleaning; test rows stay as
     they are. Which row goes where is decided on ids and digests alone; that
-    narrow table is materialised once, and the texts are shuffled once, when
-    the decision is joined back to them on their unique id.
+    narrow table is materialised once. The pass that writes the texts drops
+    copies against a broadcast of the copied texts and compares each row with
+    its class's cutoff, so it shuffles no text unless the copied texts are too
+    many to broadcast.
     """
     spark = pair.sparkSession
     dim = label_dim(spark, labels)
-    train = pair.where(F.col("split") == "train").drop("split")
-    test = pair.where(F.col("split") == "test")
+    cleaned = pair.withColumn("text", clean_text("text"))
+    train = cleaned.where(F.col("split") == "train").drop("split")
+    test = cleaned.where(F.col("split") == "test")
 
     removed = 0
+    kept = train.select("row_id", "label")
     if dedupe:
-        kept = write_table(first_ids(train, clean_text("text")), "kept")
-        removed = kept.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
-        kept = kept.drop("copies")
-    else:
-        kept = train.select("row_id", "label")
+        firsts = write_table(first_ids(train), "firsts")
+        removed = firsts.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
+        kept = firsts.select("row_id", "label")
+        train = keep_first(train, firsts)
     cutoffs = validation_cutoffs(kept, val_size, seed)
     assigned = assign_split(kept, cutoffs, seed)
 
@@ -73,14 +76,9 @@ def preprocess(
         F.max("n").alias("max_per_class"),
     )
 
-    if dedupe:
-        train_rows = train.join(assigned.select("row_id", "split"), "row_id")
-    else:
-        train_rows = assign_split(train, cutoffs, seed)
     columns = ["row_id", "text", "category", "label", "split"]
-    # Cleaned last, so that removed duplicates are not.
-    splits = train_rows.select(columns).unionByName(test.select(columns))
-    splits = splits.withColumn("text", clean_text("text"))
+    train = assign_split(train, cutoffs, seed)
+    splits = train.select(columns).unionByName(test.select(columns))
 
     if out_dir is not None:
         write_splits(splits, out_dir, fmt, layout)

@@ -21,6 +21,11 @@ def test_keep_first(spark):
     pdf = pd.DataFrame(data, columns=["row_id", "text", "label"]).sort_values("row_id")
     assert kept == set(pdf.drop_duplicates(["text", "label"], keep="first")["row_id"])
     assert tuple(dedup.duplicate_count(df).first()) == (9, 6, 3)
+    # The way beyond the broadcast bound.
+    firsts = dedup.first_ids(df).persist()
+    beyond = dedup.keep_first(df, firsts, max_broadcast=0)
+    assert {r["row_id"] for r in beyond.collect()} == kept
+    assert beyond.columns == dedup.deduplicate(df).columns == df.columns
     again = dedup.deduplicate(dedup.deduplicate(df))
     assert {r["row_id"] for r in again.collect()} == kept
 
