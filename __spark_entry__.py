@@ -44,6 +44,11 @@ from labelloom.sources import readers, writers  # noqa: E402
 from labelloom.storage import scratch_path, write_table  # noqa: E402
 from labelloom.streaming.landing import land_new_files, stream_files  # noqa: E402
 
+try:  # the one optional part of the library
+    from labelloom.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 VAL_SIZE, SEED = 0.1, 42
@@ -451,8 +456,9 @@ def q_stream_landing(spark, sf):
 
 
 def queries() -> dict[str, Query]:
-    """Every ``q_<name>`` above under ``<name>``."""
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    """Every ``q_<name>`` above under ``<name>``, and those of the optional part."""
+    own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    return own | (llm_queries.QUERIES if llm_queries else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -768,4 +774,4 @@ def oracle_sql() -> dict[str, str]:
             {_metric_ctes("judged")} SELECT phase, split, metric, round(value, 6) AS value FROM table6""",
         "stream_landing": f"WITH {_DOCS} SELECT row_id, clean AS text, lang AS category, label FROM e",
     }
-    return sql
+    return sql | (llm_queries.ORACLES if llm_queries else {})

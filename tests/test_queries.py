@@ -1,5 +1,7 @@
 """Every registered query against its SQL."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_module
@@ -16,8 +18,9 @@ def con():
 def test_registry():
     queries, sql = entry_module.queries(), entry_module.oracle_sql()
     assert set(sql) <= set(queries)
+    own = {name for name in queries if not re.match(r"op\d+_|pipeline$", name)}
     # Only the trained model has no counterpart in SQL.
-    assert set(queries) - set(sql) == {"train_text_classifier"}
+    assert own - set(sql) == {"train_text_classifier"}
 
 
 @pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
