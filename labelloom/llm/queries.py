@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import langid, mixing, sharding, tokens
+from labelloom.llm import langid, licenses, mixing, quality, secrets, sharding, tokens
 from labelloom.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,49 @@ def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = table(spark, sf_dir, "labels").where(crc_remainder("doc_id", 3) != 1)
+    field = quality.fit_quality_model(docs, known)
+    rows = docs.withColumn("held_out", crc_remainder("doc_id", 3) == 1)
+    return quality.score_quality(rows, field).select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.fit_markov(docs))
+    spans = F.col("secrets")
+
+    def listed(array):
+        return F.array_join(
+            F.transform(array, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    base = F.filter(spans, lambda s: s["kind"] != "markov")
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in secrets.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans")
+    )
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(narrow, SOURCE_WEIGHTS, OTHER_WEIGHT)
@@ -58,6 +101,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_shards": op2_shards,
+    "op3_quality": op3_quality,
+    "op4_secrets": op4_secrets,
+    "op5_licenses": op5_licenses,
     "op6_mix": op6_mix,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
