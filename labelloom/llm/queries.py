@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import langid, licenses, mixing, quality, secrets, sharding, tokens
+from labelloom.llm import langid, licenses, mixing, ngram_join, quality, secrets, sharding, tokens
 from labelloom.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(narrow, SOURCE_WEIGHTS, OTHER_WEIGHT)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.similar_documents(docs, ngram_join.Similarity(words=4, num=85, den=100))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.withColumn("held_out", crc_remainder("doc_id", 4) == 2)
@@ -105,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op4_secrets": op4_secrets,
     "op5_licenses": op5_licenses,
     "op6_mix": op6_mix,
+    "op7_ngram_join": op7_ngram_join,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
 }
