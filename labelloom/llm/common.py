@@ -32,6 +32,21 @@ def bounded_sample(df: DataFrame, rows: int, bound: int, *key: str, seed: int =
     return df.where(unit_hash(*key, seed=seed) < share).limit(bound)
 
 
+def most_frequent(df: DataFrame, count_col: str, bound: int) -> DataFrame:
+    """The rows with the largest counts, as many as fit ``bound`` without parting
+    rows of equal counts. A threshold on the count, found from a histogram of
+    the counts: no sort, and no more than ``bound`` rows."""
+    total = 0
+    histogram = df.groupBy(F.col(count_col).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c"))
+    least = None
+    for row in histogram.toLocalIterator():
+        total += row["n"]
+        if total > bound:
+            break
+        least = row["c"]
+    return df.where(F.col(count_col) >= F.lit(least)) if least is not None else df.limit(0)
+
+
 def slices(frames: Iterable[pd.DataFrame], column: str, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
     """Arrow batches cut so that a piece holds about ``chars`` characters of
     ``column``, however long its texts are; a single text is never cut."""

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import slices
+from labelloom.llm.common import most_frequent, slices
 from labelloom.llm.graph import connected_components
 from labelloom.llm.words import find_words, mix64, shingle_sets
 from labelloom.operators.sizing import broadcast_rows
@@ -338,15 +338,8 @@ def similar_documents(
     stage = write_table(document_sets(docs, rule, id_col, text_col), "document_sets")
     members = stage.where(F.col("n").isNotNull()).select("id", "n", "set_id")
     # Bounded by ``frequent``.
-    often = (
-        stage.where(F.col("n").isNull())
-        .select(F.inline("often"))
-        .groupBy("shingle")
-        .agg(F.sum("met").alias("met"))
-        .orderBy(F.desc("met"), "shingle")
-        .limit(frequent)
-        .toPandas()
-    )
+    counted = stage.where(F.col("n").isNull()).select(F.inline("often")).groupBy("shingle").agg(F.sum("met").alias("met"))
+    often = most_frequent(write_table(counted, "frequent_shingles"), "met", frequent).toPandas()
 
     # One row stands for each class.
     found = write_table(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import langid, licenses, mixing, ngram_join, quality, secrets, sharding, tokens
+from labelloom.llm import langid, licenses, mixing, ngram_join, quality, secret_scan, sharding, tokens
 from labelloom.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +46,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.find_secrets(docs, secrets.fit_markov(docs))
+    found = secret_scan.find_secrets(docs, secret_scan.fit_markov(docs))
     spans = F.col("secrets")
 
     def listed(array):
@@ -59,7 +59,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind):
         return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    counts = [count(kind) for kind in secrets.KINDS]
+    counts = [count(kind) for kind in secret_scan.KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans")
     )
