@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import langid, licenses, mixing, ngram_join, quality, secret_scan, sharding, tokens
+from labelloom.llm import decontamination, langid, licenses, mixing, ngram_join, quality, secret_scan, sharding, tokens
 from labelloom.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +104,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_shards": op2_shards,
     "op3_quality": op3_quality,
@@ -113,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op7_ngram_join": op7_ngram_join,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
