@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import decontamination, langid, licenses, mixing, ngram_join, quality, secret_scan, sharding, tokens
+from labelloom.llm import ann, decontamination, langid, licenses, mixing, ngram_join, quality, secret_scan, sharding, tokens
 from labelloom.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ SOURCE_WEIGHTS = (
 OTHER_WEIGHT = 4
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), N_SHARDS)
     return placed.select(
@@ -110,6 +115,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
     "op2_shards": op2_shards,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
