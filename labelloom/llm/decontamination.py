@@ -385,4 +385,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` that hold no benchmark item. Rows that share an id
     with one that does go with it."""
     leaked = find_leaks(docs, benchmark, id_col, **options).select(F.col(id_col).alias("leaked")).distinct()
+    leaked = write_table(leaked, "leaked_ids")
+    leaked = broadcast_rows(leaked, leaked.count(), MAX_BROADCAST_IDS)
     return docs.join(leaked, docs[id_col].eqNullSafe(F.col("leaked")), "left_anti")

@@ -4,24 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import ann, decontamination, langid, licenses, mixing, ngram_join, quality, secret_scan, sharding, tokens
 from labelloom.llm.common import crc_remainder, table
+from labelloom.llm.settings import N_SHARDS, OTHER_WEIGHT, SOURCE_WEIGHTS, TOKEN_LIMIT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-N_SHARDS = 8
-TOKEN_LIMIT = 4096
-# Target shares of the sources, in hundredths; the rest go to all others together.
-SOURCE_WEIGHTS = (
-    {"src0": 20, "src1": 10, "src2": 10, "src3": 8, "src4": 8}
-    | {f"src{i}": 4 for i in range(5, 10)}
-    | {f"src{i}": 2 for i in range(10, 20)}
-)
-OTHER_WEIGHT = 4
-
 
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
@@ -115,6 +107,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_neighbours": op1_neighbours,
     "op2_shards": op2_shards,
     "op3_quality": op3_quality,

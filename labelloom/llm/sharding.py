@@ -199,6 +199,27 @@ def shard_documents(docs: DataFrame, n_shards: int, **options: int) -> DataFrame
     return placed.select("doc_id", "text_crc32", "size", "shard", "slot")
 
 
+def shard_stream(docs: DataFrame, narrow: DataFrame, whole: DataFrame, n_shards: int, place: str = "position") -> DataFrame:
+    """``docs`` with ``size``, ``shard`` and ``slot``, where the key is a place in
+    a stream: shards are consecutive stretches of it of near equal bytes.
+
+    ``narrow`` holds ``(place, size)`` of all rows, ``whole`` the rows of
+    ``docs`` with their ``place``, which counts from 0 without gaps. Where the
+    stretches begin is worked out on the narrow rows; the texts aren't moved
+    for it. A shard that gets no row is left out.
+    """
+    shards = assign_shards(narrow, n_shards, F.col(place), F.lit(0), F.col("size"))
+    # One row per shard.
+    begins = sorted(r["b"] for r in shards.groupBy("shard").agg(F.min("group_key").alias("b")).collect())
+    names = sorted(r["shard"] for r in shards.select("shard").distinct().collect())
+    shard, begin = F.lit(None).cast("int"), F.lit(None).cast("long")
+    for name, b in zip(names, begins, strict=True):
+        shard = F.when(F.col(place) >= b, F.lit(name)).otherwise(shard)
+        begin = F.when(F.col(place) >= b, F.lit(b).cast("long")).otherwise(begin)
+    kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    return whole.select(*kept, text_size("text").alias("size"), shard.alias("shard"), (F.col(place) - begin).alias("slot"))
+
+
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
     """Write ``docs`` as one folder per shard, rows in slot order within files.
     ``placed`` holds ``(id_col, shard, slot)`` of unique ids; each shard is
