@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ def slices(frames: Iterable[pd.DataFrame], column: str, chars: int = 4_000_000)
     """Arrow batches cut so that a piece holds about ``chars`` characters of
     ``column``, however long its texts are; a single text is never cut."""
     for frame in frames:
-        sizes = frame[column].str.len().fillna(0).to_numpy().cumsum()
+        sizes = np.cumsum([len(t) if t else 0 for t in frame[column]])
         start = 0
         while start < len(frame):
             before = sizes[start - 1] if start else 0

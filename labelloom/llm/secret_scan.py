@@ -84,10 +84,12 @@ class MarkovRatio:
     ratio: np.ndarray
 
     @classmethod
-    def from_counts(cls, unlike: np.ndarray, ordinary: np.ndarray, smoothing: float = 1.0) -> MarkovRatio:
+    def from_counts(cls, unlike: np.ndarray, ordinary: np.ndarray, smoothing: float = 10.0) -> MarkovRatio:
+        """Steps seen seldom lean on how frequent the symbol is at all."""
         logs = []
         for counts in (unlike, ordinary):
-            smoothed = counts + smoothing
+            alone = (counts.sum(axis=0) + 1) / (counts.sum() + len(counts))
+            smoothed = counts + smoothing * alone[None, :]
             logs.append(np.log(smoothed / smoothed.sum(axis=1, keepdims=True)))
         return cls(logs[0] - logs[1])
 
