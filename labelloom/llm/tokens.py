@@ -10,7 +10,6 @@ that occurs everywhere is no hot key, and the vocabulary may be of any size.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -18,14 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import slices
+from labelloom.llm.common import most_frequent, slices
 from labelloom.storage import write_table
 
 TOKENIZER_FILE = "piece_bpe_32k.model"
 FREQUENT = 200_000
 SPACE = "▁"
-# Kinds of characters between which a vocabulary may never join.
-KINDS = (("space", f"[ {SPACE}]"), ("letter", r"[^\W\d_]"), ("digit", r"\d"), ("break", r"[\t\n\v\f\r]"))
+IRREGULAR = ("  ", " \n", "\n ", SPACE)
 
 
 def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
@@ -35,49 +33,47 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
 
 
 def load_tokenizer(path: str):
+    """A model whose pieces go on neither across the end of a word nor across a
+    line feed, so that words can be encoded one by one."""
     import sentencepiece
 
-    return sentencepiece.SentencePieceProcessor(model_file=path)
-
-
-def kind_of(char: str) -> str:
-    return next((name for name, pattern in KINDS if re.fullmatch(pattern, char)), "other")
-
-
-def joined_kinds(model) -> set[tuple[str, str]]:
-    """Pairs of character kinds that stand side by side within some piece."""
-    found = set()
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
     for i in range(model.get_piece_size()):
-        if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)):
-            piece = model.id_to_piece(i)
-            found |= {(kind_of(a), kind_of(b)) for a, b in zip(piece, piece[1:])}
-    return found
+        piece = model.id_to_piece(i)
+        if SPACE in piece.lstrip(SPACE) or ("\n" in piece and len(piece) > 1):
+            raise ValueError(f"pieces of this vocabulary reach across words: {piece!r}")
+    return model
 
 
-def pretoken_pattern(model) -> str:
-    """A pattern whose matches cover a text and end only where no piece goes on.
+def pretokens(text: str | None) -> tuple[list[str], list[str], int]:
+    """The text cut into words that follow one space, other pre-tokens as they
+    stand, and a number of line feeds.
 
-    A match is a run of kinds in which each step is one that some piece makes.
-    As the steps are looked at two characters at a time, the cuts are right for
-    any vocabulary of merges without a normalisation that changes the text.
+    The text is taken with a space before it, as the tokenizer does. Spaces are
+    part of the word behind them, and a line feed is always a piece of its own.
     """
-    joined = joined_kinds(model)
-    kinds = dict(KINDS) | {"other": rf"[^\w {SPACE}\t\n\v\f\r]|_"}
-    if any(b == "space" and a != "space" for a, b in joined):
-        raise ValueError("pieces of this vocabulary reach across spaces")
-    steps = "|".join(
-        f"(?<={_single(kinds[a])}){_single(kinds[b])}" for a in kinds for b in kinds if (a, b) in joined
-    )
-    return rf"(?s:.)(?:{steps})*"
-
-
-def _single(pattern: str) -> str:
-    return f"(?:{pattern})"
-
-
-def normalised(text: str | None) -> str:
-    """The text as the merges see it: a space put before it, spaces as their mark."""
-    return (SPACE + text.replace(" ", SPACE)) if text else ""
+    if not text:
+        return [], [], 0
+    lines = text.split("\n")
+    if text[0] == " " or text[-1] == " " or any(x in text for x in IRREGULAR):
+        found = []
+        for i, line in enumerate(lines):
+            marked = ("" if i else SPACE) + line.replace(" ", SPACE)
+            start = 0
+            for end in range(1, len(marked)):
+                if marked[end] == SPACE and marked[end - 1] != SPACE:
+                    found.append(marked[start:end])
+                    start = end
+            if marked:
+                found.append(marked[start:])
+        return [], found, len(lines) - 1
+    spaced, others = lines[0].split(" "), []
+    for line in lines[1:]:
+        if line:
+            words = line.split(" ")
+            others.append(words[0])
+            spaced += words[1:]
+    return spaced, others, len(lines) - 1
 
 
 def piece_counter(model) -> Callable[[list[str]], list[int]]:
@@ -92,16 +88,19 @@ def piece_counter(model) -> Callable[[list[str]], list[int]]:
     return count
 
 
-def pretoken_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+def pretoken_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(pretoken, n)``: all distinct pre-tokens of the texts with their frequency."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = re.compile(pretoken_pattern(load_tokenizer(path))).findall
-        for frame in slices(frames, text_col, 40_000_000):
-            seen: Counter = Counter()
+        for frame in slices(frames, text_col, 20_000_000):
+            spaced, seen = Counter(), Counter()
             for text in frame[text_col]:
-                seen.update(found(normalised(text)))
-            yield pd.DataFrame({"pretoken": list(seen), "n": list(seen.values())})
+                words, others, _ = pretokens(text)
+                spaced.update(words)
+                seen.update(others)
+            names = [SPACE + w for w in spaced] + list(seen)
+            if names:
+                yield pd.DataFrame({"pretoken": names, "n": [*spaced.values(), *seen.values()]})
 
     texts = docs.select(text_col)
     return texts.mapInPandas(count, "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
@@ -127,39 +126,35 @@ def count_tokens(
             yield frame.assign(pieces=count(frame["pretoken"].tolist()))
 
     vocabulary = write_table(
-        pretoken_counts(docs, path, text_col).mapInPandas(encode, "pretoken string, n long, pieces int"),
+        pretoken_counts(docs, text_col).mapInPandas(encode, "pretoken string, n long, pieces int"),
         "pretokens",
     )
     # Bounded by ``frequent``.
-    top = vocabulary.orderBy(F.desc("n"), "pretoken").limit(frequent).drop("n").toPandas()
+    top = most_frequent(vocabulary, "n", frequent).select("pretoken", "pieces").toPandas()
     known = docs.sparkSession.sparkContext.broadcast(
         dict(zip(top["pretoken"].tolist(), top["pieces"].tolist(), strict=True))
     )
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = re.compile(pretoken_pattern(load_tokenizer(path))).findall
         pieces = known.value
+        after_space = {k[1:]: n for k, n in pieces.items() if k[0] == SPACE and SPACE not in k[1:]}
+        line_feed = piece_counter(load_tokenizer(path))(["\n"])[0]
         for frame in slices(frames, text_col):
-            sums, rare, bytes_ = [], [], []
+            sums, rare = [], []
             for text in frame[text_col]:
-                total, others = 0, Counter()
-                for pretoken in found(normalised(text)):
-                    n = pieces.get(pretoken)
-                    if n is None:
-                        others[pretoken] += 1
-                    else:
-                        total += n
-                sums.append(total)
-                rare.append([{"pretoken": p, "n": n} for p, n in others.items()])
-                bytes_.append(len(text.encode()) if text else 0)
-            yield pd.DataFrame(
-                {id_col: frame[id_col], "n_bytes": bytes_, "frequent_tokens": sums, "rare": rare}
-            )
+                words, others, feeds = pretokens(text)
+                counts = list(map(after_space.get, words))
+                more = list(map(pieces.get, others))
+                unknown = Counter([SPACE + w for w, n in zip(words, counts, strict=True) if n is None])
+                unknown.update([w for w, n in zip(others, more, strict=True) if n is None])
+                sums.append(sum(filter(None, counts)) + sum(filter(None, more)) + feeds * line_feed)
+                rare.append([{"pretoken": p, "n": n} for p, n in unknown.items()])
+            yield pd.DataFrame({id_col: frame[id_col], "n_bytes": frame["n_bytes"], "frequent_tokens": sums, "rare": rare})
 
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, n_bytes long, frequent_tokens long, rare array<struct<pretoken:string,n:long>>"
     parts = write_table(
-        docs.select(id_col, text_col)
+        docs.select(id_col, text_col, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"))
         .mapInPandas(split, schema)
         .withColumn("uid", F.monotonically_increasing_id()),
         "document_pretokens",
