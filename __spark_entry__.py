@@ -16,12 +16,16 @@ from pyspark.sql.window import Window
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from labelloom.functions.arrays import argmax  # noqa: E402
 from labelloom.functions.labels import decode_labels, encode_labels, label_dim  # noqa: E402
 from labelloom.functions.text import clean_text, compare_key, word_count  # noqa: E402
 from labelloom.operators import (  # noqa: E402
     dedup,
+    guardrails,
     guards,
     metrics,
+    monitoring,
+    prepare,
     profile,
     quality,
     ranking,
@@ -175,7 +179,7 @@ def q_preview_head(spark, sf):
 def q_stack_splits(spark, sf):
     documents = by_source(spark, sf)
     parts = {s: documents.where(F.col("split") == s).drop("split") for s in ("train", "test")}
-    return stack_splits(**parts).groupBy("split").agg(F.count("*").alias("n_rows"))
+    return stack_splits(**parts)
 
 
 # --- profile ----------------------------------------------------------------
@@ -218,6 +222,25 @@ def q_top_classes_by_length(spark, sf):
 def q_eda_report(spark, sf):
     """The whole profile job; its reports in one long table."""
     report = run_eda(by_source(spark, sf), top_n=10)
+    stats = F.array(
+        *[
+            F.struct(F.lit(f"stats {name}").alias("report"), F.col(name).cast("double").alias("value"))
+            for name in report.stats.columns
+            if name != "category"
+        ]
+    )
+    bin_name = F.concat_ws(" ", "split", F.col("bin").cast("string"))
+    lengths_of = F.array(
+        *[
+            F.struct(F.lit(f"length {name}").alias("report"), F.round(F.col(f"{name}_words").cast("double"), 6).alias("value"))
+            for name in ("mean", "median", "p95", "max")
+        ]
+    )
+    ends = F.array(
+        F.struct(F.lit("largest").alias("report"), F.col("largest_class").alias("item"), F.col("largest_count").cast("double").alias("value")),
+        F.struct(F.lit("smallest").alias("report"), F.col("smallest_class").alias("item"), F.col("smallest_count").cast("double").alias("value")),
+        F.struct(F.lit("ratio").alias("report"), F.lit("imbalance").alias("item"), F.round("imbalance_ratio", 6).alias("value")),
+    )
     parts = [
         report.checks.select(
             F.lit("checks").alias("report"), F.col("check").alias("item"),
@@ -227,7 +250,10 @@ def q_eda_report(spark, sf):
             F.lit("distribution"), F.col("category"), F.col("n_rows").cast("double")
         ),
         report.longest_classes.select(F.lit("longest"), "category", F.round("avg_words", 6)),
-        report.lengths.select(F.lit("p95"), "split", F.round("p95_words", 6)),
+        report.lengths.select("split", F.inline(lengths_of)).select("report", "split", "value"),
+        report.stats.select("category", F.inline(stats)).where("value IS NOT NULL").select("report", "category", "value"),
+        report.histogram.select(F.lit("histogram"), bin_name, F.col("n_rows").cast("double")),
+        report.imbalance.select(F.inline(ends)),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -251,8 +277,12 @@ def q_class_scores(spark, sf):
 
 
 def q_eval_metrics(spark, sf):
-    one = predictions(spark, sf).where(F.col("phase") == "baseline")
-    return round6(metrics.compute_metrics(one), "value")
+    both = predictions(spark, sf)
+    tables = [
+        metrics.compute_metrics(both.where(F.col("phase") == phase)).withColumn("phase", F.lit(phase))
+        for phase in ("baseline", "after_lora")
+    ]
+    return round6(tables[0].unionByName(tables[1]), "value")
 
 
 def q_eval_loss(spark, sf):
@@ -311,13 +341,13 @@ def word_lengths(texts: list[str]) -> list[list[int]]:
 
 
 def q_tokenize_custom(spark, sf):
-    out = tokens.tokenize(encoded(spark, sf), max_length=MAX_TOKENS, tokenizer=word_lengths)
+    out = tokens.tokenize(encoded(spark, sf), max_length=None, tokenizer=word_lengths)
     return out.select("row_id", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("ids"))
 
 
 def q_pad_batches(spark, sf):
-    short = tokens.tokenize(encoded(spark, sf), max_length=MAX_TOKENS)
-    out = tokens.pad_batches(short.select("row_id", "input_ids"), BATCH, "[PAD]")
+    whole = tokens.tokenize(encoded(spark, sf), max_length=None)
+    out = tokens.pad_batches(whole.select("row_id", "input_ids"), BATCH, "[PAD]")
     return out.select(
         "row_id",
         "batch_id",
@@ -327,16 +357,16 @@ def q_pad_batches(spark, sf):
 
 
 def q_pad_batches_left(spark, sf):
-    short = tokens.tokenize(encoded(spark, sf), max_length=MAX_TOKENS)
-    inputs = short.select("row_id", "input_ids")
+    whole = tokens.tokenize(encoded(spark, sf), max_length=None)
+    inputs = whole.select("row_id", "input_ids")
     out = tokens.pad_batches(inputs, BATCH, "[PAD]", side="left")
     return out.select("row_id", "batch_id", F.array_join("input_ids", " ").alias("tokens"))
 
 
 def q_evaluation_batches(spark, sf):
     splits = encoded(spark, sf)
-    config = JobConfig(max_length=MAX_TOKENS, padding_side="left", eval_splits=("train", "test"))
-    out = evaluation_batches(splits, config)
+    config = JobConfig(padding_side="left", eval_splits=("train", "test"))
+    out = evaluation_batches(splits, config, max_length=None)
     return out.select("row_id", "split", "batch_id", F.array_join("input_ids", " ").alias("tokens"))
 
 
@@ -413,7 +443,7 @@ def q_stats_csv_roundtrip(spark, sf):
 
 
 def q_comparison_json(spark, sf):
-    """The comparison document written and read back, its delta as rows."""
+    """The comparison document written and read back, its sections as rows."""
     path = scratch_path(spark, "evaluation_comparison.json")
     table = metrics.evaluate_splits(predictions(spark, sf))
     document = writers.comparison_document(
@@ -423,10 +453,14 @@ def q_comparison_json(spark, sf):
     back = spark.read.schema(document.schema).json(path)
     return back.select(
         "model_id", F.col("num_labels").cast("long").alias("num_labels"),
-        F.explode("delta").alias("split", "m"),
+        F.explode(
+            F.create_map(*[x for name in ("baseline", "after_lora", "delta") for x in (F.lit(name), F.col(name))])
+        ).alias("section", "splits"),
     ).select(
-        "model_id", "num_labels", "split", F.explode("m").alias("metric", "delta")
-    ).withColumn("delta", F.round("delta", 6))
+        "model_id", "num_labels", "section", F.explode("splits").alias("split", "m")
+    ).select(
+        "model_id", "num_labels", "section", "split", F.explode("m").alias("metric", "value")
+    ).withColumn("value", F.round("value", 6))
 
 
 def q_untrained_baseline(spark, sf):
@@ -455,6 +489,168 @@ def q_stream_landing(spark, sf):
     return landed.select("row_id", "text", "category", "label")
 
 
+# --- examples for training ------------------------------------------------------------
+
+
+def table_of(spark, sf, name):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def q_token_length_filter(spark, sf):
+    return prepare.token_length_filter(by_lang(spark, sf), 100, 500).select("row_id", "n_tokens")
+
+
+def q_sample_exact(spark, sf):
+    return prepare.sample_exact(by_lang(spark, sf), 300, SEED).select("row_id", "text")
+
+
+def q_stratified_sample(spark, sf):
+    return prepare.stratified_sample(encoded(spark, sf), VAL_SIZE, SEED).select("row_id", "label")
+
+
+def q_format_instruction(spark, sf):
+    return prepare.format_instruction(table_of(spark, sf, "conversations"))
+
+
+def q_format_chat(spark, sf):
+    return prepare.format_chat(table_of(spark, sf, "conversations"))
+
+
+def q_format_by_dataset(spark, sf):
+    formats = {
+        "en": lambda text: F.concat(F.lit("Question: "), text),
+        "fr": lambda text: F.upper(F.trim(text)),
+    }
+    rows = by_lang(spark, sf).withColumn("dataset", F.col("category"))
+    return prepare.format_by_dataset(rows, formats).select("row_id", "dataset", "text")
+
+
+def q_dedup_by_hash(spark, sf):
+    return prepare.dedup_by_hash(by_lang(spark, sf))
+
+
+def q_near_duplicates(spark, sf):
+    return round6(prepare.near_duplicates(by_lang(spark, sf)), "jaccard")
+
+
+# --- guardrails -------------------------------------------------------------------------
+
+DISCLAIMERS = {"en": "This is not advice.", "fr": "Ceci n'est pas un conseil.", "de": "Dies ist kein Rat."}
+
+
+def q_pii_redact(spark, sf):
+    counts = [f"n_{kind}" for kind, _ in guardrails.PII_RULES]
+    return guardrails.pii_counts(by_lang(spark, sf)).select("row_id", *counts, "redacted")
+
+
+def q_blocklist_hits(spark, sf):
+    hits = guardrails.blocklist_hits("text")
+    return by_lang(spark, sf).select("row_id", F.array_join(hits, ",").alias("hits"))
+
+
+def q_format_rules(spark, sf):
+    return by_lang(spark, sf).select("row_id", F.array_join(guardrails.rule_hits("text"), ",").alias("hits"))
+
+
+def q_disclaimer(spark, sf):
+    """Applied twice: the second time adds nothing."""
+    rows = by_lang(spark, sf)
+    once = guardrails.with_disclaimer(rows, DISCLAIMERS, "category")
+    return guardrails.with_disclaimer(once, DISCLAIMERS, "category").select("row_id", "text")
+
+
+def q_guardrail_chain(spark, sf):
+    """Documents as answers, their first line as the question."""
+    rows = by_lang(spark, sf).select(
+        "row_id",
+        F.col("category").alias("domain"),
+        F.substring_index("text", "\n", 1).alias("question"),
+        F.col("text").alias("answer"),
+    )
+    out = guardrails.guardrail_chain(rows, DISCLAIMERS)
+    return out.select("row_id", "answer", F.array_join("flags", ",").alias("flags"))
+
+
+# --- monitoring -------------------------------------------------------------------------
+
+
+def q_response_stats(spark, sf):
+    stats = monitoring.response_stats(table_of(spark, sf, "conversations"), "role")
+    return round6(stats, *[c for c in stats.columns if c not in ("role", "n")])
+
+
+def q_rolling_response_stats(spark, sf):
+    daily = monitoring.daily_stats(table_of(spark, sf, "events"), "event_type")
+    rolling = monitoring.rolling_stats(daily, "event_type").withColumn("day", F.col("day").cast("string"))
+    return round6(rolling, "rolling_mean")
+
+
+def q_flag_rate(spark, sf):
+    events = table_of(spark, sf, "events")
+    rates = monitoring.flag_rate(events, F.col("event_type") == "error")
+    return round6(rates, "rate").withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm"))
+
+
+def q_top_questions(spark, sf):
+    return monitoring.top_questions(table_of(spark, sf, "conversations"), "role")
+
+
+def evaluation_log(spark, sf):
+    """Question, response, model version and phase of every judged row."""
+    return predictions(spark, sf).select(
+        F.col("row_id").alias("question_id"),
+        "phase",
+        argmax("logits").cast("string").alias("response"),
+        F.lit("v1").alias("model_version"),
+    )
+
+
+def q_eval_log_roundtrip(spark, sf):
+    """The log as JSON lines, a folder a phase, read back by its schema."""
+    path = scratch_path(spark, "evaluation_log")
+    writers.write_eval_log(evaluation_log(spark, sf), path)
+    return readers.read_eval_log(spark, path)
+
+
+def q_compare_answers(spark, sf):
+    return monitoring.compare_answers(evaluation_log(spark, sf), "baseline", "after_lora")
+
+
+def q_domain_layout_roundtrip(spark, sf):
+    """Stage and domain folders; one domain is read back by its own."""
+    base = scratch_path(spark, "store")
+    writers.write_stage(by_lang(spark, sf), base, "processed", "category")
+    back = readers.read_stage(spark, base, "processed", "category")
+    return back.select("row_id", "category", "text")
+
+
+def q_captured_traffic(spark, sf):
+    """Requests captured as JSON lines, as a source with a fixed schema."""
+    path = scratch_path(spark, "captured")
+    events = table_of(spark, sf, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    events.write.json(path)
+    back = readers.read_captured(spark, path, events.schema)
+    k = F.get_json_object("props", "$.k").cast("long")
+    return back.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+
+
+def embedding_sides(spark, sf):
+    vectors = table_of(spark, sf, "embeddings")
+    return vectors.where("vec_id % 2 = 0"), vectors.where("vec_id % 2 = 1")
+
+
+def q_embedding_centroid_drift(spark, sf):
+    return round6(monitoring.centroid_drift(*embedding_sides(spark, sf), "label"), "cosine")
+
+
+def q_embedding_psi(spark, sf):
+    """Centers are saved data: the first vector of each label. One row a label
+    reaches the driver."""
+    first = table_of(spark, sf, "embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("c"))
+    centers = [r["c"] for r in first.orderBy("label").collect()]
+    return round6(monitoring.stability_index(*embedding_sides(spark, sf), centers), "p", "q", "psi")
+
+
 def queries() -> dict[str, Query]:
     """Every ``q_<name>`` above under ``<name>``, and those of the optional part."""
     own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
@@ -621,16 +817,171 @@ _TOP = """
 SELECT category, round(avg(n_words), 6) AS avg_words FROM w WHERE split = 'train'
 GROUP BY category ORDER BY avg(n_words) DESC, category LIMIT 10"""
 
+_HISTOGRAM = """
+WITH r AS (SELECT split, min(n_words)::DOUBLE AS lo, max(n_words)::DOUBLE AS hi FROM w GROUP BY split),
+            bins AS (
+              SELECT split, lo, hi, k + 1 AS bin, k * ((hi - lo) / 40.0::DOUBLE) + lo AS bin_start,
+                     CASE WHEN k = 39 THEN hi ELSE (k + 1) * ((hi - lo) / 40.0::DOUBLE) + lo END AS bin_end
+              FROM r, range(40) AS g(k))
+            SELECT b.split, b.bin, round(b.bin_start, 6) AS bin_start, round(b.bin_end, 6) AS bin_end,
+                   count(w.row_id) AS n_rows
+            FROM bins b LEFT JOIN w ON w.split = b.split AND w.n_words >= b.bin_start
+              AND (w.n_words < b.bin_end OR (b.bin = 40 AND w.n_words <= b.bin_end))
+            GROUP BY b.split, b.bin, b.bin_start, b.bin_end"""
+
+_IMBALANCE = """
+WITH c AS (
+              SELECT source AS category, count(*) AS n FROM d WHERE split = 'train' GROUP BY source)
+            SELECT (SELECT category FROM c ORDER BY n DESC, category LIMIT 1) AS largest_class,
+                   max(n) AS largest_count,
+                   (SELECT category FROM c ORDER BY n, category LIMIT 1) AS smallest_class,
+                   min(n) AS smallest_count, round(max(n)::DOUBLE / min(n), 6) AS imbalance_ratio
+            FROM c"""
+
 _TOKENS = _DOCS + f""",
 t AS (SELECT row_id, label, regexp_extract_all(text, '{_TOKEN}') AS tokens FROM e)"""
 
 _PADDED = _TOKENS + f""",
-cut AS (SELECT row_id, tokens[1:{MAX_TOKENS}] AS tokens,
+cut AS (SELECT row_id, tokens,
                (row_number() OVER (ORDER BY row_id) - 1) // {BATCH} AS batch_id FROM t),
 sized AS (SELECT *, max(len(tokens)) OVER (PARTITION BY batch_id) - len(tokens) AS gap FROM cut),
 padded AS (SELECT *, list_transform(range(gap), lambda i: '[PAD]') AS filler FROM sized)"""
 
 
+_NORMAL = "' ' || regexp_replace(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+
+
+def _hits(text: str) -> str:
+    words = _NORMAL.format(text)
+    listed = ", ".join(f"CASE WHEN contains({words}, ' {p} ') THEN '{p}' END" for p in guardrails.BLOCKLIST)
+    return f"list_filter([{listed}], lambda x: x IS NOT NULL)"
+
+
+def _rules(text: str) -> str:
+    listed = ", ".join(
+        f"CASE WHEN regexp_matches({text}, '{p}') THEN '{name}' END" for name, p in guardrails.FORMAT_RULES
+    )
+    return f"list_filter([{listed}], lambda x: x IS NOT NULL)"
+
+
+def _redacted(text: str, upto: int = len(guardrails.PII_RULES)) -> str:
+    for kind, pattern in guardrails.PII_RULES[:upto]:
+        text = f"regexp_replace({text}, '{pattern}', '[{kind}]', 'g')"
+    return text
+
+
+def _disclaimed(text: str, domain: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in DISCLAIMERS.items())
+    known = f"(CASE {domain} {cases} END)"
+    return f"CASE WHEN {known} IS NULL OR contains({text}, {known}) THEN {text} ELSE {text} || chr(10) || {known} END"
+
+
+_LOG = _PREDICTIONS + """,
+log AS (SELECT row_id AS question_id, phase, prediction::INTEGER::VARCHAR AS response, 'v1' AS model_version FROM p)"""
+
+
+def _preparation_sql() -> dict[str, str]:
+    counts = ", ".join(
+        f"len(regexp_extract_all({_redacted('text', i)}, '{p}'))::BIGINT AS n_{kind}"
+        for i, (kind, p) in enumerate(guardrails.PII_RULES)
+    )
+    bands = ", ".join(f"'{k}:' || list_min(list_transform(sh, lambda s: s[{8 * k + 1}:{8 * k + 8}]))" for k in range(prepare.MINIMA))
+    return {
+        "token_length_filter": f"""WITH {_TOKENS} SELECT row_id, len(tokens)::BIGINT AS n_tokens FROM t
+            WHERE len(tokens) BETWEEN 100 AND 500""",
+        "sample_exact": f"""WITH {_DOCS} SELECT row_id, text FROM d
+            ORDER BY md5('{SEED}:' || CAST(row_id AS VARCHAR)), row_id LIMIT 300""",
+        "stratified_sample": f"""WITH {_DOCS}, every AS (SELECT row_id, label FROM e), {_split_ctes("every")}
+            SELECT row_id, label FROM assigned WHERE split = 'validation'""",
+        "format_instruction": """WITH s AS (SELECT conv_id, arg_min(text, turn) AS context FROM conversations
+              WHERE role = 'system' GROUP BY conv_id)
+            SELECT u.conv_id, u.turn, '### Instruction:' || chr(10) || u.text || chr(10) || chr(10)
+                   || CASE WHEN trim(coalesce(context, '')) <> '' THEN '### Input:' || chr(10) || context || chr(10) || chr(10) ELSE '' END
+                   || '### Response:' || chr(10) || a.text AS example
+            FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+              AND a.role = 'assistant' LEFT JOIN s ON s.conv_id = u.conv_id WHERE u.role = 'user'""",
+        "format_chat": """SELECT conv_id, count(*) AS n_turns,
+            string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS chat
+            FROM conversations GROUP BY conv_id""",
+        "format_by_dataset": f"""WITH {_DOCS} SELECT row_id, lang AS dataset, CASE lang WHEN 'en' THEN 'Question: ' || text
+            WHEN 'fr' THEN upper(trim(text)) ELSE text END AS text FROM d""",
+        "dedup_by_hash": f"""WITH {_DOCS} SELECT sha256(key) AS content_hash, min(row_id) AS row_id, count(*) AS copies
+            FROM d GROUP BY key""",
+        "near_duplicates": f"""WITH {_DOCS},
+            firsts AS (SELECT min(row_id) AS row_id, key FROM d GROUP BY key),
+            ws AS (SELECT row_id, list_filter(string_split_regex(key, '\\s+'), lambda w: w <> '') AS ws FROM firsts),
+            sets AS (SELECT row_id, list_distinct(CASE WHEN len(ws) >= 5
+                       THEN list_transform(range(1, len(ws) - 3), lambda i: md5(array_to_string(ws[i:i + 4], ' ')))
+                       ELSE [md5(array_to_string(ws, ' '))] END) AS sh FROM ws WHERE len(ws) > 0),
+            banded AS (SELECT row_id, unnest([{bands}]) AS band FROM sets),
+            leaders AS (SELECT band, min(row_id) AS leader FROM banded GROUP BY band),
+            pairs AS (SELECT DISTINCT row_id, leader FROM banded JOIN leaders USING (band) WHERE row_id <> leader),
+            judged AS (SELECT p.row_id, p.leader, len(list_intersect(a.sh, b.sh)) AS c, len(a.sh) AS na, len(b.sh) AS nb
+                       FROM pairs p JOIN sets a ON a.row_id = p.row_id JOIN sets b ON b.row_id = p.leader)
+            SELECT row_id, leader, round(c::DOUBLE / (na + nb - c), 6) AS jaccard FROM judged
+            WHERE c::DOUBLE / (na + nb - c) >= 0.8::DOUBLE""",
+        "pii_redact": f"WITH {_DOCS} SELECT row_id, {counts}, {_redacted('text')} AS redacted FROM d",
+        "blocklist_hits": f"WITH {_DOCS} SELECT row_id, array_to_string({_hits('text')}, ',') AS hits FROM d",
+        "format_rules": f"WITH {_DOCS} SELECT row_id, array_to_string({_rules('text')}, ',') AS hits FROM d",
+        "disclaimer": f"WITH {_DOCS} SELECT row_id, {_disclaimed('text', 'lang')} AS text FROM d",
+        "guardrail_chain": f"""WITH {_DOCS},
+            q AS (SELECT row_id, lang, string_split(text, chr(10))[1] AS question, text FROM d),
+            screened AS (SELECT row_id, lang, len({_hits('question')}) > 0 AS blocked,
+                                {_redacted('question')} <> question AS pii, text FROM q),
+            formatted AS (SELECT row_id, blocked, pii, CASE WHEN NOT blocked THEN {_disclaimed('text', 'lang')} END AS answer FROM screened)
+            SELECT row_id, {_redacted('answer')} AS answer, array_to_string(list_filter([
+                CASE WHEN blocked THEN 'input:blocklist' END, CASE WHEN pii THEN 'input:pii' END,
+                CASE WHEN {_redacted('answer')} <> answer THEN 'output:pii' END,
+                CASE WHEN len({_hits('answer')}) > 0 THEN 'output:blocklist' END,
+                CASE WHEN len({_rules('answer')}) > 0 THEN 'output:format' END], lambda x: x IS NOT NULL), ',') AS flags
+            FROM formatted""",
+        "response_stats": f"""WITH c AS (SELECT role, text,
+                lower(regexp_replace(regexp_replace(text, '^{_SPACE}', ''), '{_SPACE}$', '')) AS key,
+                trim(regexp_replace(text, '{_SPACE}', ' ', 'g')) AS clean FROM conversations),
+            w AS (SELECT role, length(text) AS chars,
+                CASE WHEN clean = '' THEN 0 ELSE len(string_split(clean, ' ')) END AS words,
+                len(string_split(text, chr(10))) AS lines, len(regexp_extract_all(text, '[.!?]')) AS sentences,
+                list_filter(string_split_regex(key, '\\s+'), lambda x: x <> '') AS ws FROM c)
+            SELECT role, count(*) AS n, round(avg(chars), 6) AS mean_chars, round(stddev_samp(chars), 6) AS sd_chars,
+                round(avg(words), 6) AS mean_words, round(avg(lines), 6) AS mean_lines,
+                round(avg(sentences), 6) AS mean_sentences,
+                round(avg(len(list_distinct(ws))::DOUBLE / greatest(len(ws), 1)), 6) AS distinct_ratio
+            FROM w GROUP BY role""",
+        "rolling_response_stats": """WITH daily AS (SELECT event_type, ts::DATE AS day, count(*) AS n, sum(value) AS total
+              FROM events GROUP BY event_type, ts::DATE)
+            SELECT event_type, day::VARCHAR AS day, (sum(n) OVER w)::BIGINT AS rolling_n, round(sum(total) OVER w / sum(n) OVER w, 6) AS rolling_mean
+            FROM daily WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+        "flag_rate": """SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M') AS period, count(*) AS n,
+            count(*) FILTER (event_type = 'error') AS n_flagged,
+            round(count(*) FILTER (event_type = 'error') / count(*)::DOUBLE, 6) AS rate FROM events GROUP BY 1""",
+        "top_questions": f"""WITH c AS (SELECT role,
+                lower(regexp_replace(regexp_replace(text, '^{_SPACE}', ''), '{_SPACE}$', '')) AS key FROM conversations),
+            n AS (SELECT role, key, count(*) AS n FROM c GROUP BY role, key)
+            SELECT role, key, n, rank::INTEGER AS rank FROM (
+              SELECT *, row_number() OVER (PARTITION BY role ORDER BY n DESC, key) AS rank FROM n) WHERE rank <= 5""",
+        "eval_log_roundtrip": f"WITH {_LOG} SELECT * FROM log",
+        "compare_answers": f"""WITH {_LOG} SELECT b.question_id, b.response AS before, a.response AS after,
+            b.response <> a.response AS changed FROM log b JOIN log a USING (question_id)
+            WHERE b.phase = 'baseline' AND a.phase = 'after_lora'""",
+        "domain_layout_roundtrip": "SELECT doc_id AS row_id, lang AS category, text FROM documents",
+        "captured_traffic": """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id, event_type, value,
+            (props::JSON->>'$.k')::BIGINT AS k FROM events""",
+        "embedding_centroid_drift": """WITH x AS (SELECT vec_id % 2 AS side, label, generate_subscripts(embedding, 1) AS pos,
+                unnest(embedding)::DOUBLE AS x FROM embeddings),
+            m AS (SELECT side, label, pos, avg(x) AS x FROM x GROUP BY ALL)
+            SELECT a.label, round(sum(a.x * b.x) / sqrt(sum(a.x * a.x) * sum(b.x * b.x)), 6) AS cosine
+            FROM m a JOIN m b ON b.label = a.label AND b.pos = a.pos AND a.side = 0 AND b.side = 1 GROUP BY a.label""",
+        "embedding_psi": """WITH c AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cluster, arg_min(embedding, vec_id)::DOUBLE[] AS c
+                FROM embeddings GROUP BY label),
+            best AS (SELECT vec_id, arg_max(cluster, (list_inner_product(embedding::DOUBLE[], c), -cluster))::INTEGER AS cluster
+                     FROM embeddings, c GROUP BY vec_id),
+            n AS (SELECT cluster, count(*) FILTER (vec_id % 2 = 0) AS b, count(*) FILTER (vec_id % 2 = 1) AS l FROM best GROUP BY cluster),
+            pq AS (SELECT cluster, greatest(b / (sum(b) OVER ())::DOUBLE, 0.0001::DOUBLE) AS p,
+                          greatest(l / (sum(l) OVER ())::DOUBLE, 0.0001::DOUBLE) AS q FROM n)
+            SELECT cluster, round(p, 6) AS p, round(q, 6) AS q, round((q - p) * ln(q / p), 6) AS psi FROM pq""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_text": f"WITH {_DOCS} SELECT row_id, clean FROM d",
@@ -668,7 +1019,7 @@ def oracle_sql() -> dict[str, str]:
             {_split_ctes("base_rows")} SELECT label, n, n_val FROM quotas""",
         "first_n": f"WITH {_DOCS} SELECT row_id, text FROM d WHERE split = 'train' ORDER BY row_id LIMIT {FIRST_N}",
         "preview_head": f"WITH {_DOCS} SELECT row_id, text, source AS category FROM d ORDER BY row_id LIMIT 5",
-        "stack_splits": f"WITH {_DOCS} SELECT split, count(*) AS n_rows FROM d GROUP BY split",
+        "stack_splits": f"WITH {_DOCS} SELECT row_id, text, source AS category, split FROM d",
         "per_class_stats": f"WITH {_STATS}",
         "stats_csv_roundtrip": f"WITH {_STATS}",
         "quality_checks": f'WITH {_CHECKS} SELECT "check", value FROM checks',
@@ -676,43 +1027,38 @@ def oracle_sql() -> dict[str, str]:
             count(DISTINCT source) AS n_categories FROM d GROUP BY split""",
         "class_distribution": f"""WITH {_DOCS} SELECT source AS category, count(*) AS n_rows
             FROM d WHERE split = 'train' GROUP BY source""",
-        "imbalance": f"""WITH {_DOCS}, c AS (
-              SELECT source AS category, count(*) AS n FROM d WHERE split = 'train' GROUP BY source)
-            SELECT (SELECT category FROM c ORDER BY n DESC, category LIMIT 1) AS largest_class,
-                   max(n) AS largest_count,
-                   (SELECT category FROM c ORDER BY n, category LIMIT 1) AS smallest_class,
-                   min(n) AS smallest_count, round(max(n)::DOUBLE / min(n), 6) AS imbalance_ratio
-            FROM c""",
+        "imbalance": f"WITH {_DOCS} SELECT * FROM ({_IMBALANCE})",
         "length_summary": f"""WITH {_WORDS} SELECT split, round(avg(n_words), 6) AS mean_words,
             round(quantile_cont(n_words::DOUBLE, 0.5), 6) AS median_words,
             round(quantile_cont(n_words::DOUBLE, 0.95), 6) AS p95_words, max(n_words) AS max_words
             FROM w GROUP BY split""",
-        "length_histogram": f"""WITH {_WORDS},
-            r AS (SELECT split, min(n_words)::DOUBLE AS lo, max(n_words)::DOUBLE AS hi FROM w GROUP BY split),
-            bins AS (
-              SELECT split, lo, hi, k + 1 AS bin, k * ((hi - lo) / 40.0::DOUBLE) + lo AS bin_start,
-                     CASE WHEN k = 39 THEN hi ELSE (k + 1) * ((hi - lo) / 40.0::DOUBLE) + lo END AS bin_end
-              FROM r, range(40) AS g(k))
-            SELECT b.split, b.bin, round(b.bin_start, 6) AS bin_start, round(b.bin_end, 6) AS bin_end,
-                   count(w.row_id) AS n_rows
-            FROM bins b LEFT JOIN w ON w.split = b.split AND w.n_words >= b.bin_start
-              AND (w.n_words < b.bin_end OR (b.bin = 40 AND w.n_words <= b.bin_end))
-            GROUP BY b.split, b.bin, b.bin_start, b.bin_end""",
+        "length_histogram": f"WITH {_WORDS} SELECT * FROM ({_HISTOGRAM})",
         "top_classes_by_length": f"WITH {_WORDS} {_TOP}",
         "eda_report": f"""WITH {_CHECKS},
-            w AS (SELECT source AS category, split,
+            w AS (SELECT row_id, source AS category, split,
                   CASE WHEN clean = '' THEN 0 ELSE len(string_split(clean, ' ')) END::BIGINT AS n_words FROM d)
             SELECT 'checks' AS report, "check" AS item, value::DOUBLE AS value FROM checks
             UNION ALL SELECT 'distribution', category, count(*)::DOUBLE FROM w WHERE split = 'train' GROUP BY category
             UNION ALL SELECT 'longest', category, avg_words FROM ({_TOP})
-            UNION ALL SELECT 'p95', split, round(quantile_cont(n_words::DOUBLE, 0.95), 6) FROM w GROUP BY split""",
+            UNION ALL SELECT 'length mean', split, round(avg(n_words), 6) FROM w GROUP BY split
+            UNION ALL SELECT 'length median', split, round(quantile_cont(n_words::DOUBLE, 0.5), 6) FROM w GROUP BY split
+            UNION ALL SELECT 'length p95', split, round(quantile_cont(n_words::DOUBLE, 0.95), 6) FROM w GROUP BY split
+            UNION ALL SELECT 'length max', split, max(n_words)::DOUBLE FROM w GROUP BY split
+            UNION ALL SELECT 'stats ' || name, category, value FROM (
+              UNPIVOT (SELECT category, train_count::DOUBLE AS train_count, train_avg_words, train_max_words::DOUBLE AS train_max_words,
+                              test_count::DOUBLE AS test_count, test_avg_words, test_max_words::DOUBLE AS test_max_words, "train_share_%"
+                       FROM (WITH {_STATS}))
+              ON COLUMNS(* EXCLUDE category) INTO NAME name VALUE value) WHERE value IS NOT NULL
+            UNION ALL SELECT 'histogram', split || ' ' || bin, n_rows::DOUBLE FROM ({_HISTOGRAM})
+            UNION ALL SELECT unnest(['largest', 'smallest', 'ratio']), unnest([largest_class, smallest_class, 'imbalance']),
+                             unnest([largest_count::DOUBLE, smallest_count::DOUBLE, imbalance_ratio]) FROM ({_IMBALANCE})""",
         "confusion": f"""WITH {_PREDICTIONS} SELECT phase, split, label, prediction::INTEGER AS prediction,
             count(*) AS n, round(sum(loss), 6) AS loss_sum FROM p GROUP BY phase, split, label, prediction""",
         "class_scores": f"""WITH {_EVAL_ALL} SELECT phase, split, class::INTEGER AS class, support, predicted, hits,
             round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM scores""",
         "eval_metrics": f"""WITH {_PREDICTIONS},
-            one AS (SELECT phase, 'all' AS split, label, prediction, loss FROM p WHERE phase = 'baseline'),
-            {_metric_ctes("one")} SELECT metric, round(value, 6) AS value FROM table5""",
+            one AS (SELECT phase, 'all' AS split, label, prediction, loss FROM p),
+            {_metric_ctes("one")} SELECT phase, metric, round(value, 6) AS value FROM table5""",
         "eval_loss": f"""WITH {_PREDICTIONS} SELECT phase, split, 'loss' AS metric, round(avg(loss), 6) AS value
             FROM p GROUP BY phase, split""",
         "evaluate_splits": f"WITH {_EVAL} SELECT phase, split, metric, round(value, 6) AS value FROM table6",
@@ -724,19 +1070,21 @@ def oracle_sql() -> dict[str, str]:
         "compare_evals": f"""WITH {_EVAL}, {_DELTA} SELECT split, metric, round(baseline, 6) AS baseline,
             round(after, 6) AS after, round(delta, 6) AS delta, metric = 'f1_macro' AS is_primary FROM delta""",
         "comparison_json": f"""WITH {_EVAL}, {_DELTA} SELECT 'fixture' AS model_id, 10::BIGINT AS num_labels,
-            split, metric, round(delta, 6) AS delta FROM delta""",
+            section, split, metric, round(value, 6) AS value FROM (
+              SELECT phase AS section, split, metric, value FROM table6
+              UNION ALL SELECT 'delta', split, metric, delta FROM delta)""",
         "tokenize": f"""WITH {_TOKENS} SELECT row_id, label AS labels, array_to_string(tokens, ' ') AS tokens,
             len(tokens) AS n_tokens FROM t""",
         "truncate_tokens": f"""WITH {_TOKENS} SELECT row_id, array_to_string(tokens[1:{MAX_TOKENS}], ' ') AS tokens,
             len(tokens[1:{MAX_TOKENS}]) AS n_tokens FROM t""",
         "tokenize_custom": f"""WITH {_DOCS} SELECT row_id, array_to_string(list_transform(
-            string_split(clean, ' ')[1:{MAX_TOKENS}], lambda x: length(x)::VARCHAR), ' ') AS ids FROM d""",
+            string_split(clean, ' '), lambda x: length(x)::VARCHAR), ' ') AS ids FROM d""",
         "pad_batches": f"""WITH {_PADDED} SELECT row_id, batch_id, array_to_string(list_concat(tokens, filler), ' ') AS tokens,
             repeat('1', len(tokens)) || repeat('0', gap) AS mask FROM padded""",
         "pad_batches_left": f"""WITH {_PADDED} SELECT row_id, batch_id,
             array_to_string(list_concat(filler, tokens), ' ') AS tokens FROM padded""",
         "evaluation_batches": f"""WITH {_DOCS},
-            cut AS (SELECT row_id, split, regexp_extract_all(text, '{_TOKEN}')[1:{MAX_TOKENS}] AS tokens,
+            cut AS (SELECT row_id, split, regexp_extract_all(text, '{_TOKEN}') AS tokens,
                            (row_number() OVER (PARTITION BY split ORDER BY row_id) - 1) // {BATCH} AS batch_id FROM d),
             sized AS (SELECT *, max(len(tokens)) OVER (PARTITION BY split, batch_id) - len(tokens) AS gap FROM cut)
             SELECT row_id, split, batch_id, array_to_string(
@@ -774,4 +1122,4 @@ def oracle_sql() -> dict[str, str]:
             {_metric_ctes("judged")} SELECT phase, split, metric, round(value, 6) AS value FROM table6""",
         "stream_landing": f"WITH {_DOCS} SELECT row_id, clean AS text, lang AS category, label FROM e",
     }
-    return sql | (llm_queries.ORACLES if llm_queries else {})
+    return sql | _preparation_sql() | (llm_queries.ORACLES if llm_queries else {})

@@ -1,18 +1,20 @@
 """Checks that a table is fit for the next step.
 
 Every check comes as a table of offenders and, where the job has to stop, as
-a ``require_*`` function that raises. The tables are whole; only the error
-messages show no more than the first names.
+a ``require_*`` function that raises. The message names every offender; if
+there are very many, it gives their number, the first ones, and where the whole
+table lies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import compare_key
+from labelloom.storage import scratch_path
 
 SHOWN_IN_ERRORS = 200
 
@@ -33,6 +35,17 @@ class NullTextError(ValueError):
     pass
 
 
+def _offenders(bad: DataFrame) -> tuple[list[Row], str]:
+    """The rows of ``bad`` to name, and what to say of the others."""
+    rows = bad.take(SHOWN_IN_ERRORS + 1)
+    if len(rows) <= SHOWN_IN_ERRORS:
+        return rows, ""
+    path = scratch_path(bad.sparkSession, "offenders")
+    bad.write.parquet(path)
+    total = bad.sparkSession.read.parquet(path).count()
+    return rows[:SHOWN_IN_ERRORS], f" and others, {total} in all; the whole list: {path}"
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], split: str) -> DataFrame:
     """Schema check only; runs no job."""
     for name in columns:
@@ -93,34 +106,34 @@ def category_summary(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def require_known_labels(df: DataFrame, dim: DataFrame) -> DataFrame:
-    bad = unknown_labels(df, dim).orderBy("split", "category").take(SHOWN_IN_ERRORS)
+    bad, more = _offenders(unknown_labels(df, dim).orderBy("split", "category"))
     if bad:
         names: dict[str, list] = {}
         for row in bad:
             names.setdefault(row["split"], []).append(row["category"])
         text = "; ".join(f"{s}: {v}" for s, v in names.items())
-        raise UnknownLabelError(f"categories outside the vocabulary: {text}")
+        raise UnknownLabelError(f"categories outside the vocabulary: {text}{more}")
     return df
 
 
 def require_coverage(
     df: DataFrame, dim: DataFrame, full_splits: Sequence[str] = ("train",)
 ) -> DataFrame:
-    bad = label_coverage(df, dim, full_splits).take(SHOWN_IN_ERRORS)
+    bad, more = _offenders(label_coverage(df, dim, full_splits))
     if bad:
-        raise MissingLabelError(f"labels do not match the vocabulary: {[tuple(r) for r in bad]}")
+        raise MissingLabelError(f"labels do not match the vocabulary: {[tuple(r) for r in bad]}{more}")
     return df
 
 
 def require_all_labels(df: DataFrame, dim: DataFrame, splits: Sequence[str]) -> DataFrame:
-    bad = missing_labels(df, dim, splits).orderBy("split", "label").take(SHOWN_IN_ERRORS)
+    bad, more = _offenders(missing_labels(df, dim, splits).orderBy("split", "label"))
     if bad:
         ids: dict[str, list] = {}
         for row in bad:
             ids.setdefault(row["split"], []).append(row["label"])
         text = "; ".join(f"{s}: {v}" for s, v in ids.items())
         raise MissingLabelError(
-            f"labels without a row: {text}; a smaller val_size or keeping duplicates may help"
+            f"labels without a row: {text}{more}; a smaller val_size or keeping duplicates may help"
         )
     return df
 
@@ -128,7 +141,8 @@ def require_all_labels(df: DataFrame, dim: DataFrame, splits: Sequence[str]) ->
 def require_text(summary: DataFrame) -> DataFrame:
     """Takes a category summary."""
     nulls = summary.groupBy("split").agg(F.sum("null_texts").alias("n"))
-    bad = {r["split"]: r["n"] for r in nulls.where("n > 0").take(SHOWN_IN_ERRORS)}
+    rows, more = _offenders(nulls.where("n > 0"))
+    bad = {r["split"]: r["n"] for r in rows}
     if bad:
-        raise NullTextError(f"null texts per split: {bad}")
+        raise NullTextError(f"null texts per split: {bad}{more}")
     return summary

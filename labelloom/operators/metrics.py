@@ -47,8 +47,10 @@ def confusion(
     logits_col: str = "logits",
     label_col: str = "label",
 ) -> DataFrame:
-    """``(groups, label, prediction, n, loss_sum)``."""
+    """``(groups, label, prediction, n, loss_sum, n_loss)``. Null logits fail the
+    job; a row whose label is none of the logits has no loss."""
     logits = first_logits(df, logits_col)
+    logits = F.when(logits.isNull(), F.raise_error(F.lit("logits must not be null"))).otherwise(logits)
     return (
         df.select(
             *groups,
@@ -57,7 +59,7 @@ def confusion(
             cross_entropy(logits, label_col).alias("loss"),
         )
         .groupBy(*groups, "label", "prediction")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss_sum"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss_sum"), F.count("loss").alias("n_loss"))
     )
 
 
@@ -110,7 +112,11 @@ def metric_table(
     )
     table = scores.unpivot(list(groups), list(METRIC_NAMES[:5]), "metric", "value")
     if with_loss:
-        loss = cells.groupBy(*groups).agg((F.sum("loss_sum") / F.sum("n")).alias("loss"))
+        outside = F.raise_error(F.lit("the loss is undefined: some labels are none of the logits"))
+        mean = F.sum("loss_sum") / F.sum("n_loss")
+        loss = cells.groupBy(*groups).agg(
+            F.when(F.sum("n_loss") < F.sum("n"), outside).otherwise(mean).alias("loss")
+        )
         table = table.unionByName(loss.unpivot(list(groups), ["loss"], "metric", "value"))
     return table
 

@@ -16,14 +16,17 @@ def evaluation_batches(
     config: JobConfig,
     pad_value: int | str = "[PAD]",
     tokenizer: Tokenizer | None = None,
+    **override: int | None,
 ) -> DataFrame:
     """Each evaluation split of the configuration is batched on its own, in row
     order, with the configured length, batch size and padding side. The texts
-    are left behind."""
+    are left behind. ``max_length`` may be given in place of the configured
+    one; None keeps all tokens."""
+    max_length = override.get("max_length", config.max_length)
     padded = []
     for name in config.eval_splits:
         tokens = tokenize(
-            splits.where(F.col("split") == name), config.max_length, tokenizer=tokenizer
+            splits.where(F.col("split") == name), max_length, tokenizer=tokenizer
         )
         inputs = tokens.select("row_id", "split", "input_ids", "labels")
         padded.append(pad_batches(inputs, config.eval_batch_size, pad_value, config.padding_side))

@@ -66,17 +66,24 @@ def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
         raise
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the write of the table at ``path`` ended: its marker is there."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return bool(marker.getFileSystem(conf).exists(marker))
+
+
 def land_raw(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet unless it is there already, and read it back.
+    """Write ``df`` as parquet unless a whole table is there already, and read
+    it back. What a broken write has left is written anew.
 
     Texts are parsed once and row ids are fixed; later runs start from columns.
     """
     spark = df.sparkSession
-    landed = read_if_present(spark, path)
-    if landed is None:
+    if not is_complete(spark, path):
         df.write.mode("overwrite").parquet(path)
-        landed = spark.read.parquet(path)
-    return landed
+    return spark.read.parquet(path)
 
 
 def locate_splits(
@@ -150,3 +157,23 @@ def load_processed(
     if expected_labels is not None and n_labels != expected_labels:
         raise ValueError(f"the label map has {n_labels} labels, not {expected_labels}")
     return stacked, dim, n_labels
+
+
+EVAL_LOG = "question_id long, response string, model_version string, phase string"
+
+
+def read_eval_log(spark: SparkSession, path: str, schema: str = EVAL_LOG) -> DataFrame:
+    """An evaluation log of JSON lines; the phase is read from the folder."""
+    return spark.read.schema(schema).json(path)
+
+
+def read_stage(spark: SparkSession, base: str, stage: str, domain_col: str = "domain", domain: str | None = None) -> DataFrame:
+    """The table of a stage; with ``domain`` only that folder is listed."""
+    df = spark.read.parquet(f"{base.rstrip('/')}/{stage}")
+    return df if domain is None else df.where(F.col(domain_col) == domain)
+
+
+def read_captured(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Captured requests and responses as JSON lines. A line that doesn't fit
+    the schema fails the job."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

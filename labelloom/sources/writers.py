@@ -121,3 +121,13 @@ def comparison_document(
 
 def write_comparison(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_eval_log(log: DataFrame, path: str, phase_col: str = "phase") -> None:
+    """Append an evaluation log as JSON lines, a folder a phase."""
+    log.write.mode("append").partitionBy(phase_col).json(path)
+
+
+def write_stage(df: DataFrame, base: str, stage: str, domain_col: str = "domain") -> None:
+    """Parquet under ``base/stage``, a folder a domain."""
+    df.write.mode("overwrite").partitionBy(domain_col).parquet(f"{base.rstrip('/')}/{stage}")
