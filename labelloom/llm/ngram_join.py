@@ -39,6 +39,7 @@ from labelloom.operators.sizing import broadcast_rows
 from labelloom.storage import write_table
 
 SLICE_CHARS = 1_500_000
+COUNTED_AT_ONCE = 6_000_000
 FREQUENT = 1_000_000  # shingles with a known frequency, 16 bytes each
 MEMBERSHIP_BITS = 24
 COSTS = (32, 256, 2_048)  # estimated candidates above which L grows by one
@@ -80,17 +81,25 @@ def document_sets(docs: DataFrame, rule: Similarity, id_col: str, text_col: str)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[np.ndarray] = []
+
+        def repeated() -> pd.DataFrame:
+            shingles, counts = np.unique(np.concatenate(waiting), return_counts=True)
+            shingles, counts = shingles[counts > 1].view(np.int64), counts[counts > 1]
+            often = [{"shingle": s, "met": c} for s, c in zip(shingles.tolist(), counts.tolist(), strict=True)]
+            return pd.DataFrame({"id": [None], "n": pd.array([None], dtype="Int64"), "set_id": [None], "often": [often]})
+
         for frame in slices(frames, text_col, SLICE_CHARS):
             sets = shingle_sets(find_words(frame[text_col].tolist()), len(frame), rule.words)
             yield pd.DataFrame(
                 {"id": frame[id_col].to_numpy(), "n": [len(s) for s in sets], "set_id": set_ids(sets), "often": None}
             )
-            if sets:
-                shingles, counts = np.unique(np.concatenate(sets), return_counts=True)
-                met = counts > 1
-                if met.any():
-                    often = [{"shingle": int(s), "met": int(c)} for s, c in zip(shingles[met].view(np.int64), counts[met], strict=True)]
-                    yield pd.DataFrame({"id": [None], "n": pd.array([None], dtype="Int64"), "set_id": [None], "often": [often]})
+            waiting.extend(sets)
+            if sum(map(len, waiting)) > COUNTED_AT_ONCE:
+                yield repeated()
+                waiting.clear()
+        if waiting:
+            yield repeated()
 
     schema = f"id {id_type}, n long, set_id binary, often array<struct<shingle:long,met:long>>"
     return docs.select(id_col, text_col).mapInPandas(run, schema)
@@ -156,7 +165,7 @@ def prefixes(docs: DataFrame, frequent: pd.DataFrame, rule: Similarity, text_col
 def wanted_sets(docs: DataFrame, wanted: DataFrame, rule: Similarity, id_col: str, text_col: str) -> DataFrame:
     """``(set_id, n, shingles)`` of the classes in ``wanted``, ``(set_id, id)``
     with a member of each; classes without any id are looked for among the
-    rows that have none."""
+    rows that have none. Where ids repeat, a class may come more than once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "text", SLICE_CHARS):
@@ -169,8 +178,7 @@ def wanted_sets(docs: DataFrame, wanted: DataFrame, rule: Similarity, id_col: st
     found = texts.join(broadcast_rows(ids, ids.count(), MAX_BROADCAST_SETS), "id", "left_semi")
     if not wanted.where(F.col("id").isNull()).isEmpty():
         found = found.unionByName(texts.where(F.col("id").isNull()))
-    sets = found.select("text").mapInPandas(run, "set_id binary, n long, shingles array<long>")
-    return sets.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"])
+    return found.select("text").mapInPandas(run, "set_id binary, n long, shingles array<long>")
 
 
 def verify_block(left: pd.DataFrame, right: pd.DataFrame | None, rule: Similarity) -> tuple[list, dict]:
@@ -227,7 +235,7 @@ def verify_block(left: pd.DataFrame, right: pd.DataFrame | None, rule: Similarit
 
 def _cold_pairs(posting: DataFrame, rule: Similarity) -> DataFrame:
     """Pairs ``(a, b)`` that share enough of their prefixes, and no family."""
-    own = posting.where(F.col("met") <= COLD).select("shingle", "set_id", "n", "level", "entry_level", "family")
+    own = posting.where(F.col("met") <= COLD).select("shingle", "set_id", "n", "level", "entry_level", "pos", "family")
     a = own.select("shingle", *[F.col(c).alias(f"{c}_a") for c in own.columns[1:]])
     b = own.select("shingle", *[F.col(c).alias(f"{c}_b") for c in own.columns[1:]])
     level = F.least("level_a", "level_b")
@@ -240,8 +248,15 @@ def _cold_pairs(posting: DataFrame, rule: Similarity) -> DataFrame:
         .where((F.col("entry_level_a") <= level) & (F.col("entry_level_b") <= level))
         .where(F.col("family_a").isNull() | F.col("family_b").isNull() | (F.col("family_a") != F.col("family_b")))
         .groupBy(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
-        .agg(F.count(F.lit(1)).alias("matches"), F.min(level).alias("level"))
+        .agg(
+            F.count(F.lit(1)).alias("matches"),
+            F.min(level).alias("level"),
+            # Behind the last match at most so many more are shared.
+            F.least(F.first("n_a") - F.max("pos_a"), F.first("n_b") - F.max("pos_b")).alias("behind"),
+            (F.first("n_a") + F.first("n_b")).alias("sizes"),
+        )
         .where(F.col("matches") >= F.col("level"))
+        .where((F.col("matches") + F.col("behind") - 1) * (rule.num + rule.den) >= F.col("sizes") * rule.num)
         .select("a", "b")
     )
 
@@ -251,7 +266,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
     two = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("s_b"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - common
-    return pairs.join(one, "a").join(two, "b").where(common * rule.den >= union * rule.num).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(common * rule.den >= union * rule.num).select("a", "b").distinct()
 
 
 def _family_links(members: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
@@ -306,6 +321,7 @@ def _family_links(members: DataFrame, sets: DataFrame, rule: Similarity) -> Data
     )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates("set_id")
         left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
         alone = bool(frame["same"].iloc[0]) and frame["i"].iloc[0] == frame["j"].iloc[0]
         if not len(left) or (not alone and not len(right)):
@@ -352,7 +368,7 @@ def similar_documents(
     entries = (
         found.join(first, ["set_id", "uid"])
         .select("set_id", "n", "level", F.posexplode("prefix").alias("pos", "shingle"))
-        .select("shingle", "set_id", "n", "level", entry_level.alias("entry_level"))
+        .select("shingle", "set_id", "n", "level", "pos", entry_level.alias("entry_level"))
     )
     met = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     posting = write_table(entries.join(met, "shingle"), "prefix_entries")
@@ -374,7 +390,8 @@ def similar_documents(
     compared = (
         pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).union(families.select("set_id")).distinct()
     )
-    sets = write_table(wanted_sets(docs, classes.join(compared, "set_id"), rule, id_col, text_col), "compared_sets")
+    wanted = write_table(classes.join(compared, "set_id"), "compared_classes")
+    sets = write_table(wanted_sets(docs, wanted, rule, id_col, text_col), "compared_sets")
     links = write_table(
         _verified(pairs, sets, rule)
         .withColumn("links", F.lit(None).cast("long"))
@@ -409,4 +426,5 @@ def keep_one(docs: DataFrame, rule: Similarity | None = None, id_col: str = "doc
     with a null id, and those without words, stay."""
     groups = similar_documents(docs, rule, id_col, text_col)
     dropped = groups.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    dropped = write_table(dropped, "dropped_ids")
+    return docs.join(broadcast_rows(dropped, dropped.count(), MAX_BROADCAST_SETS), id_col, "left_anti")
