@@ -37,7 +37,7 @@ from labelloom.plans.batches import evaluation_batches  # noqa: E402
 from labelloom.plans.eda import run_eda  # noqa: E402
 from labelloom.plans.load import load_labelled_pair, stack_splits  # noqa: E402
 from labelloom.plans.preprocess import preprocess  # noqa: E402
-from labelloom.plans.train import baseline_predictions, train_and_compare  # noqa: E402
+from labelloom.plans.train import baseline_predictions, fit_naive_bayes, train_and_compare  # noqa: E402
 from labelloom.plans.views import (  # noqa: E402
     LANGS,
     labelled_documents,
@@ -473,10 +473,20 @@ def q_untrained_baseline(spark, sf):
 
 
 def q_train_text_classifier(spark, sf):
-    result = train_and_compare(quality_splits(spark, sf), num_labels=2)
+    result = train_and_compare(
+        quality_splits(spark, sf), num_labels=2, fit=lambda train: fit_naive_bayes(train, 2)
+    )
     return round6(result.delta, "baseline", "after", "delta")
 
 
+def q_load_first_n(spark, sf):
+    """Saved splits read back, with the first rows of train only."""
+    path = scratch_path(spark, "processed")
+    preprocess(encoded(spark, sf), VAL_SIZE, SEED, path, labels=LANGS)
+    splits, _, _ = readers.load_processed(spark, path, max_train_samples=FIRST_N, expected_labels=len(LANGS))
+    return splits.select("row_id", "split", "text", "category", "label")
+
+
 def q_stream_landing(spark, sf):
     """Two runs over the same folder: the second finds nothing new."""
     base = scratch_path(spark, "stream")
@@ -887,6 +897,38 @@ def _preparation_sql() -> dict[str, str]:
     )
     bands = ", ".join(f"'{k}:' || list_min(list_transform(sh, lambda s: s[{8 * k + 1}:{8 * k + 8}]))" for k in range(prepare.MINIMA))
     return {
+        "load_first_n": f"""WITH {_SPLIT}, every AS (
+              SELECT k.row_id, a.split, k.text, k.category, k.label FROM kept k JOIN assigned a ON a.row_id = k.row_id
+              UNION ALL SELECT row_id, 'test', clean, lang, label FROM e WHERE split = 'test')
+            SELECT row_id, split, text, category, label FROM (
+              SELECT *, row_number() OVER (PARTITION BY split ORDER BY row_id) AS rn FROM every)
+            WHERE split <> 'train' OR rn <= {FIRST_N}""",
+        "train_text_classifier": f"""WITH q AS (
+              SELECT doc_id, quality::BIGINT AS label, regexp_extract_all(text, '{_TOKEN}') AS tokens,
+                     CASE WHEN digit < '3' THEN 'test' WHEN digit < '5' THEN 'validation' ELSE 'train' END AS split
+              FROM (SELECT doc_id, quality, text, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) AS digit
+                    FROM documents JOIN labels USING (doc_id))),
+            prior AS (
+              SELECT ln((count(*) FILTER (label = 0) + 1)::DOUBLE / (count(*) + 2)) AS l0,
+                     ln((count(*) FILTER (label = 1) + 1)::DOUBLE / (count(*) + 2)) AS l1
+              FROM q WHERE split = 'train'),
+            tok AS (SELECT doc_id, split, label, unnest(tokens) AS token FROM q),
+            cnt AS (SELECT token, count(*) FILTER (label = 0) AS c0, count(*) FILTER (label = 1) AS c1
+                    FROM tok WHERE split = 'train' GROUP BY token),
+            size AS (SELECT count(*) AS v, sum(c0) AS n0, sum(c1) AS n1 FROM cnt),
+            logs AS (SELECT token, ln((c0 + 1)::DOUBLE / (n0 + v)) AS g0, ln((c1 + 1)::DOUBLE / (n1 + v)) AS g1 FROM cnt, size),
+            sums AS (SELECT doc_id, sum(g0) AS s0, sum(g1) AS s1 FROM tok JOIN logs USING (token) WHERE split <> 'train' GROUP BY doc_id),
+            scored AS (SELECT split, label, coalesce(s0, 0) + l0 AS a, coalesce(s1, 0) + l1 AS b, l0, l1
+                       FROM q LEFT JOIN sums USING (doc_id), prior WHERE split <> 'train'),
+            judged AS (
+              SELECT 'baseline' AS phase, split, label, CASE WHEN l1 > l0 THEN 1 ELSE 0 END AS prediction,
+                     ln(exp(l0) + exp(l1)) - CASE WHEN label = 0 THEN l0 ELSE l1 END AS loss FROM scored
+              UNION ALL
+              SELECT 'after_lora', split, label, CASE WHEN b > a THEN 1 ELSE 0 END,
+                     greatest(a, b) + ln(exp(a - greatest(a, b)) + exp(b - greatest(a, b))) - CASE WHEN label = 0 THEN a ELSE b END
+              FROM scored),
+            {_metric_ctes("judged")}, {_DELTA} SELECT split, metric, round(baseline, 6) AS baseline,
+            round(after, 6) AS after, round(delta, 6) AS delta, metric = 'f1_macro' AS is_primary FROM delta""",
         "token_length_filter": f"""WITH {_TOKENS} SELECT row_id, len(tokens)::BIGINT AS n_tokens FROM t
             WHERE len(tokens) BETWEEN 100 AND 500""",
         "sample_exact": f"""WITH {_DOCS} SELECT row_id, text FROM d

@@ -30,7 +30,9 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--val-size", type=float, default=0.1)
             sub.add_argument("--seed", type=int, default=42)
             sub.add_argument("--no-dedupe", action="store_true")
-            sub.add_argument("--layout", choices=("partitioned", "per_split"), default="partitioned")
+            sub.add_argument("--layout", choices=("partitioned", "per_split"))
+            sub.add_argument("--fmt", choices=("parquet", "csv"), default="parquet")
+            sub.add_argument("--config", help="JSON whose seed, val_size and dedupe are taken in place of the options")
 
     sub = commands.add_parser("train")
     sub.add_argument("--config")
@@ -77,13 +79,15 @@ def main(argv: list[str] | None = None) -> None:
         labels = tuple(r["value"] for r in spark.read.text(args.labels).toLocalIterator() if r["value"])
     pair = load_labelled_pair(spark, args.train, args.test, args.cache_dir, labels=labels)
     if args.command == "preprocess":
+        config = JobConfig.load(args.config) if args.config else None
         result = preprocess(
             pair,
-            args.val_size,
-            args.seed,
+            config.val_size if config else args.val_size,
+            config.seed if config else args.seed,
             args.out,
-            dedupe=not args.no_dedupe,
+            dedupe=config.dedupe if config else not args.no_dedupe,
             labels=labels,
+            fmt=args.fmt,
             layout=args.layout,
         )
         print(f"removed {result.removed} exact duplicates from train")

@@ -36,8 +36,10 @@ def keep_first(
     label_col: str = "label",
     id_col: str = "row_id",
     max_broadcast: int = MAX_BROADCAST_COPIED,
+    among: Column | None = None,
 ) -> DataFrame:
     """Rows of ``df`` that are listed in ``firsts``, its materialised first ids.
+    With ``among``, only rows for which it holds are judged; the others stay.
 
     Rows have to be compared only with texts that occur more than once. While
     these are few, however many copies they have, they are broadcast and no
@@ -49,15 +51,18 @@ def keep_first(
         F.col(label_col).alias("copied_label"),
         F.col(id_col).alias("first_id"),
     )
+    others = F.lit(False) if among is None else ~among
     if copied.count() > max_broadcast:
-        return df.join(firsts.select(id_col), id_col, "left_semi")
+        listed = firsts.select(id_col, F.lit(True).alias("is_first"))
+        kept = df.join(listed, id_col, "left").where(others | F.col("is_first"))
+        return kept.select(df.columns)
     same = F.col("own_digest").eqNullSafe(F.col("copied_digest")) & F.col(label_col).eqNullSafe(
         F.col("copied_label")
     )
     return (
         df.withColumn("own_digest", digest(text_col))
         .join(F.broadcast(copied), same, "left")
-        .where(F.col("first_id").isNull() | (F.col("first_id") == F.col(id_col)))
+        .where(others | F.col("first_id").isNull() | (F.col("first_id") == F.col(id_col)))
         .select(df.columns)
     )
 

@@ -33,7 +33,7 @@ def preprocess(
     dedupe: bool = True,
     labels: Sequence[str] = DEFAULT_LABELS,
     fmt: str = "parquet",
-    layout: str = "partitioned",
+    layout: str | None = None,
 ) -> Preprocessed:
     """From ``(row_id, text, category, label, split)`` with train and test rows
     to train, validation and test.
@@ -50,6 +50,7 @@ def preprocess(
     cleaned = pair.withColumn("text", clean_text("text"))
     train = cleaned.where(F.col("split") == "train").drop("split")
     test = cleaned.where(F.col("split") == "test")
+    every = cleaned
 
     removed = 0
     kept = train.select("row_id", "label")
@@ -57,7 +58,7 @@ def preprocess(
         firsts = write_table(first_ids(train), "firsts")
         removed = firsts.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
         kept = firsts.select("row_id", "label")
-        train = keep_first(train, firsts)
+        every = keep_first(every, firsts, among=F.col("split") == "train")
     cutoffs = validation_cutoffs(kept, val_size, seed)
     assigned = assign_split(kept, cutoffs, seed)
 
@@ -76,9 +77,12 @@ def preprocess(
         F.max("n").alias("max_per_class"),
     )
 
-    columns = ["row_id", "text", "category", "label", "split"]
-    train = assign_split(train, cutoffs, seed)
-    splits = train.select(columns).unionByName(test.select(columns))
+    # Train and test rows go through one branch, so the texts are scanned once.
+    is_test = F.col("given") == "test"
+    assigned = assign_split(every.withColumnRenamed("split", "given"), cutoffs, seed)
+    splits = assigned.withColumn("split", F.when(is_test, "test").otherwise(F.col("split"))).select(
+        "row_id", "text", "category", "label", "split"
+    )
 
     if out_dir is not None:
         write_splits(splits, out_dir, fmt, layout)

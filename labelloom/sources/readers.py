@@ -90,7 +90,7 @@ def locate_splits(
     spark: SparkSession, data_dir: str, splits: Sequence[str] = SPLITS
 ) -> dict[str, DataFrame]:
     """Each split under ``data_dir``: ``<split>.parquet``, else ``<split>.csv``,
-    else the partition folder ``split=<split>``. A split found nowhere is an
+    else the partition folder ``splits/split=<split>``. A split found nowhere is an
     error."""
     found: dict[str, DataFrame] = {}
     base = data_dir.rstrip("/")
@@ -98,6 +98,7 @@ def locate_splits(
         for path, fmt in (
             (f"{base}/{name}.parquet", "parquet"),
             (f"{base}/{name}.csv", "csv"),
+            (f"{base}/splits/split={name}", "parquet"),
             (f"{base}/split={name}", "parquet"),
         ):
             df = read_if_present(spark, path, fmt)
@@ -122,6 +123,13 @@ def read_label_map(spark: SparkSession, path: str) -> DataFrame:
             raise
         return label_dim(spark)
     dim = raw.select(F.explode("label2id").alias("category", "label")).select("label", "category")
+    names = raw.select(F.explode("id2label").alias("id", "name"))
+    # A few rows per map; a map without the second part is taken as it is.
+    differs = dim.join(names, F.col("id").cast("long") == F.col("label"), "full").where(
+        ~F.col("category").eqNullSafe(F.col("name"))
+    )
+    if not names.isEmpty() and not differs.isEmpty():
+        raise ValueError(f"label2id and id2label of {path} disagree")
     return broadcast_if_small(dim)
 
 
@@ -146,7 +154,7 @@ def load_processed(
         require_columns(df, ("label", "text"), name)
         df = with_row_id(df).select(
             F.lit(name).alias("split"),
-            "row_id",
+            F.col("row_id").cast("long").alias("row_id"),
             "text",
             *[c for c in ("category",) if c in df.columns],
             F.col("label").cast("long").alias("label"),

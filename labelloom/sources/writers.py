@@ -8,27 +8,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPLIT_COLUMNS = ("text", "category", "label")
+SPLIT_FOLDER = "splits"
 
 
 def write_splits(
     df: DataFrame,
     out_dir: str,
     fmt: str = "parquet",
-    layout: str = "partitioned",
+    layout: str | None = None,
     columns: Sequence[str] = SPLIT_COLUMNS,
 ) -> None:
-    """Write the columns of each split.
+    """Write the columns of each split, with its ``row_id`` if it has one.
 
-    ``partitioned`` writes ``split=<name>`` folders of parquet in one pass over
-    the data. ``per_split`` writes ``<name>.<fmt>`` for readers that expect one
-    path per split; it costs one pass per split.
+    ``partitioned``, the default for parquet, writes ``splits/split=<name>``
+    folders in one pass over the data; other files of ``out_dir`` stay.
+    ``per_split``, the default for CSV, writes ``<name>.<fmt>`` for readers that
+    expect one path per split; it costs one pass per split.
     """
+    if layout is None:
+        layout = "partitioned" if fmt == "parquet" else "per_split"
+    columns = [*[c for c in ("row_id",) if c in df.columns], *columns]
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"unknown format {fmt!r}")
     if layout == "partitioned" and fmt != "parquet":
         raise ValueError("the partitioned layout is parquet only; use per_split for CSV")
     if layout == "partitioned":
-        df.select(*columns, "split").write.mode("overwrite").partitionBy("split").parquet(out_dir)
+        df.select(*columns, "split").write.mode("overwrite").partitionBy("split").parquet(
+            f"{out_dir.rstrip('/')}/{SPLIT_FOLDER}"
+        )
     elif layout == "per_split":
         for row in df.select("split").distinct().orderBy("split").toLocalIterator():
             name = row["split"]

@@ -86,3 +86,12 @@ def test_broadcast_only_below_the_bound(spark):
     assert "ResolvedHint" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
     for df in (broadcast_if_small(small, max_rows=5), broadcast_if_small(small, max_bytes=5)):
         assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_many_offenders_are_counted_and_kept(spark):
+    many = spark.range(500).selectExpr("'train' AS split", "concat('c', id) AS category", "'t' AS text")
+    dim = spark.createDataFrame([(0, "known")], "label long, category string")
+    with pytest.raises(guards.UnknownLabelError, match="500 in all") as error:
+        guards.require_known_labels(many, dim)
+    path = str(error.value).rsplit(": ", 1)[1]
+    assert spark.read.parquet(path).count() == 500

@@ -132,3 +132,14 @@ def test_one_shuffle_for_all_phases_and_splits(spark):
     plan = cells._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
     assert cells.where(F.col("n") > 0).count() == cells.count()
+
+
+def test_null_logits_fail_and_undefined_losses_fail_the_loss_only(spark):
+    rows = [(1, "p", "test", 0, [2.0, 1.0]), (2, "p", "test", 1, None)]
+    with pytest.raises(Exception, match="must not be null"):
+        metrics.confusion(spark.createDataFrame(rows, SCHEMA)).collect()
+    rows = [(1, "p", "test", 0, [2.0, 1.0]), (2, "p", "test", 5, [0.0, 1.0])]
+    cells = metrics.confusion(spark.createDataFrame(rows, SCHEMA))
+    assert metrics.metric_table(cells, with_loss=False).count() == 5
+    with pytest.raises(Exception, match="the loss is undefined"):
+        metrics.metric_table(cells).collect()

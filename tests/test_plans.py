@@ -67,8 +67,8 @@ def test_preprocess_invariants(spark, files, tmp_path):
     summary = {r["split"]: r["n_rows"] for r in done.summary.collect()}
     assert summary == splits.groupby("split").size().to_dict()
     assert summary["validation"] == -(-len(unique) // 5)
-    written = spark.read.parquet(str(tmp_path / "out" / "split=train"))
-    assert written.columns == ["text", "category", "label"] and written.count() == summary["train"]
+    written = spark.read.parquet(str(tmp_path / "out" / "splits" / "split=train"))
+    assert written.columns == ["row_id", "text", "category", "label"] and written.count() == summary["train"]
 
     again = preprocess(pair.repartition(5), 0.2, 7, labels=LABELS).splits.toPandas()
     key = ["row_id", "split"]

@@ -122,7 +122,7 @@ def test_required_columns_and_vocabulary_size(spark, tmp_path):
     with pytest.raises(ValueError, match="has 2 labels, not 77"):
         readers.load_processed(spark, good)
     with pytest.raises(ValueError, match="parquet only"):
-        writers.write_splits(splits_frame(spark), out, fmt="csv")
+        writers.write_splits(splits_frame(spark), out, fmt="csv", layout="partitioned")
     with pytest.raises(ValueError, match="layout"):
         writers.write_splits(splits_frame(spark), out, layout="other")
     with pytest.raises(ValueError, match="format"):
@@ -161,3 +161,28 @@ def test_comparison_document(spark, tmp_path):
         "after_lora": {"dev": {"loss": 1.0}, "test": {"loss": 1.5}},
         "delta": {"test": {"loss": -0.5}},
     }
+
+
+def test_land_raw_writes_a_broken_table_anew(spark, tmp_path):
+    path = tmp_path / "raw"
+    df = spark.range(10).selectExpr("id AS row_id", "'t' AS text")
+    df.repartition(4).write.parquet(str(path))
+    (path / "_SUCCESS").unlink()
+    for part in sorted(path.glob("part-*"))[1:]:
+        part.unlink()
+    assert readers.land_raw(df, str(path)).count() == 10
+    assert (path / "_SUCCESS").exists()
+
+
+def test_label_map_parts_must_agree(spark, tmp_path):
+    path = tmp_path / "map.json"
+    path.write_text('{"label2id": {"a": 0, "b": 1}, "id2label": {"0": "b", "1": "a"}}')
+    with pytest.raises(ValueError, match="disagree"):
+        readers.read_label_map(spark, str(path))
+
+
+def test_splits_as_csv_need_no_layout(spark, tmp_path):
+    rows = [(1, "a", "x", 0, "train"), (2, "b", "x", 0, "test")]
+    df = spark.createDataFrame(rows, "row_id long, text string, category string, label long, split string")
+    writers.write_splits(df, str(tmp_path / "out"), "csv")
+    assert (tmp_path / "out" / "train.csv").exists()
