@@ -47,6 +47,7 @@ from labelloom.plans.views import (  # noqa: E402
 from labelloom.sources import readers, writers  # noqa: E402
 from labelloom.storage import scratch_path, write_table  # noqa: E402
 from labelloom.streaming.landing import land_new_files, stream_files  # noqa: E402
+from labelloom.streaming.windows import land_closed_windows, windowed_stats  # noqa: E402
 
 try:  # the one optional part of the library
     from labelloom.llm import queries as llm_queries  # noqa: E402
@@ -661,6 +662,16 @@ def q_embedding_psi(spark, sf):
     return round6(monitoring.stability_index(*embedding_sides(spark, sf), centers), "p", "q", "psi")
 
 
+def q_windowed_stats_stream(spark, sf):
+    """Closed hours of the event stream, as a batch job would give them."""
+    base = scratch_path(spark, "windows")
+    schema = table_of(spark, sf, "events").schema
+    stream = stream_files(spark, sf, schema, pattern="events.parquet")
+    stats = windowed_stats(stream, F.col("event_type") == "error")
+    landed = land_closed_windows(stats, f"{base}/table", f"{base}/checkpoint")
+    return round6(landed, "mean_value").withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm"))
+
+
 def queries() -> dict[str, Query]:
     """Every ``q_<name>`` above under ``<name>``, and those of the optional part."""
     own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
@@ -1001,6 +1012,11 @@ def _preparation_sql() -> dict[str, str]:
             n AS (SELECT role, key, count(*) AS n FROM c GROUP BY role, key)
             SELECT role, key, n, rank::INTEGER AS rank FROM (
               SELECT *, row_number() OVER (PARTITION BY role ORDER BY n DESC, key) AS rank FROM n) WHERE rank <= 5""",
+        "windowed_stats_stream": """WITH w AS (SELECT date_trunc('hour', ts) AS start, count(*) AS n,
+              count(*) FILTER (event_type = 'error') AS n_flagged, round(avg(value), 6) AS mean_value
+              FROM events GROUP BY 1)
+            SELECT strftime(start, '%Y-%m-%d %H:%M') AS period, n, n_flagged, mean_value FROM w
+            WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
         "eval_log_roundtrip": f"WITH {_LOG} SELECT * FROM log",
         "compare_answers": f"""WITH {_LOG} SELECT b.question_id, b.response AS before, a.response AS after,
             b.response <> a.response AS changed FROM log b JOIN log a USING (question_id)
