@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from labelloom.config import JobConfig
 from labelloom.functions.labels import DEFAULT_LABELS
 from labelloom.plans.eda import run_eda
@@ -12,6 +14,7 @@ from labelloom.plans.preprocess import preprocess
 from labelloom.plans.train import train_and_compare
 from labelloom.session import build_session
 from labelloom.sources.readers import load_processed
+from labelloom.storage import clear_scratch
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -46,6 +49,13 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"labelloom-{args.command}")
+    try:
+        _run(spark, args)
+    finally:
+        clear_scratch(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "train":
         config = JobConfig.load(args.config).override(
             data_dir=args.data_dir,

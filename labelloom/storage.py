@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_made: list[str] = []  # scratch folders of this process
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
@@ -21,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
     current = sc.getCheckpointDir()
     if configured is None and current is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="labelloom-")
     if current is None:
@@ -31,7 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for one intermediate table; never reused between calls."""
-    return f"{shared_dir(spark)}/labelloom-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/labelloom-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return f"{folder}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has written. For the end
+    of a job: tables that were read from them can't be read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
