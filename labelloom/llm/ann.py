@@ -34,7 +34,7 @@ TREES = 6
 CELL = 384
 ROUNDS = 4
 BEAM = 256
-STEP = 24  # nodes a search visits in one round
+STEP = 64  # nodes a search visits in one round
 MAX_STEPS = 40
 RESCORED = 60
 LOWEST = float(np.finfo(np.float32).min)
@@ -152,7 +152,7 @@ def _offers(codes: DataFrame, graph: DataFrame, k: int, reverse: int, offers: in
     edges = graph.select("id", F.explode("nbrs").alias("nbr"))
     popular = edges.groupBy("nbr").agg(F.count(F.lit(1)).alias("n"))
     back = edges.join(popular, "nbr").where(unit_hash("id", "nbr", seed=turn) < reverse / F.col("n"))
-    around = edges.select(F.col("id").alias("center"), F.col("nbr").alias("id")).union(back.select("nbr", "id")).distinct()
+    around = edges.select(F.col("id").alias("center"), F.col("nbr").alias("id")).union(back.select("nbr", "id"))
     worst = F.when(F.size("scores") >= k, F.element_at("scores", -1)).otherwise(F.lit(LOWEST)).cast("float")
     nodes = codes.join(graph.select("id", worst.alias("worst")), "id", "left").fillna({"worst": LOWEST})
     met = (
@@ -165,6 +165,7 @@ def _offers(codes: DataFrame, graph: DataFrame, k: int, reverse: int, offers: in
         for frame in frames:
             to, nbrs, values = [], [], []
             for members in frame["members"]:
+                members = list({m["id"]: m for m in members}.values())  # some are met both ways
                 n = min(offers, len(members) - 1)
                 if n < 1:
                     continue
