@@ -35,13 +35,14 @@ from pyspark.sql import functions as F
 from labelloom.llm.common import most_frequent, slices
 from labelloom.llm.graph import connected_components
 from labelloom.llm.words import find_words, mix64, shingle_sets
-from labelloom.operators.sizing import broadcast_rows
+from labelloom.operators.sizing import broadcast_if_small, broadcast_rows
 from labelloom.storage import write_table
 
 SLICE_CHARS = 1_500_000
 COUNTED_AT_ONCE = 6_000_000
 FREQUENT = 1_000_000  # shingles with a known frequency, 16 bytes each
 MEMBERSHIP_BITS = 24
+LEAST_LEVEL = 2  # one shared shingle happens by chance, as the square of the texts
 COSTS = (32, 256, 2_048)  # estimated candidates above which L grows by one
 COLD = 24  # prefixes a shingle may be in and still be joined pair by pair
 BLOCK = 256
@@ -107,7 +108,7 @@ def document_sets(docs: DataFrame, rule: Similarity, id_col: str, text_col: str)
 
 def level_of(cost: int) -> int:
     """L by the estimated number of candidates."""
-    return 1 + sum(cost > c for c in COSTS)
+    return LEAST_LEVEL + sum(cost > c for c in COSTS)
 
 
 def prefixes(docs: DataFrame, frequent: pd.DataFrame, rule: Similarity, text_col: str) -> DataFrame:
@@ -314,7 +315,7 @@ def _family_links(members: DataFrame, sets: DataFrame, rule: Similarity) -> Data
         beside(F.col("blocks_below"), F.col("band") - 1, False),
     )
     placed = (
-        banded.join(near, ["family", "band"])
+        banded.join(broadcast_if_small(near), ["family", "band"])
         .withColumn("block", block)
         .select("set_id", "n", "family", F.inline(tasks))
         .join(sets.select("set_id", "shingles"), "set_id")
@@ -361,12 +362,15 @@ def similar_documents(
     found = write_table(
         prefixes(docs, often, rule, text_col).withColumn("uid", F.monotonically_increasing_id()), "set_prefixes"
     )
-    first = found.groupBy("set_id").agg(F.min("uid").alias("uid"))
+    # A set that several tasks gave: all but one of its rows are left out.
+    uids = found.select("set_id", "uid")
+    several = uids.groupBy("set_id").agg(F.min("uid").alias("kept"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    extra = write_table(uids.join(several, "set_id").where("uid <> kept").select("uid"), "extra_rows")
     entry_level = F.greatest(
         F.lit(1), F.col("pos") + 1 - (F.col("n") - F.expr(f"({rule.num}L * n + {rule.den - 1}L) div {rule.den}L"))
     ).cast("int")
     entries = (
-        found.join(first, ["set_id", "uid"])
+        found.join(broadcast_rows(extra, extra.count(), MAX_BROADCAST_SETS), "uid", "left_anti")
         .select("set_id", "n", "level", F.posexplode("prefix").alias("pos", "shingle"))
         .select("shingle", "set_id", "n", "level", "pos", entry_level.alias("entry_level"))
     )
