@@ -25,6 +25,7 @@ from labelloom.llm.words import find_words
 SAMPLE_ROWS = 4_000
 EPOCHS = 25
 PART = 128  # documents in one pass of the chain
+MAX_CELLS = 20_000  # their lines, filled up to the longest
 SLICE_CHARS = 1_500_000
 
 UPPER = range(0x41, 0x5B)
@@ -147,7 +148,8 @@ def chains(features: np.ndarray, lines: np.ndarray) -> Iterator[tuple[np.ndarray
     while place < len(order):
         part = order[place : place + PART]
         # Fewer at once where they are long, so that memory stays bounded.
-        part = part[: max(1, int(np.searchsorted(np.cumsum(lines[part]), 200_000)))]
+        cells = lines[part] * np.arange(1, len(part) + 1)  # filled up to the longest
+        part = part[: max(1, int(np.searchsorted(cells, MAX_CELLS)))]
         place += len(part)
         steps = np.arange(lines[part[-1]])
         inside = steps[None, :] < lines[part][:, None]
@@ -165,7 +167,10 @@ def train(
         return field
     y = np.asarray(labels, dtype=np.int64)
     field.prior = float((y.sum() + 1) / (len(y) + 2))
-    features, _, lines = line_features(texts)
+    # A few texts at a time, so that the bytes' working arrays stay small.
+    pieces = [line_features(texts[k : k + 100]) for k in range(0, len(texts), 100)]
+    features = np.concatenate([p[0] for p in pieces])
+    lines = np.concatenate([p[2] for p in pieces])
     parts = list(chains(features, lines))
     rng = np.random.default_rng(seed)
     moments = [[np.zeros_like(field.weights), np.zeros_like(field.steps)] for _ in range(2)]
