@@ -6,9 +6,11 @@ their rarity. A randomised singular value decomposition of all passages, those
 of the corpus and those of the benchmark, gives a latent space, in which the
 passages of every document are compared with the benchmark items by cosine.
 What comes close is checked word by word: a long common subsequence, or a
-shorter one that holds the item's answer, its last words.
+shorter one that holds the item's answer, its last words. Items most of whose
+words are frequent, as in a corpus full of copies of one leak, have no place in
+that space: every stretch of text that holds enough of their words is checked.
 
-The texts are read twice, for the words' frequencies and for the positions of
+The texts are read twice, once more if there are such items, for the words' frequencies and for the positions of
 the words that count; what follows runs on these positions. Only the texts with
 candidates are read once more. What reaches the driver is bounded by the
 benchmark's vocabulary and the number of latent dimensions.
@@ -33,7 +35,8 @@ SLICE_CHARS = 1_500_000
 PASSAGE = 64  # words, for frequencies and for the decomposition
 STRIDE = 24  # windows of three strides are compared
 WINDOW = 72
-FREQUENT_SHARE, FREQUENT_LEAST = 0.05, 50
+FREQUENT_SHARE = 0.05
+MIN_COUNTING = 0.5  # share of an item's words that carry weight, for the latent space
 DIMENSIONS = 192
 OVERSAMPLING = 16
 BENCHMARK_SHARE = 1.0  # weight of the benchmark's passages against the corpus's
@@ -63,6 +66,16 @@ class Benchmark:
         vectors = [np.unique(np.searchsorted(vocabulary, w), return_counts=True) for _, w in kept]
         return cls([i for i, _ in kept], [w for _, w in kept], vocabulary, vectors)
 
+    def parted(self, weights: np.ndarray) -> tuple[Benchmark, Benchmark]:
+        """The items most of whose words carry weight, and the others."""
+        share = np.array([count[weights[word] > 0].sum() / count.sum() for word, count in self.vectors])
+
+        def part(at: np.ndarray) -> Benchmark:
+            ids, items, vectors = ([every[i] for i in at] for every in (self.item_ids, self.items, self.vectors))
+            return Benchmark(ids, items, self.vocabulary, vectors)
+
+        return part(np.flatnonzero(share >= MIN_COUNTING)), part(np.flatnonzero(share < MIN_COUNTING))
+
 
 class WordNumbers:
     """Numbers of the vocabulary's words by hash; -1 for other words."""
@@ -120,7 +133,7 @@ def word_frequencies(docs: DataFrame, bench: Benchmark, text_col: str) -> tuple[
 def word_weights(passages: int, met: np.ndarray) -> np.ndarray:
     """Inverse passage frequency; 0 for words in a large share of all passages."""
     weights = np.log((passages + 1) / (met + 1)) + 1
-    weights[met > max(FREQUENT_LEAST, FREQUENT_SHARE * passages)] = 0
+    weights[met > FREQUENT_SHARE * passages] = 0
     return weights
 
 
@@ -251,17 +264,15 @@ def candidates(
                 word, first, row, stretch = _cells(frame, STRIDE)
                 part = np.add.reduceat(own[word], first, axis=0)
                 # A window begins at each stretch with words and takes in the next ones of its text.
-                window, full = part.copy(), np.diff([*first, len(word)])
-                number = full.copy()
+                window = part.copy()
                 for ahead in range(1, steps):
                     for k in range(1, ahead + 1):
                         near = np.zeros(len(row), dtype=bool)
                         near[:-k] = (row[k:] == row[:-k]) & (stretch[k:] - stretch[:-k] == ahead)
                         at = np.flatnonzero(near)
                         window[at] += part[at + k]
-                        number[at] += full[at + k]
                 norm = np.linalg.norm(window, axis=1)
-                some = np.flatnonzero((number > 1) & (norm > 1e-6))
+                some = np.flatnonzero(norm > 1e-6)
                 cosine = (window[some] / norm[some, None]) @ targets.T
                 i, j = np.nonzero(cosine >= min_cosine)
                 yield pd.DataFrame(
@@ -289,6 +300,16 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
+def held(item: np.ndarray, near: np.ndarray) -> tuple[float, float] | None:
+    """The shares of the item's words and of its answer's that ``near`` holds
+    in order, if they make a leak."""
+    common = common_subsequence(item, near) / len(item)
+    answer = item[-ANSWER_WORDS:]
+    kept = common_subsequence(answer, near) / len(answer)
+    leak = common >= MIN_COMMON or (common >= MIN_COMMON_WITH_ANSWER and kept >= MIN_ANSWER)
+    return (common, kept) if leak else None
+
+
 def verified(docs: DataFrame, found: DataFrame, bench: Benchmark, id_col: str, text_col: str) -> DataFrame:
     """``(id, item_id, cosine, start, common, answer)`` of the candidates that
     pass the word-by-word check. The stretch looked at is the window with an
@@ -311,11 +332,8 @@ def verified(docs: DataFrame, found: DataFrame, bench: Benchmark, id_col: str, t
                 for c in frame["found"].iloc[k]:
                     item = items[c["item"]]
                     near = own[max(0, c["start"] - len(item)) : c["start"] + WINDOW + len(item)]
-                    common = common_subsequence(item, near) / len(item)
-                    answer = item[-ANSWER_WORDS:]
-                    kept = common_subsequence(answer, near) / len(answer)
-                    if common >= MIN_COMMON or (common >= MIN_COMMON_WITH_ANSWER and kept >= MIN_ANSWER):
-                        row = (common, c["cosine"], -c["start"], kept)
+                    if shares := held(item, near):
+                        row = (shares[0], c["cosine"], -c["start"], shares[1])
                         key = (k, c["item"])
                         if key not in best or row > best[key][1]:
                             best[key] = (doc, row)
@@ -328,6 +346,78 @@ def verified(docs: DataFrame, found: DataFrame, bench: Benchmark, id_col: str, t
     return joined.mapInPandas(run, schema)
 
 
+def _count_cosine(a: np.ndarray, b: np.ndarray) -> float:
+    (x, n), (y, m) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return float(n[i] @ m[j] / (np.linalg.norm(n) * np.linalg.norm(m)))
+
+
+def word_by_word(docs: DataFrame, bench: Benchmark, id_col: str, text_col: str) -> DataFrame:
+    """As ``verified``, for all stretches of all texts and all items of ``bench``.
+
+    A common subsequence is no longer than the number of an item's words that
+    the stretch has at all, each as often as in the item at most. Stretches in
+    which these are too few for a leak are passed over; this loses none.
+    ``cosine`` is that of the plain word counts.
+    """
+    id_type = docs.schema[id_col].dataType.simpleString()
+    items, ids, steps = bench.items, bench.item_ids, WINDOW // STRIDE
+    vocabulary = np.unique(np.concatenate(items))
+    needs = []  # of each item: its words, how often it and its answer have them
+    for item in items:
+        word, at = np.unique(np.searchsorted(vocabulary, item), return_inverse=True)
+        answer = np.bincount(at[-ANSWER_WORDS:], minlength=len(word))
+        needs.append((word.tolist(), np.bincount(at).tolist(), answer.tolist()))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers = WordNumbers(vocabulary)
+        for frame in slices(frames, text_col, SLICE_CHARS):
+            words = find_words(frame[text_col].tolist(), NOT_ALPHANUMERIC)
+            counts = words.counts(len(frame))
+            first, cells = np.cumsum(counts) - counts, -(-counts // STRIDE)
+            text = np.repeat(np.arange(len(frame)), cells)
+            ends = np.cumsum(cells)
+            low, high, cell = (ends - cells)[text], ends[text], np.arange(len(text))
+            number = numbers.find(words.hash)
+            at = np.flatnonzero(number >= 0)
+            at = at[np.argsort(number[at], kind="stable")]
+            of_text = words.text[at]
+            place = (ends - cells)[of_text] + (at - first[of_text]) // STRIDE
+            bounds = np.searchsorted(number[at], np.arange(len(vocabulary) + 1))
+            best: dict = {}
+            for i, (item, need) in enumerate(zip(items, needs, strict=True)):
+                size, answer = len(item), item[-ANSWER_WORDS:]
+                reach = -(-size // STRIDE)
+                begin, end = np.maximum(low, cell - reach), np.minimum(high, cell + steps + reach)
+                most, most_answer = np.zeros(len(cell), dtype=np.int64), np.zeros(len(cell), dtype=np.int64)
+                for word, n, n_answer in zip(*need, strict=True):
+                    seen = np.zeros(len(cell) + 1, dtype=np.int64)
+                    np.cumsum(np.bincount(place[bounds[word] : bounds[word + 1]], minlength=len(cell)), out=seen[1:])
+                    met = seen[end] - seen[begin]
+                    most += np.minimum(met, n)
+                    if n_answer:
+                        most_answer += np.minimum(met, n_answer)
+                enough = (most / size >= MIN_COMMON) | (
+                    (most / size >= MIN_COMMON_WITH_ANSWER) & (most_answer / len(answer) >= MIN_ANSWER)
+                )
+                for c in np.flatnonzero(enough).tolist():
+                    k = int(text[c])
+                    own = words.hash[first[k] : first[k] + counts[k]]
+                    start = (c - int(low[c])) * STRIDE
+                    if shares := held(item, own[max(0, start - size) : start + WINDOW + size]):
+                        row = (shares[0], _count_cosine(item, own[start : start + WINDOW]), -start, shares[1])
+                        if (k, i) not in best or row > best[k, i]:
+                            best[k, i] = row
+            doc = frame[id_col].tolist()
+            yield pd.DataFrame(
+                [(doc[k], ids[i], r[1], -r[2], r[0], r[3]) for (k, i), r in best.items()],
+                columns=["id", "item_id", "cosine", "start", "common", "answer"],
+            )
+
+    schema = f"id {id_type}, item_id long, cosine double, start long, common double, answer double"
+    return docs.select(id_col, text_col).mapInPandas(run, schema)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -341,7 +431,8 @@ def find_leaks(
     document and benchmark item that it holds, the best of its places.
 
     ``common`` is the share of the item's words in the longest common
-    subsequence, ``answer`` that of its last words. Words are runs of digits,
+    subsequence, ``answer`` that of its last words; ``cosine`` is that of the
+    latent space, or of word counts for items of frequent words. Words are runs of digits,
     letters and non-ASCII characters, A-Z lower-cased. Null and empty texts and
     items hold nothing. Items are taken in blocks of a bounded size, in the
     order of their ids; rows with equal or null ids are each looked at.
@@ -357,15 +448,19 @@ def find_leaks(
             continue
         passages, met = word_frequencies(docs, bench, text_col)
         weights = word_weights(passages, met)
-        if not (weights > 0).any():
-            continue
-        positions = write_table(counting_words(docs, bench, weights, id_col, text_col), "counting_words")
-        basis = latent_basis(positions, bench, weights, dimensions)
-        found = write_table(candidates(positions, bench, weights, basis, min_cosine, id_type), "leak_candidates")
-        checked = verified(docs, found, bench, id_col, text_col)
-        result = result.unionByName(
-            checked.select(F.col("id").alias(id_col), "item_id", "cosine", F.col("start").alias("start_word"), "common", "answer")
-        )
+        bench, frequent = bench.parted(weights)
+        checked = []
+        if bench.items:
+            positions = write_table(counting_words(docs, bench, weights, id_col, text_col), "counting_words")
+            basis = latent_basis(positions, bench, weights, dimensions)
+            found = write_table(candidates(positions, bench, weights, basis, min_cosine, id_type), "leak_candidates")
+            checked.append(verified(docs, found, bench, id_col, text_col))
+        if frequent.items:
+            checked.append(write_table(word_by_word(docs, frequent, id_col, text_col), "frequent_leaks"))
+        for rows in checked:
+            result = result.unionByName(
+                rows.select(F.col("id").alias(id_col), "item_id", "cosine", F.col("start").alias("start_word"), "common", "answer")
+            )
     return result
 
 

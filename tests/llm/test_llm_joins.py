@@ -310,6 +310,20 @@ def test_leaks_in_paraphrases_and_odd_rows(spark, empty):
     assert decontamination.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leak_whose_copies_are_a_third_of_all_rows(spark):
+    """All words of the item are frequent then; so are those of a passage that
+    many different documents share."""
+    rng = np.random.default_rng(8)
+    filler = lambda n: [f"n{k}" for k in rng.integers(0, 4_000, n)]
+    items = [[f"a{k}" for k in range(20)], [f"b{k}" for k in range(30)], filler(40)]
+    leak = " ".join(filler(50) + items[0] + filler(30))
+    texts = [leak] * 200 + [" ".join(filler(120) + items[1] + filler(60)) for _ in range(150)]
+    texts += [" ".join(filler(180)) for _ in range(250)] + [" ".join(filler(90) + items[i] + filler(90)) for i in range(3)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(rows_of(spark, list(enumerate(texts))), bench).collect()}
+    assert got == {(i, 0) for i in range(200)} | {(i, 1) for i in range(200, 350)} | {(600, 0), (601, 1), (602, 2)}
+
+
 # --- pipeline
 
 
