@@ -2,8 +2,8 @@
 
 A text is reduced to its words. A table of licence families, each with a few
 forms in which it is spoken of, gives a few hundred regular expressions over
-the words. A family's rules are tried only where its keyword stands in the
-text. Of two detections one of which lies within the other, the inner one is
+the words. A rule is tried only where its keyword, which all its matches
+contain, stands in the text. Of two detections one of which lies within the other, the inner one is
 dropped unless its rule has priority: tags come before grants, grants before
 names, names before mentions. All of it happens within the row: nothing is
 joined or shuffled.
@@ -34,7 +34,7 @@ _LIC = "licen[sc]e"
 _V = r"(?: v(?:ersion)?)?"
 _LATER = "(?: or (?:any )?later(?: version)?)?"
 
-# label; keyword that must stand in the words; name; tag words; mention.
+# label; keyword that stands in every match of name and mention; name; tag words; mention.
 FAMILIES: tuple[tuple[str, str, str, str, str], ...] = (
     ("gpl-2.0", "gnu", rf"gnu general public {_LIC}{_V} 2(?: 0)?{_LATER}", "gpl 2 0(?: only| or later)?", r"gnu gpl ?v?2"),
     ("gpl-3.0", "gnu", rf"gnu general public {_LIC}{_V} 3(?: 0)?{_LATER}", "gpl 3 0(?: only| or later)?", r"gnu gpl ?v?3"),
@@ -95,6 +95,11 @@ FAMILIES: tuple[tuple[str, str, str, str, str], ...] = (
 )
 
 
+# Forms whose matches need not contain their family's keyword.
+NAME_KEYWORDS = {"bsd": "licen", "wtfpl": "licen", "odbl": "database licen"}
+MENTION_KEYWORDS = {"python": "psf"}
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -111,7 +116,8 @@ def rules(families: Sequence[tuple[str, str, str, str, str]] = FAMILIES) -> list
     """The families' rules in order: a tag, two kinds of grant, the name and a
     mention each."""
     made = []
-    for label, keyword, name, tag, mention in families:
+    for label, family_keyword, name, tag, mention in families:
+        keyword = NAME_KEYWORDS.get(label, family_keyword)
         made += [
             Rule(label, "spdx", _whole_words(rf"spdx {_LIC} identifier (?:{tag})"), TAG),
             Rule(
@@ -125,7 +131,7 @@ def rules(families: Sequence[tuple[str, str, str, str, str]] = FAMILIES) -> list
             ),
             Rule(label, keyword, _whole_words(rf"(?:subject to|governed by|under the terms of) (?:the )?(?:{name})"), GRANT),
             Rule(label, keyword, _whole_words(name), NAME),
-            Rule(label, keyword, _whole_words(mention), MENTION),
+            Rule(label, MENTION_KEYWORDS.get(label, family_keyword), _whole_words(mention), MENTION),
         ]
     return made
 

@@ -184,6 +184,46 @@ def test_license_detections(spark):
     assert {d["label"] for d in rows[0]["d"]} == {"apache-2.0", "mit"}
 
 
+def sample(pattern, rng):
+    """A random text that the pattern matches."""
+    from re import _parser as parser
+
+    def made(part):
+        out = []
+        for op, value in part:
+            name = str(op)
+            if name == "LITERAL":
+                out.append(chr(value))
+            elif name == "IN":
+                kind, x = rng.choice(value)
+                out.append(chr(x) if str(kind) == "LITERAL" else chr(rng.randint(*x)) if str(kind) == "RANGE" else "1")
+            elif name == "BRANCH":
+                out.append(made(rng.choice(value[1])))
+            elif name == "SUBPATTERN":
+                out.append(made(value[3]))
+            elif name == "MAX_REPEAT":
+                out += [made(value[2]) for _ in range(rng.randint(value[0], min(int(value[1]), value[0] + 1)))]
+            else:
+                assert name == "ASSERT_NOT"
+        return "".join(out)
+
+    return made(parser.parse(pattern))
+
+
+def test_license_keywords_stand_in_every_match(spark):
+    import random
+
+    rng = random.Random(3)
+    for rule in licenses.rules():
+        for _ in range(200):
+            text = sample(rule.pattern, rng)
+            assert re.fullmatch(rule.pattern, text) and rule.keyword in text, (rule, text)
+    texts = ["do what the heck you want to public license", "Berkeley Software Distribution License", "PSF licensed", "Open Data Commons Database License"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs).collect()}
+    assert got == {0: ["wtfpl"], 1: ["bsd"], 2: ["python"], 3: ["odbl"]}
+
+
 def test_license_query_counts(spark, odd, empty):
     from labelloom.llm.queries import op5_licenses
 
