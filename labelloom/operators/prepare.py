@@ -111,7 +111,9 @@ def near_duplicates(
 
     A band is one of four minima over the md5 of the shingles. Each member is
     compared with the band's first row only, so a large group costs one
-    comparison a member and band. Exact copies are taken out first.
+    comparison a member and band. Exact copies are taken out first. Pairs that
+    share no band's first row are not met: the query's SQL states this rule, and
+    ``near_duplicate_classes`` finds all.
     """
     first = dedup_by_hash(df, text_col, id_col).select(id_col)
     words = F.filter(F.split(compare_key(text_col), r"\s+"), lambda w: w != "")
@@ -145,3 +147,16 @@ def near_duplicates(
         .select(id_col, "leader", jaccard.alias("jaccard"))
         .where(F.col("jaccard") >= threshold)
     )
+
+
+def near_duplicate_classes(
+    df: DataFrame, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "row_id"
+) -> DataFrame:
+    """``(row_id, n_shingles, component_id, n_links)``: the classes that all
+    pairs of rows with a Jaccard of ``num / den`` or more make, over the sets of
+    five-word shingles of the comparison keys. No pair is left out: candidates
+    come from a join on prefix shingles and are verified exactly."""
+    from labelloom.llm.ngram_join import Similarity, similar_documents
+
+    keys = df.select(id_col, compare_key(text_col).alias("text"))
+    return similar_documents(keys, Similarity(words=SHINGLE_WORDS, num=num, den=den), id_col, "text")
