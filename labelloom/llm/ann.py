@@ -7,9 +7,9 @@ walks the graph from a node that is known to be near, always from the best
 nodes not yet visited, until its list of best nodes holds no such node. Rounds
 of both are Spark joins over all nodes or queries at once.
 
-Scores during the walk are those of vectors rounded to a byte a dimension; the
-best are scored again on the original vectors in double precision. Equal
-vectors are one node.
+Vectors travel in the precision in which they are given, and all scores are
+taken in double precision: among many slightly different vectors, rounded ones
+would leave it to chance which are found. Equal vectors are one node.
 """
 
 from __future__ import annotations
@@ -37,9 +37,9 @@ BEAM = 256
 STEP = 64  # nodes a search visits in one round
 MAX_STEPS = 40
 RESCORED = 60
-LOWEST = float(np.finfo(np.float32).min)
+LOWEST = float(np.finfo(np.float64).min)
 
-_NODE = "struct<id:long,code:binary,scale:float,worst:float>"
+_NODE = "struct<id:long,code:binary,width:int,worst:double>"
 
 
 def usable(vector: Column, dimension: int) -> Column:
@@ -56,47 +56,44 @@ def inner_product(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def _encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scale = np.abs(vectors).max(axis=1) / 127
-    return np.rint(vectors / scale[:, None]).astype(np.int8), scale.astype(np.float32)
-
-
-def _decode(codes: list[bytes], scales) -> np.ndarray:
-    flat = np.frombuffer(b"".join(codes), dtype=np.int8).reshape(len(codes), -1)
-    return flat.astype(np.float32) * np.asarray(scales, dtype=np.float32)[:, None]
+def _decode(codes: list[bytes], widths) -> np.ndarray:
+    flat = np.frombuffer(b"".join(codes), dtype=f"f{int(widths[0])}").reshape(len(codes), -1)
+    return flat.astype(np.float64)
 
 
 def encoded(nodes: DataFrame) -> DataFrame:
-    """``(id, code, scale)`` of ``(id, vector)``."""
+    """``(id, code, width)`` of ``(id, vector)``: the bytes of a vector, and how
+    many a component has."""
+    width = 4 if nodes.schema["vector"].dataType.elementType.simpleString() == "float" else 8
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                codes, scale = _encode(np.stack(frame["vector"].tolist()).astype(np.float64))
-                yield pd.DataFrame({"id": frame["id"], "code": [c.tobytes() for c in codes], "scale": scale})
+                codes = np.stack(frame["vector"].tolist()).astype(f"f{width}")
+                yield pd.DataFrame({"id": frame["id"], "code": [c.tobytes() for c in codes], "width": width})
 
-    return nodes.mapInPandas(run, "id long, code binary, scale float")
+    return nodes.mapInPandas(run, "id long, code binary, width int")
 
 
 def _cells(codes: DataFrame, nodes: int, dimension: int, trees: int, cell: int, seed: int) -> DataFrame:
-    """``(tree, key, id, code, scale)``: the side of some random planes on which
+    """``(tree, key, id, code, width)``: the side of some random planes on which
     each node lies."""
     bits = max(0, math.ceil(math.log2(max(1, nodes / cell))))
-    planes = np.random.default_rng(seed).normal(size=(trees, dimension, max(1, bits))).astype(np.float32)
+    planes = np.random.default_rng(seed).normal(size=(trees, dimension, max(1, bits))).astype(np.float64)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                x = _decode(frame["code"].tolist(), frame["scale"])
+                x = _decode(frame["code"].tolist(), frame["width"].to_numpy())
                 for tree in range(trees):
                     side = ((x @ planes[tree]) > 0).astype(np.int64)
                     key = side @ (1 << np.arange(side.shape[1])) if bits else np.zeros(len(x), np.int64)
-                    yield frame.assign(tree=tree, key=key)[["tree", "key", "id", "code", "scale"]]
+                    yield frame.assign(tree=tree, key=key)[["tree", "key", "id", "code", "width"]]
 
-    return codes.mapInPandas(run, "tree int, key long, id long, code binary, scale float")
+    return codes.mapInPandas(run, "tree int, key long, id long, code binary, width int")
 
 
-_LISTS = "id long, nbrs array<long>, scores array<float>"
+_LISTS = "id long, nbrs array<long>, scores array<double>"
 
 
 def _first_lists(codes: DataFrame, nodes: int, dimension: int, k: int, trees: int, cell: int, seed: int) -> DataFrame:
@@ -107,7 +104,7 @@ def _first_lists(codes: DataFrame, nodes: int, dimension: int, k: int, trees: in
     split = placed.join(broadcast_if_small(counts), ["tree", "key"]).withColumn(
         "part", F.pmod(F.xxhash64("id", "tree"), "parts")
     )
-    grouped = split.groupBy("tree", "key", "part").agg(F.collect_list(F.struct("id", "code", "scale")).alias("members"))
+    grouped = split.groupBy("tree", "key", "part").agg(F.collect_list(F.struct("id", "code", "width")).alias("members"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -116,7 +113,7 @@ def _first_lists(codes: DataFrame, nodes: int, dimension: int, k: int, trees: in
                 n = min(k, len(ids) - 1)
                 if n < 1:
                     continue
-                x = _decode([m["code"] for m in members], [m["scale"] for m in members])
+                x = _decode([m["code"] for m in members], [m["width"] for m in members])
                 scores = x @ x.T
                 np.fill_diagonal(scores, -np.inf)
                 best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
@@ -136,7 +133,7 @@ def _best(lists: DataFrame, k: int) -> DataFrame:
             rows = []
             for node, parts in zip(frame["id"], frame["lists"], strict=True):
                 nbrs = np.concatenate([np.asarray(p["nbrs"], dtype=np.int64) for p in parts])
-                scores = np.concatenate([np.asarray(p["scores"], dtype=np.float32) for p in parts])
+                scores = np.concatenate([np.asarray(p["scores"], dtype=np.float64) for p in parts])
                 nbrs, first = np.unique(nbrs, return_index=True)
                 scores = scores[first]
                 best = np.argsort(-scores, kind="stable")[:k]
@@ -153,12 +150,12 @@ def _offers(codes: DataFrame, graph: DataFrame, k: int, reverse: int, offers: in
     popular = edges.groupBy("nbr").agg(F.count(F.lit(1)).alias("n"))
     back = edges.join(popular, "nbr").where(unit_hash("id", "nbr", seed=turn) < reverse / F.col("n"))
     around = edges.select(F.col("id").alias("center"), F.col("nbr").alias("id")).union(back.select("nbr", "id"))
-    worst = F.when(F.size("scores") >= k, F.element_at("scores", -1)).otherwise(F.lit(LOWEST)).cast("float")
+    worst = F.when(F.size("scores") >= k, F.element_at("scores", -1)).otherwise(F.lit(LOWEST)).cast("double")
     nodes = codes.join(graph.select("id", worst.alias("worst")), "id", "left").fillna({"worst": LOWEST})
     met = (
         around.join(nodes, "id")
         .groupBy("center")
-        .agg(F.collect_list(F.struct("id", "code", "scale", "worst").cast(_NODE)).alias("members"))
+        .agg(F.collect_list(F.struct("id", "code", "width", "worst").cast(_NODE)).alias("members"))
     )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,8 +167,8 @@ def _offers(codes: DataFrame, graph: DataFrame, k: int, reverse: int, offers: in
                 if n < 1:
                     continue
                 ids = np.array([m["id"] for m in members], dtype=np.int64)
-                x = _decode([m["code"] for m in members], [m["scale"] for m in members])
-                limit = np.array([m["worst"] for m in members], dtype=np.float32)
+                x = _decode([m["code"] for m in members], [m["width"] for m in members])
+                limit = np.array([m["worst"] for m in members], dtype=np.float64)
                 scores = x @ x.T
                 np.fill_diagonal(scores, -np.inf)
                 best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
@@ -207,7 +204,7 @@ def build_graph(
     return graph
 
 
-_BEAM = "query long, code binary, scale float, ids array<long>, scores array<float>, visited array<boolean>"
+_BEAM = "query long, code binary, width int, ids array<long>, scores array<double>, visited array<boolean>"
 
 
 def search(
@@ -220,26 +217,26 @@ def search(
     neighbours come with their codes, are scored where they lie, and those
     better than the list's worst are merged into it.
     """
-    far = codes.select(F.col("id").alias("nbr"), "code", "scale")
+    far = codes.select(F.col("id").alias("nbr"), "code", "width")
     beside = write_table(
         graph.select("id", F.explode("nbrs").alias("nbr"))
         .join(far, "nbr")
         .groupBy("id")
-        .agg(F.collect_list(F.struct("nbr", "code", "scale")).alias("around")),
+        .agg(F.collect_list(F.struct("nbr", "code", "width")).alias("around")),
         "neighbour_codes",
     )
     own = queries.join(codes, queries["query"] == codes["id"]).join(graph, "id")
     lists = own.select(
-        "query", "code", "scale", F.col("nbrs").alias("ids"), "scores", F.transform("nbrs", lambda _: F.lit(False)).alias("visited")
+        "query", "code", "width", F.col("nbrs").alias("ids"), "scores", F.transform("nbrs", lambda _: F.lit(False)).alias("visited")
     )
     state = write_table(lists, "search_lists")
 
     def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for query, code, scale, worst, around in frame.itertuples(index=False):
+            for query, code, width, worst, around in frame.itertuples(index=False):
                 ids = np.array([a["nbr"] for a in around], dtype=np.int64)
-                scores = _decode([a["code"] for a in around], [a["scale"] for a in around]) @ _decode([code], [scale])[0]
+                scores = _decode([a["code"] for a in around], [a["width"] for a in around]) @ _decode([code], [width])[0]
                 good = (scores > worst) & (ids != query)
                 if good.any():
                     out.append((query, ids[good], scores[good]))
@@ -249,29 +246,29 @@ def search(
         for frame in frames:
             rows = []
             for r in frame.itertuples(index=False):
-                ids, scores = np.asarray(r.ids, dtype=np.int64), np.asarray(r.scores, dtype=np.float32)
+                ids, scores = np.asarray(r.ids, dtype=np.int64), np.asarray(r.scores, dtype=np.float64)
                 visited = np.asarray(r.visited, dtype=bool)
                 # Those visited in this round are the first unvisited ones.
                 visited[np.flatnonzero(~visited)[:step]] = True
                 found = r.found if r.found is not None else []
                 all_ids = np.concatenate([ids, *[np.asarray(f["nbrs"], dtype=np.int64) for f in found]])
-                all_scores = np.concatenate([scores, *[np.asarray(f["scores"], dtype=np.float32) for f in found]])
+                all_scores = np.concatenate([scores, *[np.asarray(f["scores"], dtype=np.float64) for f in found]])
                 _, first = np.unique(all_ids, return_index=True)
                 best = first[np.argsort(-all_scores[first], kind="stable")][:beam]
                 known = np.concatenate([visited, np.zeros(len(all_ids) - len(ids), dtype=bool)])
-                rows.append((r.query, r.code, r.scale, all_ids[best], all_scores[best], known[best]))
-            yield pd.DataFrame(rows, columns=["query", "code", "scale", "ids", "scores", "visited"])
+                rows.append((r.query, r.code, r.width, all_ids[best], all_scores[best], known[best]))
+            yield pd.DataFrame(rows, columns=["query", "code", "width", "ids", "scores", "visited"])
 
     pairs = F.zip_with("ids", "visited", lambda i, v: F.when(~v, i))
-    worst = F.when(F.size("ids") >= beam, F.element_at("scores", -1)).otherwise(F.lit(LOWEST)).cast("float")
+    worst = F.when(F.size("ids") >= beam, F.element_at("scores", -1)).otherwise(F.lit(LOWEST)).cast("double")
     for _ in range(max_steps):
         front = state.select(
-            "query", "code", "scale", worst.alias("worst"), F.explode(F.slice(F.array_compact(pairs), 1, step)).alias("id")
+            "query", "code", "width", worst.alias("worst"), F.explode(F.slice(F.array_compact(pairs), 1, step)).alias("id")
         )
         if front.isEmpty():
             break
-        seen = beside.join(broadcast_if_small(front), "id").select("query", front["code"], front["scale"], "worst", "around")
-        found = seen.mapInPandas(look, "query long, nbrs array<long>, scores array<float>")
+        seen = beside.join(broadcast_if_small(front), "id").select("query", front["code"], front["width"], "worst", "around")
+        found = seen.mapInPandas(look, "query long, nbrs array<long>, scores array<double>")
         gathered = found.groupBy("query").agg(F.collect_list(F.struct("nbrs", "scores")).alias("found"))
         state = write_table(state.join(gathered, "query", "left").mapInPandas(merge, _BEAM), "search_lists")
     return state.select("query", "ids", "scores")

@@ -231,6 +231,20 @@ def test_neighbours_recall(spark):
     assert np.mean([len(set(lists[q]) & set(want[q])) / 10 for q in want]) > 0.95
 
 
+def test_neighbours_recall_in_a_group_of_near_copies(spark):
+    """A third of all rows; byte-rounded scores cannot tell them apart."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(1_800, 16))
+    rows[:600] = rows[0] + 1e-3 * rng.normal(size=(600, 16))
+    vectors = {i: v for i, v in enumerate(rows.astype(np.float32).astype(np.float64))}
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<float>")
+    lists = {}
+    for r in ann.nearest_neighbours(docs, (F.col("vec_id") % 20 == 0) & (F.col("vec_id") < 600), k=20).collect():
+        lists.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = plain_nearest(vectors, range(0, 600, 20), 20)
+    assert np.mean([len(lists[q] & set(want[q])) / 20 for q in want]) > 0.95
+
+
 def test_neighbours_query(spark):
     vectors = {r["vec_id"]: np.array(r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
     want = plain_nearest(vectors, [i for i in vectors if i % 20 == 0], 20)
