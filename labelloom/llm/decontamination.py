@@ -51,7 +51,7 @@ ITEMS_AT_ONCE = 50_000
 class Benchmark:
     """Items as word hashes, and the vocabulary they make."""
 
-    item_ids: list[int]
+    item_ids: list[int | None]
     items: list[np.ndarray]
     vocabulary: np.ndarray  # sorted hashes
     vectors: list[tuple[np.ndarray, np.ndarray]]  # word numbers and counts of an item
@@ -435,15 +435,15 @@ def find_leaks(
     latent space, or of word counts for items of frequent words. Words are runs of digits,
     letters and non-ASCII characters, A-Z lower-cased. Null and empty texts and
     items hold nothing. Items are taken in blocks of a bounded size, in the
-    order of their ids; rows with equal or null ids are each looked at.
+    order of their ids, those with a null id as the last one; rows with equal or null ids are each looked at.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, item_id long, cosine double, start_word long, common double, answer double"
     result = docs.sparkSession.createDataFrame([], schema)
-    bounds = _item_bounds(benchmark, item_col)
-    for low, high in bounds:
-        part = benchmark.where(F.col(item_col).between(low, high)).select(item_col, text_col).toPandas()
-        bench = Benchmark.read(part[item_col].tolist(), part[text_col].tolist())
+    blocks = [F.col(item_col).between(low, high) for low, high in _item_bounds(benchmark, item_col)]
+    for block in [*blocks, F.col(item_col).isNull()]:
+        part = benchmark.where(block).select(item_col, text_col).collect()
+        bench = Benchmark.read([r[0] for r in part], [r[1] for r in part])
         if not bench.items:
             continue
         passages, met = word_frequencies(docs, bench, text_col)

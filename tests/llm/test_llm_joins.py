@@ -338,6 +338,15 @@ def test_leak_whose_copies_are_a_third_of_all_rows(spark):
     assert got == {(i, 0) for i in range(200)} | {(i, 1) for i in range(200, 350)} | {(600, 0), (601, 1), (602, 2)}
 
 
+def test_benchmark_items_with_null_ids(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"n{k}" for k in rng.integers(0, 3_000, 40)) for _ in range(3)]
+    docs = rows_of(spark, [(i, f"some other words {t} and more") for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(None, texts[0]), (5, texts[1])], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, bench).collect()}
+    assert got == {(0, None), (1, 5)}
+
+
 # --- pipeline
 
 
