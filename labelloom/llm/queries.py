@@ -8,7 +8,19 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import ann, decontamination, langid, licenses, mixing, ngram_join, quality, secret_scan, sharding, tokens
+from labelloom.llm import (
+    ann,
+    decontamination,
+    langid,
+    licenses,
+    manifest,
+    mixing,
+    ngram_join,
+    quality,
+    secret_scan,
+    sharding,
+    tokens,
+)
 from labelloom.llm.common import crc_remainder, table
 from labelloom.llm.settings import N_SHARDS, OTHER_WEIGHT, SOURCE_WEIGHTS, TOKEN_LIMIT
 
@@ -106,6 +118,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    built = manifest.build_manifest(docs, manifest.without_line_feeds())
+    return manifest.verify(built, docs.schema["doc_id"].dataType.simpleString())
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_neighbours": op1_neighbours,
@@ -118,6 +136,70 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_manifest": op11_manifest,
 }
 
-ORACLES: dict[str, str] = {}
+_MANIFEST_LEAF = " || ".join(
+    f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "{text}")
+)
+# CRC-32, bit by bit, of the digits of an id.
+_ID_CRC = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+), 4294967295)"""
+_MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, sha256({_MANIFEST_LEAF.format(text="text")}) AS leaf,
+        CASE WHEN {_ID_CRC} % 2 = 0 THEN sha256({_MANIFEST_LEAF.format(text="replace(text, chr(10), '')")}) END AS other
+    FROM documents
+), placed AS (
+    SELECT *, coalesce(other, leaf) AS changed, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+    FROM leaves
+), nodes AS (
+    SELECT tree, 0 AS level, i, leaf AS digest, count(*) OVER (PARTITION BY tree) AS width FROM placed
+    UNION ALL
+    SELECT tree, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (width + 2) // 3
+    FROM nodes WHERE width > 1 GROUP BY tree, level, i // 3, width
+), subroots AS (
+    SELECT tree, level AS height, digest AS subroot FROM nodes WHERE width = 1
+), tops AS (
+    SELECT 0 AS level, tree AS i, subroot AS digest, count(*) OVER () AS width FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (width + 2) // 3
+    FROM tops WHERE width > 1 GROUP BY level, i // 3, width
+), root AS (
+    SELECT digest AS root, level AS top_height FROM tops WHERE width = 1
+), runs AS (  -- by tree, level and number of the run: its nodes
+    SELECT tree, level, i // 3 AS run, list(digest ORDER BY i) AS digests FROM nodes GROUP BY ALL
+), top_runs AS (
+    SELECT level, i // 3 AS run, list(digest ORDER BY i) AS digests FROM tops GROUP BY ALL
+), walks AS (  -- every level of a leaf's way: its run, and its place in it
+    SELECT tree, i AS leaf_i, level AS step, digests, (i // CAST(pow(3, level) AS BIGINT)) % 3 AS own
+    FROM placed JOIN subroots USING (tree) JOIN runs USING (tree)
+    WHERE level < height AND run = i // CAST(pow(3, level + 1) AS BIGINT)
+    UNION ALL
+    SELECT tree, i, height + level, digests, (tree // CAST(pow(3, level) AS BIGINT)) % 3
+    FROM placed JOIN subroots USING (tree) CROSS JOIN root JOIN top_runs ON level < top_height
+    WHERE run = tree // CAST(pow(3, level + 1) AS BIGINT)
+), sides AS (
+    SELECT tree, leaf_i AS i, step, array_to_string(digests[:own], '') AS before,
+        array_to_string(digests[own + 2:], '') AS behind
+    FROM walks
+), folds AS (
+    SELECT tree, i, 0 AS step, changed AS digest FROM placed
+    UNION ALL
+    SELECT f.tree, f.i, f.step + 1, sha256(s.before || f.digest || s.behind)
+    FROM folds f JOIN sides s ON f.tree = s.tree AND f.i = s.i AND f.step = s.step
+), proofs AS (
+    SELECT tree, i, sha256(string_agg(before || behind, '' ORDER BY step)) AS proof_sha256, max(step) + 1 AS steps
+    FROM sides GROUP BY tree, i
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root,
+    f.digest = root AS verified
+FROM placed p JOIN subroots USING (tree) CROSS JOIN root LEFT JOIN proofs q ON p.tree = q.tree AND p.i = q.i
+JOIN folds f ON f.tree = p.tree AND f.i = p.i AND f.step = coalesce(q.steps, 0)
+"""
+
+ORACLES: dict[str, str] = {"op11_manifest": _MANIFEST}
