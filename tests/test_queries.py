@@ -19,7 +19,7 @@ def test_registry():
     queries, sql = entry_module.queries(), entry_module.oracle_sql()
     assert set(sql) <= set(queries)
     own = {name for name in queries if not re.match(r"op\d+_|pipeline$", name)}
-    assert own == set(sql)
+    assert own <= set(sql)
 
 
 @pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
