@@ -19,6 +19,7 @@ from labelloom.llm import (
     quality,
     secret_scan,
     sharding,
+    simhash,
     tokens,
 )
 from labelloom.llm.common import crc_remainder, table
@@ -124,6 +125,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(built, docs.schema["doc_id"].dataType.simpleString())
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_neighbours": op1_neighbours,
@@ -137,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
     "op11_manifest": op11_manifest,
+    "op13_simhash": op13_simhash,
 }
 
 _MANIFEST_LEAF = " || ".join(
