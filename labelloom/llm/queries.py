@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm import (
     ann,
+    codes,
     decontamination,
     langid,
     licenses,
@@ -125,6 +126,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(built, docs.schema["doc_id"].dataType.simpleString())
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -142,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
     "op11_manifest": op11_manifest,
+    "op12_codes": op12_codes,
     "op13_simhash": op13_simhash,
 }
 
@@ -208,4 +214,49 @@ FROM placed p JOIN subroots USING (tree) CROSS JOIN root LEFT JOIN proofs q ON p
 JOIN folds f ON f.tree = p.tree AND f.i = p.i AND f.step = coalesce(q.steps, 0)
 """
 
-ORACLES: dict[str, str] = {"op11_manifest": _MANIFEST}
+
+
+def _codes_sql(parts: int = codes.PARTS, entries: int = codes.ENTRIES, rounds: int = codes.ROUNDS) -> str:
+    """All distances of every round; whole numbers, held exactly in doubles."""
+    apart = "list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c)"
+    assign = f"""
+    near_{{k}} AS MATERIALIZED (
+        SELECT row, p, any_value(v) AS v, min({{{{'d': {apart}, 'e': e}}}}) AS best
+        FROM cut JOIN book_{{k}} USING (p) GROUP BY row, p
+    )"""
+    refine = """
+    book_{j} AS MATERIALIZED (
+        SELECT p, e, coalesce(m.c, b.c) AS c FROM book_{k} b LEFT JOIN (
+            SELECT p, e, list(floor(total / n) ORDER BY i) AS c FROM (
+                SELECT p, best.e AS e, i, sum(v[i]) AS total, count(*) AS n
+                FROM near_{k} CROSS JOIN (SELECT unnest(range(1, 1 + (SELECT max(width) FROM cut))) AS i) GROUP BY ALL
+            ) GROUP BY p, e
+        ) m USING (p, e)
+    )"""
+    steps = [assign.format(k=0)]
+    for k in range(rounds):
+        steps += [refine.format(j=k + 1, k=k), assign.format(k=k + 1)]
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS row, len(embedding) // {parts} AS width,
+        list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS whole
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+    SELECT row, width, p, whole[p * width + 1 : (p + 1) * width] AS v
+    FROM kept CROSS JOIN (SELECT unnest(range({parts})) AS p)
+), book_0 AS (
+    SELECT p, row - 1 AS e, v AS c FROM cut WHERE row <= {entries}
+), {",".join(steps)}, coded AS (
+    SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM near_{rounds} GROUP BY row
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ','
+        ORDER BY p, e)) AS codebooks_sha256 FROM book_{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row) CROSS JOIN digest
+"""
+
+
+ORACLES: dict[str, str] = {"op11_manifest": _MANIFEST, "op12_codes": _codes_sql()}
