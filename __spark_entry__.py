@@ -29,6 +29,7 @@ from labelloom.operators import (  # noqa: E402
     profile,
     quality,
     ranking,
+    similarity,
     splitting,
     tokens,
 )
@@ -541,7 +542,7 @@ def q_dedup_by_hash(spark, sf):
 
 
 def q_near_duplicates(spark, sf):
-    return round6(prepare.near_duplicates(by_lang(spark, sf)), "jaccard")
+    return similarity.near_duplicate_classes(by_lang(spark, sf))
 
 
 # --- guardrails -------------------------------------------------------------------------
@@ -906,7 +907,6 @@ def _preparation_sql() -> dict[str, str]:
         f"len(regexp_extract_all({_redacted('text', i)}, '{p}'))::BIGINT AS n_{kind}"
         for i, (kind, p) in enumerate(guardrails.PII_RULES)
     )
-    bands = ", ".join(f"'{k}:' || list_min(list_transform(sh, lambda s: s[{8 * k + 1}:{8 * k + 8}]))" for k in range(prepare.MINIMA))
     return {
         "load_first_n": f"""WITH {_SPLIT}, every AS (
               SELECT k.row_id, a.split, k.text, k.category, k.label FROM kept k JOIN assigned a ON a.row_id = k.row_id
@@ -960,19 +960,21 @@ def _preparation_sql() -> dict[str, str]:
             WHEN 'fr' THEN upper(trim(text)) ELSE text END AS text FROM d""",
         "dedup_by_hash": f"""WITH {_DOCS} SELECT sha256(key) AS content_hash, min(row_id) AS row_id, count(*) AS copies
             FROM d GROUP BY key""",
-        "near_duplicates": f"""WITH {_DOCS},
+        "near_duplicates": f"""WITH RECURSIVE {_DOCS},
             firsts AS (SELECT min(row_id) AS row_id, key FROM d GROUP BY key),
             ws AS (SELECT row_id, list_filter(string_split_regex(key, '\\s+'), lambda w: w <> '') AS ws FROM firsts),
             sets AS (SELECT row_id, list_distinct(CASE WHEN len(ws) >= 5
                        THEN list_transform(range(1, len(ws) - 3), lambda i: md5(array_to_string(ws[i:i + 4], ' ')))
-                       ELSE [md5(array_to_string(ws, ' '))] END) AS sh FROM ws WHERE len(ws) > 0),
-            banded AS (SELECT row_id, unnest([{bands}]) AS band FROM sets),
-            leaders AS (SELECT band, min(row_id) AS leader FROM banded GROUP BY band),
-            pairs AS (SELECT DISTINCT row_id, leader FROM banded JOIN leaders USING (band) WHERE row_id <> leader),
-            judged AS (SELECT p.row_id, p.leader, len(list_intersect(a.sh, b.sh)) AS c, len(a.sh) AS na, len(b.sh) AS nb
-                       FROM pairs p JOIN sets a ON a.row_id = p.row_id JOIN sets b ON b.row_id = p.leader)
-            SELECT row_id, leader, round(c::DOUBLE / (na + nb - c), 6) AS jaccard FROM judged
-            WHERE c::DOUBLE / (na + nb - c) >= 0.8::DOUBLE""",
+                       WHEN len(ws) > 0 THEN [md5(array_to_string(ws, ' '))] ELSE [] END) AS sh FROM ws),
+            one AS (SELECT row_id, len(sh) AS n, unnest(sh) AS s FROM sets),
+            common AS (SELECT a.row_id AS x, b.row_id AS y, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c
+                       FROM one a JOIN one b ON a.s = b.s AND a.row_id <> b.row_id GROUP BY a.row_id, b.row_id),
+            links AS (SELECT x, y FROM common WHERE 100 * c >= 80 * (n + m - c)),
+            reach AS (SELECT row_id AS x, row_id AS y FROM firsts UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+            least AS (SELECT x AS set_id, min(y) AS least FROM reach GROUP BY x)
+            SELECT d.row_id, len(sh) AS n_shingles, CASE WHEN len(sh) = 0 THEN d.row_id ELSE least END AS component_id
+            FROM d JOIN firsts f ON d.key IS NOT DISTINCT FROM f.key JOIN sets ON sets.row_id = f.row_id
+            JOIN least ON set_id = f.row_id""",
         "pii_redact": f"WITH {_DOCS} SELECT row_id, {counts}, {_redacted('text')} AS redacted FROM d",
         "blocklist_hits": f"WITH {_DOCS} SELECT row_id, array_to_string({_hits('text')}, ',') AS hits FROM d",
         "format_rules": f"WITH {_DOCS} SELECT row_id, array_to_string({_rules('text')}, ',') AS hits FROM d",

@@ -11,10 +11,6 @@ from labelloom.functions.text import compare_key
 from labelloom.operators.sizing import broadcast_rows
 from labelloom.operators.splitting import assign_split, validation_cutoffs
 from labelloom.operators.tokens import TOKEN_PATTERN
-from labelloom.storage import write_table
-
-SHINGLE_WORDS = 5
-MINIMA = 4
 
 
 def token_length_filter(df: DataFrame, low: int, high: int, text_col: str = "text") -> DataFrame:
@@ -44,7 +40,8 @@ def stratified_sample(
 
 def instruction_text(instruction: Column, context: Column, response: Column) -> Column:
     """The three-part instruction template; a null or blank context leaves its
-    section out."""
+    section out, a null instruction or response is an empty one."""
+    instruction, response = (F.coalesce(c, F.lit("")) for c in (instruction, response))
     has_context = F.length(F.trim(F.coalesce(context, F.lit("")))) > 0
     section = F.when(has_context, F.concat(F.lit("### Input:\n"), context, F.lit("\n\n"))).otherwise(F.lit(""))
     return F.concat(
@@ -67,10 +64,14 @@ def format_instruction(turns: DataFrame) -> DataFrame:
 
 def format_chat(turns: DataFrame) -> DataFrame:
     """``(conv_id, n_turns, chat)``: a conversation as one row, turns in order,
-    each between start and end marks. A conversation has to fit one row; it is
-    never cut."""
+    each between start and end marks. A null text is an empty one, a null role
+    ``unknown``. A conversation has to fit one row; it is never cut."""
     listed = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    piece = lambda t: F.concat(F.lit("<|im_start|>"), t["role"], F.lit("\n"), t["text"], F.lit("<|im_end|>\n"))
+
+    def piece(t: Column) -> Column:
+        role, text = F.coalesce(t["role"], F.lit("unknown")), F.coalesce(t["text"], F.lit(""))
+        return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), text, F.lit("<|im_end|>\n"))
+
     return (
         turns.groupBy("conv_id")
         .agg(listed.alias("turns"))
@@ -101,62 +102,3 @@ def dedup_by_hash(df: DataFrame, text_col: str = "text", id_col: str = "row_id")
         .groupBy("content_hash")
         .agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies"))
     )
-
-
-def near_duplicates(
-    df: DataFrame, threshold: float = 0.8, text_col: str = "text", id_col: str = "row_id"
-) -> DataFrame:
-    """``(row_id, leader, jaccard)``: rows whose set of five-word shingles is at
-    least ``threshold`` alike to that of the first row of a band.
-
-    A band is one of four minima over the md5 of the shingles. Each member is
-    compared with the band's first row only, so a large group costs one
-    comparison a member and band. Exact copies are taken out first. Pairs that
-    share no band's first row are not met: the query's SQL states this rule, and
-    ``near_duplicate_classes`` finds all.
-    """
-    first = dedup_by_hash(df, text_col, id_col).select(id_col)
-    words = F.filter(F.split(compare_key(text_col), r"\s+"), lambda w: w != "")
-    shingles = F.when(
-        F.size("words") >= SHINGLE_WORDS,
-        F.transform(
-            F.sequence(F.lit(1), F.size("words") - SHINGLE_WORDS + 1),
-            lambda i: F.md5(F.array_join(F.slice("words", i, SHINGLE_WORDS), " ")),
-        ),
-    ).otherwise(F.array(F.md5(F.array_join("words", " "))))
-    sets = write_table(
-        df.join(first, id_col, "left_semi")
-        .select(id_col, words.alias("words"))
-        .where(F.size("words") > 0)
-        .select(id_col, F.array_distinct(shingles).alias("shingles")),
-        "shingle_sets",
-    )
-    parts = []
-    for k in range(MINIMA):
-        cut = F.expr(f"array_min(transform(shingles, s -> substring(s, {8 * k + 1}, 8)))")
-        parts.append(F.concat(F.lit(f"{k}:"), cut))
-    banded = sets.select(id_col, F.explode(F.array(*parts)).alias("band"))
-    leaders = banded.groupBy("band").agg(F.min(id_col).alias("leader"))
-    pairs = banded.join(leaders, "band").where(F.col(id_col) != F.col("leader")).select(id_col, "leader").distinct()
-    other = sets.select(F.col(id_col).alias("leader"), F.col("shingles").alias("leader_shingles"))
-    common = F.size(F.array_intersect("shingles", "leader_shingles"))
-    jaccard = common / (F.size("shingles") + F.size("leader_shingles") - common)
-    return (
-        pairs.join(sets, id_col)
-        .join(other, "leader")
-        .select(id_col, "leader", jaccard.alias("jaccard"))
-        .where(F.col("jaccard") >= threshold)
-    )
-
-
-def near_duplicate_classes(
-    df: DataFrame, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "row_id"
-) -> DataFrame:
-    """``(row_id, n_shingles, component_id, n_links)``: the classes that all
-    pairs of rows with a Jaccard of ``num / den`` or more make, over the sets of
-    five-word shingles of the comparison keys. No pair is left out: candidates
-    come from a join on prefix shingles and are verified exactly."""
-    from labelloom.llm.ngram_join import Similarity, similar_documents
-
-    keys = df.select(id_col, compare_key(text_col).alias("text"))
-    return similar_documents(keys, Similarity(words=SHINGLE_WORDS, num=num, den=den), id_col, "text")

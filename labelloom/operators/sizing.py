@@ -33,3 +33,16 @@ def broadcast_if_small(
         df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     )
     return F.broadcast(df) if rows <= max_rows and total <= max_bytes else df
+
+
+def most_frequent_rows(df: DataFrame, count_col: str, bound: int) -> DataFrame:
+    """The rows with the largest counts, at most ``bound`` of them and all of an
+    equal count or none: a threshold found from a histogram of the counts."""
+    histogram = df.groupBy(F.col(count_col).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c"))
+    total, least = 0, None
+    for row in histogram.toLocalIterator():
+        total += row["n"]
+        if total > bound:
+            break
+        least = row["c"]
+    return df.limit(0) if least is None else df.where(F.col(count_col) >= least)

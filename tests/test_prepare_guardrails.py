@@ -1,8 +1,5 @@
 """Edge cases of the preparation, guardrail and monitoring operators."""
 
-import itertools
-import random
-
 from pyspark.sql import functions as F
 
 from labelloom.operators import guardrails, monitoring, prepare
@@ -28,34 +25,19 @@ def test_samples_and_filters(spark):
     assert [(r["row_id"], r["n_tokens"]) for r in prepare.token_length_filter(texts, 0, 2).orderBy("row_id").collect()] == [(1, 0), (2, 2)]
 
 
-def test_near_duplicates(spark):
-    base = " ".join(f"v{i}" for i in range(60))
-    rows = [(1, base), (2, base + " tail"), (3, base), (4, "other words"), (5, None), (6, "")]
-    df = spark.createDataFrame(rows, "row_id long, text string")
-    got = prepare.near_duplicates(df).collect()
-    assert [(r["row_id"], r["leader"]) for r in got] == [(2, 1)]
-    assert {r["row_id"]: r["copies"] for r in prepare.dedup_by_hash(df).collect()}[1] == 2
+def test_templates_keep_turns_with_nulls(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (1, 2, None, "r")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    row = prepare.format_chat(turns).first()
+    pieces = ["user\nq", "assistant\n", "unknown\nr"]
+    assert row["n_turns"] == 3
+    assert row["chat"] == "".join(f"<|im_start|>{p}<|im_end|>\n" for p in pieces)
+    assert prepare.format_instruction(turns).first()["example"] == "### Instruction:\nq\n\n### Response:\n"
 
 
-def test_near_duplicate_classes_equal_all_pairs(spark):
-    """Rows that share a passage and the smallest ids of unlike rows."""
-    rng = random.Random(1)
-    passage = [f"p{i}" for i in range(40)]
-    texts = [" ".join(passage + [f"u{k}_{j}" for j in range(40)]) for k in range(6)]
-    for k in range(12):
-        base = passage + [f"w{k}_{j}" for j in range(60)]
-        for _ in range(4):
-            words = list(base)
-            words[rng.randrange(100)] = f"e{rng.random()}"
-            texts.append(" ".join(words))
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
-    root = list(range(len(texts)))
-    for i, j in itertools.combinations(range(len(texts)), 2):
-        if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
-            root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
-    got = {r["row_id"]: r["component_id"] for r in prepare.near_duplicate_classes(df).collect()}
-    assert got == dict(enumerate(root)) and len(set(root)) < len(texts)
+def test_dedup_by_hash(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "A b "), (3, None)], "row_id long, text string")
+    assert {r["row_id"]: r["copies"] for r in prepare.dedup_by_hash(df).collect()} == {1: 2, 3: 1}
 
 
 def test_guardrails(spark):
