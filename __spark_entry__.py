@@ -20,6 +20,8 @@ from labelloom.functions.arrays import argmax  # noqa: E402
 from labelloom.functions.labels import decode_labels, encode_labels, label_dim  # noqa: E402
 from labelloom.functions.text import clean_text, compare_key, word_count  # noqa: E402
 from labelloom.operators import (  # noqa: E402
+    cache,
+    clusters,
     dedup,
     guardrails,
     guards,
@@ -47,6 +49,7 @@ from labelloom.plans.views import (  # noqa: E402
 )
 from labelloom.sources import readers, writers  # noqa: E402
 from labelloom.storage import scratch_path, write_table  # noqa: E402
+from labelloom.streaming.drift import drift_per_batch  # noqa: E402
 from labelloom.streaming.landing import land_new_files, stream_files  # noqa: E402
 from labelloom.streaming.windows import land_closed_windows, windowed_stats  # noqa: E402
 
@@ -655,12 +658,35 @@ def q_embedding_centroid_drift(spark, sf):
     return round6(monitoring.centroid_drift(*embedding_sides(spark, sf), "label"), "cosine")
 
 
+# The given vectors are spread out, so a hit is looser than a real cache's 0.9.
+CACHE_THRESHOLD = 0.4
+
+
+def q_semantic_cache_lookup(spark, sf):
+    vectors = table_of(spark, sf, "embeddings")
+    return round6(cache.cache_lookup(vectors, F.col("vec_id") % 50 == 0, CACHE_THRESHOLD), "cosine")
+
+
+CLUSTERS, CLUSTER_ROUNDS = 10, 5
+ARRIVALS = 3
+
+
 def q_embedding_psi(spark, sf):
-    """Centers are saved data: the first vector of each label. One row a label
-    reaches the driver."""
-    first = table_of(spark, sf, "embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("c"))
-    centers = [r["c"] for r in first.orderBy("label").collect()]
-    return round6(monitoring.stability_index(*embedding_sides(spark, sf), centers), "p", "q", "psi")
+    baseline, live = embedding_sides(spark, sf)
+    return round6(monitoring.stability_index(baseline, live, CLUSTERS, CLUSTER_ROUNDS), "p", "q", "psi")
+
+
+def q_drift_per_batch(spark, sf):
+    """Live rows arrive in three deliveries; after each the stream takes what
+    is new as one batch."""
+    baseline, live = embedding_sides(spark, sf)
+    base = scratch_path(spark, "drift")
+    clusters.save_baseline(baseline, f"{base}/baseline", CLUSTERS, CLUSTER_ROUNDS)
+    for k in range(ARRIVALS):
+        live.where(F.expr(f"vec_id div 2 % {ARRIVALS} = {k}")).write.mode("append").parquet(f"{base}/arrived")
+        stream = stream_files(spark, f"{base}/arrived", live.schema)
+        found = drift_per_batch(stream, f"{base}/baseline", f"{base}/drift", f"{base}/checkpoint")
+    return round6(found, "psi", "cosine")
 
 
 def q_windowed_stats_stream(spark, sf):
@@ -1031,17 +1057,62 @@ def _preparation_sql() -> dict[str, str]:
             m AS (SELECT side, label, pos, avg(x) AS x FROM x GROUP BY ALL)
             SELECT a.label, round(sum(a.x * b.x) / sqrt(sum(a.x * a.x) * sum(b.x * b.x)), 6) AS cosine
             FROM m a JOIN m b ON b.label = a.label AND b.pos = a.pos AND a.side = 0 AND b.side = 1 GROUP BY a.label""",
-        "embedding_psi": """WITH c AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cluster, arg_min(embedding, vec_id)::DOUBLE[] AS c
-                FROM embeddings GROUP BY label),
-            best AS (SELECT vec_id, arg_max(cluster, (list_inner_product(embedding::DOUBLE[], c), -cluster))::INTEGER AS cluster
-                     FROM embeddings, c GROUP BY vec_id),
-            n AS (SELECT cluster, count(*) FILTER (vec_id % 2 = 0) AS b, count(*) FILTER (vec_id % 2 = 1) AS l FROM best GROUP BY cluster),
+        "semantic_cache_lookup": f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL),
+            scored AS (SELECT q.vec_id AS query_id, x.vec_id,
+                list_inner_product(q.v, x.v) / sqrt(list_inner_product(q.v, q.v) * list_inner_product(x.v, x.v)) AS cosine
+                FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0)
+            SELECT query_id, arg_max(vec_id, (round(cosine, 12), -vec_id)) AS vec_id, round(max(cosine), 6) AS cosine
+            FROM scored GROUP BY query_id HAVING max(cosine) >= {CACHE_THRESHOLD}""",
+        "embedding_psi": f"""WITH {_clusters()}, n AS (
+                SELECT cluster, count(side) FILTER (side = 0) AS b, count(side) FILTER (side = 1) AS l
+                FROM book_{CLUSTER_ROUNDS} LEFT JOIN (SELECT vec_id % 2 AS side, best.cluster AS cluster FROM near_all) USING (cluster)
+                GROUP BY cluster),
             pq AS (SELECT cluster, greatest(b / (sum(b) OVER ())::DOUBLE, 0.0001::DOUBLE) AS p,
                           greatest(l / (sum(l) OVER ())::DOUBLE, 0.0001::DOUBLE) AS q FROM n)
-            SELECT cluster, round(p, 6) AS p, round(q, 6) AS q, round((q - p) * ln(q / p), 6) AS psi FROM pq""",
+            SELECT cluster::INTEGER AS cluster, round(p, 6) AS p, round(q, 6) AS q, round((q - p) * ln(q / p), 6) AS psi FROM pq""",
+        "drift_per_batch": f"""WITH {_clusters()},
+            placed AS (SELECT best.cluster AS cluster, CASE WHEN vec_id % 2 = 1 THEN vec_id // 2 % {ARRIVALS} END AS batch_id FROM near_all),
+            every AS (SELECT batch_id, cluster FROM (SELECT unnest(range({ARRIVALS})) AS batch_id), book_{CLUSTER_ROUNDS}),
+            b AS (SELECT cluster, count(*) / sum(count(*)) OVER ()::DOUBLE AS p FROM placed WHERE batch_id IS NULL GROUP BY cluster),
+            l AS (SELECT batch_id, cluster, count(*) AS n FROM placed WHERE batch_id IS NOT NULL GROUP BY ALL),
+            shares AS (SELECT batch_id, coalesce(l.n, 0) AS n, greatest(coalesce(p, 0), 0.0001::DOUBLE) AS p,
+                greatest(coalesce(l.n, 0) / sum(l.n) OVER (PARTITION BY batch_id)::DOUBLE, 0.0001::DOUBLE) AS q
+                FROM every LEFT JOIN b USING (cluster) LEFT JOIN l USING (batch_id, cluster)),
+            psi AS (SELECT batch_id, sum(n)::BIGINT AS n, round(sum((q - p) * ln(q / p)), 6) AS psi FROM shares GROUP BY batch_id),
+            x AS (SELECT CASE WHEN vec_id % 2 = 0 THEN -1 ELSE vec_id // 2 % {ARRIVALS} END AS batch_id,
+                generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),
+            m AS (SELECT batch_id, pos, avg(x) AS x FROM x GROUP BY ALL),
+            cosines AS (SELECT a.batch_id, round(sum(a.x * o.x) / sqrt(sum(a.x * a.x) * sum(o.x * o.x)), 6) AS cosine
+                FROM m a JOIN m o USING (pos) WHERE a.batch_id >= 0 AND o.batch_id = -1 GROUP BY a.batch_id)
+            SELECT batch_id, n, psi, cosine FROM psi JOIN cosines USING (batch_id)""",
     }
 
 
+def _clusters() -> str:
+    """Lloyd's rounds over the even rows, then the nearest center of all rows."""
+    apart = "list_inner_product(c, c) - 2 * list_inner_product(v, c)"
+
+    def near(name: str, rows: str, k: int) -> str:
+        return f"""{name} AS MATERIALIZED (
+            SELECT vec_id, any_value(v) AS v, min({{'d': {apart}, 'cluster': cluster}}) AS best
+            FROM vectors, book_{k} {rows} GROUP BY vec_id)"""
+
+    steps = [
+        "vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL)",
+        f"""book_0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, list_transform(v, lambda x: round(x, 6)) AS c
+            FROM vectors WHERE vec_id % 2 = 0 ORDER BY vec_id LIMIT {CLUSTERS})""",
+    ]
+    for k in range(CLUSTER_ROUNDS):
+        steps.append(near(f"near_{k}", "WHERE vec_id % 2 = 0", k))
+        steps.append(f"""book_{k + 1} AS MATERIALIZED (
+            SELECT cluster, coalesce(m.c, o.c) AS c FROM book_{k} o LEFT JOIN (
+                SELECT cluster, list(round(x, 6) ORDER BY pos) AS c FROM (
+                    SELECT cluster, pos, avg(x) AS x FROM (
+                        SELECT best.cluster AS cluster, generate_subscripts(v, 1) AS pos, unnest(v) AS x FROM near_{k}
+                    ) GROUP BY ALL) GROUP BY cluster) m USING (cluster))""")
+    return ", ".join([*steps, near("near_all", "", CLUSTER_ROUNDS)])
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_text": f"WITH {_DOCS} SELECT row_id, clean FROM d",

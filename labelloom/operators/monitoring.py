@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labelloom.functions.text import compare_key, word_count
+from labelloom.operators.clusters import cluster_counts, dot, mean_vectors, read_baseline, save_baseline
+from labelloom.storage import scratch_path
 
 
 def response_stats(df: DataFrame, group_col: str, text_col: str = "text") -> DataFrame:
@@ -83,53 +85,51 @@ def compare_answers(log: DataFrame, before: str, after: str, key: str = "questio
     return one.join(two, key).withColumn("changed", ~F.col("before").eqNullSafe(F.col("after")))
 
 
-def centroids(df: DataFrame, group_col: str, vector_col: str = "embedding") -> DataFrame:
-    """``(group, centroid)``: the mean of each position."""
-    return (
-        df.select(group_col, F.posexplode(vector_col).alias("pos", "x"))
-        .groupBy(group_col, "pos")
-        .agg(F.avg("x").alias("x"))
-        .groupBy(group_col)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("xs"))
-        .select(group_col, F.transform("xs", lambda p: p["x"]).alias("centroid"))
-    )
-
-
-def dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+def cosine(a: Column, b: Column) -> Column:
+    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
 def centroid_drift(baseline: DataFrame, live: DataFrame, group_col: str, vector_col: str = "embedding") -> DataFrame:
     """Cosine between the baseline's and the live centroid of each group."""
-    one = centroids(baseline, group_col, vector_col)
-    two = centroids(live, group_col, vector_col).withColumnRenamed("centroid", "live")
-    c, d = F.col("centroid"), F.col("live")
-    cosine = dot(c, d) / F.sqrt(dot(c, c) * dot(d, d))
-    return one.join(two, group_col).select(group_col, cosine.alias("cosine"))
+    one = mean_vectors(baseline, F.col(group_col), vector_col)
+    two = mean_vectors(live, F.col(group_col), vector_col).withColumnRenamed("center", "live")
+    return one.join(two, "group").select(F.col("group").alias(group_col), cosine(F.col("center"), F.col("live")).alias("cosine"))
+
+
+def stability_rows(
+    live: DataFrame, centers: Sequence[Sequence[float]], counts: Sequence[int], vector_col: str = "embedding", floor: float = 1e-4
+) -> DataFrame:
+    """``(cluster, baseline, live, p, q, psi)`` for every center: rows and shares
+    on both sides, and its part of the population stability index. ``counts``
+    are the baseline's. Shares below ``floor``, empty clusters among them, count
+    as ``floor``."""
+    spark = live.sparkSession
+    saved = spark.createDataFrame(list(enumerate(int(n) for n in counts)), "cluster int, baseline long")
+    both = saved.join(F.broadcast(cluster_counts(live, centers, vector_col).withColumnRenamed("n", "live")), "cluster")
+    # One row per center.
+    every = Window.partitionBy()
 
+    def share(count: str) -> Column:
+        return F.greatest(F.col(count) / F.greatest(F.sum(count).over(every), F.lit(1)), F.lit(floor))
 
-def nearest_center(vector: Column | str, centers: Sequence[Sequence[float]]) -> Column:
-    """Index of the center with the largest inner product; a few centers, as
-    literals."""
-    vector = F.col(vector) if isinstance(vector, str) else vector
-    scores = F.array(*[dot(vector, F.lit([float(x) for x in c])) for c in centers])
-    return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+    shares = both.select("cluster", "baseline", "live", share("baseline").alias("p"), share("live").alias("q"))
+    return shares.withColumn("psi", (F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p")))
 
 
 def stability_index(
-    baseline: DataFrame, live: DataFrame, centers: Sequence[Sequence[float]], vector_col: str = "embedding", floor: float = 1e-4
+    baseline: DataFrame,
+    live: DataFrame,
+    k: int = 10,
+    rounds: int = 5,
+    vector_col: str = "embedding",
+    id_col: str = "vec_id",
+    path: str | None = None,
 ) -> DataFrame:
-    """``(cluster, p, q, psi)``: shares of baseline and live rows per cluster of
-    fixed centers, and each cluster's part of the population stability index."""
-    side = baseline.select(F.lit(0).alias("side"), vector_col).unionByName(live.select(F.lit(1).alias("side"), vector_col))
-    counts = side.groupBy(nearest_center(vector_col, centers).alias("cluster")).agg(
-        F.count_if(F.col("side") == 0).alias("b"), F.count_if(F.col("side") == 1).alias("l")
-    )
-    # One row per center.
-    every = Window.partitionBy()
-    p = F.greatest(F.col("b") / F.sum("b").over(every), F.lit(floor))
-    q = F.greatest(F.col("l") / F.sum("l").over(every), F.lit(floor))
-    return counts.select("cluster", p.alias("p"), q.alias("q")).withColumn(
-        "psi", (F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))
-    )
+    """``(cluster, p, q, psi)`` over clusters fitted on the baseline. The centers
+    are saved under ``path`` and read back, so that later batches can be held
+    against the same."""
+    spark = baseline.sparkSession
+    path = path or scratch_path(spark, "baseline_clusters")
+    save_baseline(baseline, path, k, rounds, vector_col, id_col)
+    centers, counts, _ = read_baseline(spark, path)
+    return stability_rows(live, centers, counts, vector_col).select("cluster", "p", "q", "psi")

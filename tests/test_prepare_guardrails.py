@@ -64,5 +64,6 @@ def test_monitoring(spark):
     vectors = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.0, 1.0])], "label int, embedding array<double>")
     drift = monitoring.centroid_drift(vectors, vectors, "label").collect()
     assert all(abs(r["cosine"] - 1) < 1e-12 for r in drift)
-    same = monitoring.stability_index(vectors, vectors, [[1.0, 0.0], [0.0, 1.0]])
+    rows = vectors.withColumn("vec_id", F.monotonically_increasing_id())
+    same = monitoring.stability_index(rows, rows, k=2)
     assert same.agg(F.sum("psi")).first()[0] == 0
