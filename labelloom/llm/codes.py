@@ -99,9 +99,10 @@ def orchard_search(vectors: np.ndarray, lists: Lists, start: np.ndarray | None =
 
 def whole_numbers(vector: Column, bound: int) -> Column:
     """``floor(1024 x)`` of every component, held within ``bound``."""
+    limit = float(bound)
     return F.transform(
         vector,
-        lambda x: F.greatest(F.lit(-bound), F.least(F.lit(bound), F.floor(x.cast("double") * SCALE).cast("long"))).cast("int"),
+        lambda x: F.floor(F.greatest(F.lit(-limit), F.least(F.lit(limit), x.cast("double") * SCALE))).cast("int"),
     )
 
 
@@ -173,10 +174,10 @@ def next_codebooks(rows: DataFrame, books: np.ndarray) -> np.ndarray:
                 np.add.at(sums[p], codes[p], block[p])
                 counts[p] += np.bincount(codes[p], minlength=entries)
         part, entry = np.nonzero(counts)
-        yield pd.DataFrame(
-            {"part": part, "entry": entry, "n": counts[part, entry], "sums": list(sums[part, entry])},
-            columns=["part", "entry", "n", "sums"],
-        )
+        if len(part):
+            yield pd.DataFrame(
+                {"part": part, "entry": entry, "n": counts[part, entry], "sums": list(sums[part, entry])}
+            )
 
     found = rows.select("vector").mapInPandas(run, "part int, entry int, n long, sums array<long>")
     totals = found.select("part", "entry", "n", F.posexplode("sums").alias("k", "total"))
