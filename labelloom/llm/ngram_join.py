@@ -39,7 +39,8 @@ from labelloom.operators.sizing import broadcast_if_small, broadcast_rows
 from labelloom.storage import write_table
 
 SLICE_CHARS = 1_500_000
-COUNTED_AT_ONCE = 6_000_000
+COUNTED_AT_ONCE = 2_000_000
+LISTED_AT_ONCE = 50_000  # repeated shingles in one row
 FREQUENT = 1_000_000  # shingles with a known frequency, 16 bytes each
 MEMBERSHIP_BITS = 24
 LEAST_LEVEL = 2  # one shared shingle happens by chance, as the square of the texts
@@ -76,33 +77,42 @@ def set_ids(sets: list[np.ndarray]) -> list[bytes | None]:
 
 
 def document_sets(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n, set_id, often)``: a row per document, and rows without set or
-    size whose ``often`` lists shingles that a batch of texts holds repeatedly,
-    with their number."""
+    """``(id, n, set_id, often, met)``: a row per document, and rows without set
+    or size whose ``often`` lists shingles that a batch of texts holds
+    repeatedly, and ``met`` their numbers."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[np.ndarray] = []
-
-        def repeated() -> pd.DataFrame:
-            shingles, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            shingles, counts = shingles[counts > 1].view(np.int64), counts[counts > 1]
-            often = [{"shingle": s, "met": c} for s, c in zip(shingles.tolist(), counts.tolist(), strict=True)]
-            return pd.DataFrame({"id": [None], "n": pd.array([None], dtype="Int64"), "set_id": [None], "often": [often]})
+        held = 0
+
+        def repeated() -> Iterator[pd.DataFrame]:
+            shingles = np.concatenate(waiting)
+            waiting.clear()
+            shingles.sort()
+            first = np.flatnonzero(np.concatenate([[True], shingles[1:] != shingles[:-1]]))
+            counts = np.diff(np.append(first, len(shingles)))
+            shingles, counts = shingles[first[counts > 1]].view(np.int64), counts[counts > 1]
+            for start in range(0, len(shingles), LISTED_AT_ONCE):
+                part = slice(start, start + LISTED_AT_ONCE)
+                rest = {"id": [None], "n": pd.array([None], dtype="Int64"), "set_id": [None]}
+                yield pd.DataFrame(rest | {"often": [shingles[part]], "met": [counts[part]]})
 
         for frame in slices(frames, text_col, SLICE_CHARS):
             sets = shingle_sets(find_words(frame[text_col].tolist()), len(frame), rule.words)
             yield pd.DataFrame(
-                {"id": frame[id_col].to_numpy(), "n": [len(s) for s in sets], "set_id": set_ids(sets), "often": None}
+                {"id": frame[id_col].to_numpy(), "n": [len(s) for s in sets], "set_id": set_ids(sets), "often": None, "met": None}
             )
-            waiting.extend(sets)
-            if sum(map(len, waiting)) > COUNTED_AT_ONCE:
-                yield repeated()
-                waiting.clear()
-        if waiting:
-            yield repeated()
-
-    schema = f"id {id_type}, n long, set_id binary, often array<struct<shingle:long,met:long>>"
+            for s in sets:
+                waiting.append(s)
+                held += len(s)
+                if held > COUNTED_AT_ONCE:
+                    yield from repeated()
+                    held = 0
+        if held:
+            yield from repeated()
+
+    schema = f"id {id_type}, n long, set_id binary, often array<long>, met array<long>"
     return docs.select(id_col, text_col).mapInPandas(run, schema)
 
 
@@ -355,7 +365,8 @@ def similar_documents(
     stage = write_table(document_sets(docs, rule, id_col, text_col), "document_sets")
     members = stage.where(F.col("n").isNotNull()).select("id", "n", "set_id")
     # Bounded by ``frequent``.
-    counted = stage.where(F.col("n").isNull()).select(F.inline("often")).groupBy("shingle").agg(F.sum("met").alias("met"))
+    listed = stage.where(F.col("n").isNull()).select(F.inline(F.arrays_zip(F.col("often").alias("shingle"), "met")))
+    counted = listed.groupBy("shingle").agg(F.sum("met").alias("met"))
     often = most_frequent(write_table(counted, "frequent_shingles"), "met", frequent).toPandas()
 
     # One row stands for each class.
