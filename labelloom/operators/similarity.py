@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.text import compare_key, digest
 from labelloom.operators.components import component_labels
-from labelloom.operators.sizing import broadcast_if_small, broadcast_rows, most_frequent_rows
+from labelloom.operators.sizing import broadcast_if_small, broadcast_rows, collect_longs, most_frequent_rows
 from labelloom.storage import write_table
 
 CROWD = 24  # prefixes with a shingle, above which leaders come first
@@ -69,7 +69,7 @@ def shingle_hashes(df: DataFrame, text: Column, words: int) -> DataFrame:
     return hashed.withColumn("shingles", made).drop("word_hashes")
 
 
-def frequent_shingles(sets: DataFrame, bound: int = FREQUENT) -> pd.DataFrame:
+def frequent_shingles(sets: DataFrame, bound: int = FREQUENT) -> dict[str, np.ndarray]:
     """``(shingle, met)`` of those that batches of texts hold repeatedly, the most
     frequent, ``bound`` at most. Only the order of prefixes depends on it."""
 
@@ -93,15 +93,13 @@ def frequent_shingles(sets: DataFrame, bound: int = FREQUENT) -> pd.DataFrame:
 
     counted = sets.select("shingles").mapInPandas(run, "shingle long, met long")
     summed = write_table(counted.groupBy("shingle").agg(F.sum("met").alias("met")), "frequent_shingles")
-    return most_frequent_rows(summed, "met", bound).toPandas()
+    return collect_longs(most_frequent_rows(summed, "met", bound), "shingle", "met")
 
 
-def prefix_entries(sets: DataFrame, frequent: pd.DataFrame, rule: Alike) -> DataFrame:
+def prefix_entries(sets: DataFrame, frequent: dict[str, np.ndarray], rule: Alike) -> DataFrame:
     """``(shingle, set_id, n, pos)``: the prefix of each set in the global order."""
-    by_value = frequent.sort_values("shingle")
-    known = sets.sparkSession.sparkContext.broadcast(
-        (by_value["shingle"].to_numpy(np.int64), by_value["met"].to_numpy(np.int64))
-    )
+    order = np.argsort(frequent["shingle"])
+    known = sets.sparkSession.sparkContext.broadcast((frequent["shingle"][order], frequent["met"][order]))
     id_type = sets.schema["set_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
