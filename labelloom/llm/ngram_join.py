@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from labelloom.llm.common import most_frequent, slices
 from labelloom.llm.graph import connected_components
 from labelloom.llm.words import find_words, mix64, shingle_sets
-from labelloom.operators.sizing import broadcast_if_small, broadcast_rows
+from labelloom.operators.sizing import broadcast_if_small, broadcast_rows, collect_longs
 from labelloom.storage import write_table
 
 SLICE_CHARS = 1_500_000
@@ -121,13 +121,11 @@ def level_of(cost: int) -> int:
     return LEAST_LEVEL + sum(cost > c for c in COSTS)
 
 
-def prefixes(docs: DataFrame, frequent: pd.DataFrame, rule: Similarity, text_col: str) -> DataFrame:
+def prefixes(docs: DataFrame, frequent: dict[str, np.ndarray], rule: Similarity, text_col: str) -> DataFrame:
     """``(set_id, n, level, prefix)``: the first shingles of each document's set
     in the global order, as many as its level asks for. A task gives each set
     once, however many copies of it it meets."""
-    known = docs.sparkSession.sparkContext.broadcast(
-        (frequent["shingle"].to_numpy(np.int64), frequent["met"].to_numpy(np.int64))
-    )
+    known = docs.sparkSession.sparkContext.broadcast((frequent["shingle"], frequent["met"]))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, met = known.value
@@ -367,7 +365,7 @@ def similar_documents(
     # Bounded by ``frequent``.
     listed = stage.where(F.col("n").isNull()).select(F.inline(F.arrays_zip(F.col("often").alias("shingle"), "met")))
     counted = listed.groupBy("shingle").agg(F.sum("met").alias("met"))
-    often = most_frequent(write_table(counted, "frequent_shingles"), "met", frequent).toPandas()
+    often = collect_longs(most_frequent(write_table(counted, "frequent_shingles"), "met", frequent), "shingle", "met")
 
     # One row stands for each class.
     found = write_table(
