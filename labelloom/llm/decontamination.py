@@ -10,9 +10,10 @@ shorter one that holds the item's answer, its last words. Items most of whose
 words are frequent, as in a corpus full of copies of one leak, have no place in
 that space: every stretch of text that holds enough of their words is checked.
 
-The texts are read twice, once more if there are such items, for the words' frequencies and for the positions of
-the words that count; what follows runs on these positions. Only the texts with
-candidates are read once more. What reaches the driver is bounded by the
+The texts are read twice, for the words' frequencies and for the positions of
+the words that count, and once more if there are such items; what follows runs
+on these positions, in two passes. Only the texts with candidates are read
+again. What reaches the driver is bounded by the
 benchmark's vocabulary and the number of latent dimensions.
 """
 
@@ -45,6 +46,9 @@ MIN_COMMON, MIN_COMMON_WITH_ANSWER, MIN_ANSWER = 0.6, 0.45, 0.8
 ANSWER_WORDS = 8
 MAX_BROADCAST_IDS = 1_000_000
 ITEMS_AT_ONCE = 50_000
+CACHED_ROWS = 1_500  # rows of the latent table summed at once
+WORDS_AT_ONCE = 8_192
+SENT_ROWS = 64  # of a task's product in one row
 
 
 @dataclass
@@ -178,70 +182,91 @@ def _cells(frame: pd.DataFrame, unit: int) -> tuple[np.ndarray, np.ndarray, np.n
     return word, first, row[first], stretch[first]
 
 
-def _product(positions: DataFrame, basis: np.ndarray, weights: np.ndarray, inner: bool) -> np.ndarray:
-    """``A' A B`` for the passages' matrix ``A`` and a basis ``B`` over words;
-    with ``inner``, ``B' A' A B``."""
-    weighted = (weights[:, None] * basis).astype(np.float32)
+def _runs(starts: np.ndarray, total: int, size: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring groups, by where they start, of about ``size`` elements
+    together; a group is never cut."""
+    at = 0
+    while at < len(starts):
+        end = int(np.searchsorted(starts, starts[at] + size, side="right")) - 1
+        end = len(starts) if starts[at] + size >= total else max(at + 1, end)
+        yield at, end
+        at = end
+
+
+def _sums(table: np.ndarray, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of the ``table``'s ``rows`` for each group that begins at
+    ``first``, some that fit a processor's cache at a time."""
+    out = np.empty((len(first), table.shape[1]), dtype=table.dtype)
+    for s, e in _runs(first, len(rows), CACHED_ROWS):
+        a, b = first[s], first[e] if e < len(first) else len(rows)
+        np.add.reduceat(table.take(rows[a:b], axis=0), first[s:e] - a, axis=0, out=out[s:e])
+    return out
+
+
+def _product(positions: DataFrame, sketch: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``A' A S`` for the passages' matrix ``A`` and a sketch ``S`` over words."""
+    weighted = (weights[:, None] * sketch).astype(np.float32)
     sent = positions.sparkSession.sparkContext.broadcast(weighted)
-    height, width = (basis.shape[1] if inner else basis.shape[0]), basis.shape[1]
+    height, width = sketch.shape
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = sent.value
         total = np.zeros((height, width))
-        seen = False
-        for big in frames:
-            for start in range(0, len(big), 500):
-                frame = big.iloc[start : start + 500]
-                word, first, _, _ = _cells(frame, PASSAGE)
-                latent = np.add.reduceat(own[word], first, axis=0)
-                if inner:
-                    total += latent.T.astype(np.float64) @ latent
-                else:
-                    each = np.repeat(np.arange(len(first)), np.diff([*first, len(word)]))
-                    used, at = np.unique(word, return_inverse=True)
-                    # A product with the words' incidences, a passage at a time per word.
-                    order = np.argsort(at, kind="stable")
-                    starts = np.searchsorted(at[order], np.arange(len(used)))
-                    total[used] += weights[used, None] * np.add.reduceat(latent[each[order]], starts, axis=0)
-                seen = True
-        if seen:
-            filled = np.flatnonzero(np.abs(total).sum(axis=1))
-            yield pd.DataFrame({"row": filled, "values": [total[i] for i in filled]})
+        for frame in frames:
+            if not len(frame):
+                continue
+            words, firsts, _, _ = _cells(frame, PASSAGE)
+            for s, e in _runs(firsts, len(words), WORDS_AT_ONCE):
+                a, b = firsts[s], firsts[e] if e < len(firsts) else len(words)
+                word, first = words[a:b], firsts[s:e] - a
+                latent = _sums(own, word, first)
+                # Back to words: for each, the passages that it stands in.
+                each = np.repeat(np.arange(len(first)), np.diff([*first, len(word)]))
+                order = np.argsort(word, kind="stable")
+                used, starts = np.unique(word[order], return_index=True)
+                total[used] += weights[used, None] * _sums(latent, each[order], starts)
+        for block in range(0, height, SENT_ROWS):
+            part = total[block : block + SENT_ROWS]
+            if part.any():
+                yield pd.DataFrame({"block": [block], "values": [part.ravel()]})
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"row": [frame["row"].iloc[0]], "values": [np.sum(frame["values"].tolist(), axis=0)]})
+        return pd.DataFrame({"block": [frame["block"].iloc[0]], "values": [np.sum(frame["values"].tolist(), axis=0)]})
 
-    schema = "row long, values array<double>"
-    # A row per word and task, then a row per word.
-    rows = positions.select("place", "word").mapInPandas(run, schema).groupBy("row").applyInPandas(add, schema).toPandas()
+    schema = "block long, values array<double>"
+    # A row per block of words and task, then a row per block.
+    parts = positions.select("place", "word").mapInPandas(run, schema).groupBy("block").applyInPandas(add, schema)
     result = np.zeros((height, width))
-    if len(rows):
-        result[rows["row"]] = np.stack(rows["values"].tolist())
+    for block, values in parts.toPandas().itertuples(index=False):
+        part = np.asarray(values).reshape(-1, width)
+        result[block : block + len(part)] = part
     return result
 
 
 def latent_basis(
     positions: DataFrame, bench: Benchmark, weights: np.ndarray, dimensions: int = DIMENSIONS, seed: int = 42
 ) -> np.ndarray:
-    """Right singular vectors of the passages of corpus and benchmark: the
-    range of ``A' A`` from a random sketch, then the decomposition within it."""
+    """Right singular vectors of the passages of corpus and benchmark, from one
+    pass: a random sketch ``S``, its product ``Y = A' A S``, and the
+    decomposition of ``Y (S' Y)^-1 Y'``, which stands for ``A' A``."""
     size = len(weights)
     width = min(size, dimensions + OVERSAMPLING)
-    sketch = np.random.default_rng(seed).normal(size=(size, width))
+    sketch, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, width)))
 
-    items = np.zeros((len(bench.items), size), dtype=np.float32)
-    for i, (word, count) in enumerate(bench.vectors):
-        items[i, word] = count * weights[word]
-    corpus = _product(positions, sketch, weights, inner=False)
-    own = items.T.astype(np.float64) @ (items @ sketch)
+    corpus = _product(positions, sketch, weights)
+    own = np.zeros_like(corpus)
+    for word, count in bench.vectors:
+        item = count * weights[word]
+        own[word] += np.outer(item, item @ sketch[word])
     norm = np.linalg.norm(own)
     share = BENCHMARK_SHARE * max(1.0, np.linalg.norm(corpus) / norm if norm else 1.0)
-    basis, _ = np.linalg.qr(corpus + share * own)
-    inside = items @ basis
-    small = _product(positions, basis, weights, inner=True) + share * (inside.T @ inside)
-    values, vectors = np.linalg.eigh(small)
-    best = np.argsort(values)[::-1][:dimensions]
-    return basis @ vectors[:, best[values[best] > 1e-9]]
+    product = corpus + share * own
+    inner = sketch.T @ product
+    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+    kept = values > 1e-6 * values.max(initial=0)
+    root = product @ (vectors[:, kept] / np.sqrt(values[kept]))
+    basis, singular, _ = np.linalg.svd(root, full_matrices=False)
+    return basis[:, :dimensions][:, singular[:dimensions] > 1e-6 * singular.max(initial=0)]
 
 
 def candidates(
@@ -258,56 +283,82 @@ def candidates(
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, targets = sent.value
-        for big in frames:
-            for start in range(0, len(big), 500):
-                frame = big.iloc[start : start + 500].reset_index(drop=True)
-                word, first, row, stretch = _cells(frame, STRIDE)
-                part = np.add.reduceat(own[word], first, axis=0)
+        for frame in frames:
+            if not len(frame):
+                continue
+            words, firsts, rows, stretches = _cells(frame, STRIDE)
+            texts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))  # each text's first stretch
+            found = []
+            for s, e in _runs(firsts[texts], len(words), WORDS_AT_ONCE):
+                low, high = texts[s], texts[e] if e < len(texts) else len(rows)
+                a, b = firsts[low], firsts[high] if high < len(firsts) else len(words)
+                row, stretch = rows[low:high], stretches[low:high]
+                part = _sums(own, words[a:b], firsts[low:high] - a)
                 # A window begins at each stretch with words and takes in the next ones of its text.
                 window = part.copy()
-                for ahead in range(1, steps):
-                    for k in range(1, ahead + 1):
-                        near = np.zeros(len(row), dtype=bool)
-                        near[:-k] = (row[k:] == row[:-k]) & (stretch[k:] - stretch[:-k] == ahead)
-                        at = np.flatnonzero(near)
-                        window[at] += part[at + k]
-                norm = np.linalg.norm(window, axis=1)
-                some = np.flatnonzero(norm > 1e-6)
-                cosine = (window[some] / norm[some, None]) @ targets.T
-                i, j = np.nonzero(cosine >= min_cosine)
+                for k in range(1, min(steps, len(row))):
+                    near = (row[k:] == row[:-k]) & (stretch[k:] - stretch[:-k] < steps)
+                    np.add(window[:-k], part[k:], out=window[:-k], where=near[:, None])
+                norm = np.sqrt(np.einsum("ij,ij->i", window, window))
+                cosine = window @ targets.T
+                i, j = np.nonzero(cosine >= (min_cosine * np.maximum(norm, 1e-6))[:, None])
+                if len(i):
+                    found.append((row[i], stretch[i], j, (cosine[i, j] / norm[i]).astype(np.float64)))
+            if found:
+                row, stretch, item, cosine = (np.concatenate(c) for c in zip(*found, strict=True))
                 yield pd.DataFrame(
                     {
-                        "id": frame["id"].iloc[row[some[i]]].to_numpy(),
-                        "start": stretch[some[i]].astype(np.int64) * STRIDE,
-                        "item": j,
-                        "cosine": cosine[i, j].astype(np.float64),
+                        "id": frame["id"].iloc[row].to_numpy(),
+                        "start": stretch.astype(np.int64) * STRIDE,
+                        "item": item,
+                        "cosine": cosine,
                     }
                 )
 
     return positions.mapInPandas(run, f"id {id_type}, start long, item long, cosine double")
 
 
-def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, a row of bits at a time."""
+def word_masks(words: np.ndarray) -> dict[int, int]:
+    """For each word, the bits of the places where it stands."""
     masks: dict[int, int] = {}
-    for i, word in enumerate(a.tolist()):
+    for i, word in enumerate(words.tolist()):
         masks[word] = masks.get(word, 0) | (1 << i)
-    full = (1 << len(a)) - 1
+    return masks
+
+
+def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest common subsequence, a row of bits at a time."""
+    return _common(word_masks(a), len(a), b.tolist())
+
+
+def _common(masks: dict[int, int], size: int, words: list[int]) -> int:
+    full = (1 << size) - 1
     row = full
-    for word in b.tolist():
+    for word in words:
         hit = row & masks.get(word, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+        if hit:
+            row = ((row + hit) | (row - hit)) & full
+    return size - row.bit_count()
+
+
+class Item:
+    """An item of the benchmark, ready to be compared with many stretches."""
 
+    def __init__(self, words: np.ndarray):
+        self.size, answer = len(words), words[-ANSWER_WORDS:]
+        self.masks, self.answer, self.answer_size = word_masks(words), word_masks(answer), len(answer)
 
-def held(item: np.ndarray, near: np.ndarray) -> tuple[float, float] | None:
-    """The shares of the item's words and of its answer's that ``near`` holds
-    in order, if they make a leak."""
-    common = common_subsequence(item, near) / len(item)
-    answer = item[-ANSWER_WORDS:]
-    kept = common_subsequence(answer, near) / len(answer)
-    leak = common >= MIN_COMMON or (common >= MIN_COMMON_WITH_ANSWER and kept >= MIN_ANSWER)
-    return (common, kept) if leak else None
+    def held(self, near: np.ndarray) -> tuple[float, float] | None:
+        """The shares of the item's words and of its answer's that ``near`` holds
+        in order, if they make a leak."""
+        words = [w for w in near.tolist() if w in self.masks]
+        if len(words) / self.size < MIN_COMMON_WITH_ANSWER:
+            return None
+        common = _common(self.masks, self.size, words) / self.size
+        if common < MIN_COMMON_WITH_ANSWER:
+            return None
+        kept = _common(self.answer, self.answer_size, words) / self.answer_size
+        return (common, kept) if common >= MIN_COMMON or kept >= MIN_ANSWER else None
 
 
 def verified(docs: DataFrame, found: DataFrame, bench: Benchmark, id_col: str, text_col: str) -> DataFrame:
@@ -321,9 +372,10 @@ def verified(docs: DataFrame, found: DataFrame, bench: Benchmark, id_col: str, t
     joined = rows.join(
         broadcast_rows(listed, number, MAX_BROADCAST_IDS // 10), rows["doc"].eqNullSafe(listed["id"])
     ).select("id", "text", "found")
-    items, ids = bench.items, bench.item_ids
+    words_of, ids = bench.items, bench.item_ids
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items = [Item(w) for w in words_of]
         for frame in slices(frames, "text", SLICE_CHARS):
             words = find_words(frame["text"].tolist(), NOT_ALPHANUMERIC)
             ends = np.cumsum(words.counts(len(frame)))
@@ -331,8 +383,8 @@ def verified(docs: DataFrame, found: DataFrame, bench: Benchmark, id_col: str, t
             for k, (doc, own) in enumerate(zip(frame["id"], np.split(words.hash, ends[:-1]), strict=True)):
                 for c in frame["found"].iloc[k]:
                     item = items[c["item"]]
-                    near = own[max(0, c["start"] - len(item)) : c["start"] + WINDOW + len(item)]
-                    if shares := held(item, near):
+                    near = own[max(0, c["start"] - item.size) : c["start"] + WINDOW + item.size]
+                    if shares := item.held(near):
                         row = (shares[0], c["cosine"], -c["start"], shares[1])
                         key = (k, c["item"])
                         if key not in best or row > best[key][1]:
@@ -370,7 +422,7 @@ def word_by_word(docs: DataFrame, bench: Benchmark, id_col: str, text_col: str)
         needs.append((word.tolist(), np.bincount(at).tolist(), answer.tolist()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers = WordNumbers(vocabulary)
+        numbers, ready = WordNumbers(vocabulary), [Item(w) for w in items]
         for frame in slices(frames, text_col, SLICE_CHARS):
             words = find_words(frame[text_col].tolist(), NOT_ALPHANUMERIC)
             counts = words.counts(len(frame))
@@ -404,7 +456,7 @@ def word_by_word(docs: DataFrame, bench: Benchmark, id_col: str, text_col: str)
                     k = int(text[c])
                     own = words.hash[first[k] : first[k] + counts[k]]
                     start = (c - int(low[c])) * STRIDE
-                    if shares := held(item, own[max(0, start - size) : start + WINDOW + size]):
+                    if shares := ready[i].held(own[max(0, start - size) : start + WINDOW + size]):
                         row = (shares[0], _count_cosine(item, own[start : start + WINDOW]), -start, shares[1])
                         if (k, i) not in best or row > best[k, i]:
                             best[k, i] = row
