@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,6 +16,8 @@ from labelloom.storage import write_table
 # Words (letters, marks, digits, underscore) or single punctuation and symbols.
 TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[\p{P}\p{S}]"
 
+TOKENS_PER_PART = 4_000_000  # of a task that pads
+
 Tokenizer = Callable[[list[str]], list[list[int]]]
 
 
@@ -59,37 +61,50 @@ def tokenize(
     )
 
 
-def batch_numbers(df: DataFrame, batch_size: int, id_col: str = "row_id") -> DataFrame:
-    """``df`` with ``batch_id``: consecutive rows in id order, ``batch_size`` a batch.
+def row_positions(df: DataFrame, group_col: str, id_col: str = "row_id") -> DataFrame:
+    """``(group, id, position)``: the place from 0 of each row within its group,
+    in id order.
 
-    Meant for narrow rows. They are range-partitioned and sorted by id, which
-    balances partitions for any distribution of ids, and materialised, so that
-    places within partitions are fixed. A row's global position is then its
-    place plus the number of rows in earlier partitions.
+    Meant for narrow rows. They are range-partitioned and sorted, which balances
+    partitions for any distribution of ids, and materialised, so that places
+    within partitions are fixed. A position is the place plus the number of the
+    group's rows in earlier partitions.
     """
     ordered = write_table(
-        df.repartitionByRange(id_col)
-        .sortWithinPartitions(id_col)
+        df.select(group_col, id_col)
+        .repartitionByRange(group_col, id_col)
+        .sortWithinPartitions(group_col, id_col)
         .withColumn("place", F.monotonically_increasing_id()),
         "ordered",
     )
     # The id function numbers the rows of partition p from p * 2^33.
-    part = F.shiftright("place", 33)
-    counts = ordered.groupBy(part.alias("part")).count()
-    before = F.coalesce(
-        F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    # One row per partition.
-    offsets = counts.select("part", before.alias("before"))
-    position = F.col("before") + F.col("place") - F.shiftleft("part", 33)
-    return (
-        ordered.withColumn("part", part)
-        .join(broadcast_if_small(offsets), "part")
-        .withColumn("position", position)
-        .withColumn("batch_id", F.expr(f"position div {int(batch_size)}L"))
-        .drop("part", "place", "before", "position")
-    )
+    part = F.shiftright("place", 33).alias("part")
+    runs = ordered.groupBy(group_col, part).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    earlier = Window.partitionBy(group_col).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition and group.
+    shift = (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift")
+    runs = broadcast_if_small(runs.select(F.col(group_col).alias("run_group"), "part", shift))
+    same = F.col(group_col).eqNullSafe(F.col("run_group")) & (F.shiftright("place", 33) == F.col("part"))
+    placed = ordered.join(runs, same)
+    return placed.select(group_col, id_col, (F.col("place") + F.col("shift")).alias("position"))
+
+
+def range_number(value: Column, starts: Sequence[int], step: int = 64) -> Column:
+    """How many of the sorted ``starts`` are not above ``value``, found in two
+    steps among literals."""
+    if not starts:
+        return F.lit(0)
+    blocks = [list(starts[i : i + step]) for i in range(0, len(starts), step)]
+
+    def literal(values: Sequence[int]) -> str:
+        return "array(" + ",".join(f"{v}L" for v in values) + ")"
+
+    def reached(values: Column) -> Column:
+        return F.size(F.filter(values, lambda s: s <= value))
+
+    block = F.greatest(reached(F.expr(literal([b[0] for b in blocks]))) - 1, F.lit(0))
+    own = F.get(F.expr("array(" + ",".join(map(literal, blocks)) + ")"), block)
+    return block * step + reached(own)
 
 
 def pad_batches(
@@ -99,29 +114,51 @@ def pad_batches(
     side: str = "right",
     id_col: str = "row_id",
     tokens_col: str = "input_ids",
+    group_col: str | None = None,
+    tokens_per_part: int = TOKENS_PER_PART,
 ) -> DataFrame:
     """Pad the tokens of each batch to its longest member and mask the padding.
 
-    Adds ``batch_id``. The token lists are materialised once, as cutting them
-    costs more than reading them back, so ``df`` should hold no other wide
-    column. Batches and their lengths are worked out on ids and token counts;
-    the lists are shuffled once, by their unique id.
+    Adds ``batch_id``; batches are consecutive rows in the order of the unique
+    whole ``id_col``, in each group of ``group_col`` by themselves, whose names
+    are few. A null list counts as an empty one.
+
+    The token lists are materialised once, as cutting them costs more than
+    reading them back, so ``df`` should hold no other wide column. Stretches of
+    whole batches are laid out on the ids alone; their first ids are known to
+    every task, so the lists go to their stretch in one shuffle, where places
+    and lengths follow from the sort, without a join.
     """
-    stored = write_table(
-        df.drop("attention_mask").withColumn("size", F.size(tokens_col)), "tokens"
-    )
-    longest = F.max("size").over(Window.partitionBy("batch_id"))
-    batches = batch_numbers(stored.select(id_col, "size"), batch_size, id_col).select(
-        id_col, "batch_id", longest.alias("batch_length")
-    )
+    group = group_col or "pad_group"
+    rows = df if group_col else df.withColumn(group, F.lit(0))
+    empty = F.array().cast(df.schema[tokens_col].dataType)
+    tokens = rows.drop("attention_mask").withColumn(tokens_col, F.coalesce(tokens_col, empty))
+    stored = write_table(tokens.withColumn("size", F.size(tokens_col)), "tokens")
+    # A row a group.
+    totals = stored.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t")).orderBy(group).collect()
+    per_token = max(1.0, sum(r["t"] for r in totals) / max(1, sum(r["n"] for r in totals)))
+    stretch = max(1, int(tokens_per_part / per_token / batch_size)) * batch_size
+    starts = (
+        row_positions(stored, group, id_col).where(F.col("position") % stretch == 0).orderBy(group, id_col).collect()
+    )  # a row a stretch
+    number, first, parts = F.lit(0), F.lit(0), 0
+    for r in totals:
+        own = [s[id_col] for s in starts if s[group] == r[group]]
+        here = F.col(group).eqNullSafe(F.lit(r[group]))
+        number = F.when(here, F.lit(parts) + range_number(F.col(id_col), own[1:])).otherwise(number)
+        first = F.when(here, F.lit(parts)).otherwise(first)
+        parts += len(own)
+
+    laid = stored.withColumn("stretch", number).withColumn("first", first).repartition(max(1, parts), "stretch")
+    in_stretch = Window.partitionBy("stretch")
+    position = (F.col("stretch") - F.col("first")).cast("long") * stretch + F.row_number().over(in_stretch.orderBy(id_col)) - 1
+    placed = laid.withColumn("batch_id", F.floor(position / batch_size).cast("long"))
+    length = F.max("size").over(Window.partitionBy("stretch", "batch_id"))
     ones = F.array_repeat(F.lit(1), F.col("size"))
-    return (
-        stored.join(batches, id_col)
-        .withColumns(
-            {
-                "attention_mask": pad(ones, F.col("batch_length"), F.lit(0), side),
-                tokens_col: pad(tokens_col, F.col("batch_length"), F.lit(pad_value), side),
-            }
-        )
-        .drop("batch_length", "size")
+    padded = placed.withColumn("batch_length", length).withColumns(
+        {
+            "attention_mask": pad(ones, F.col("batch_length"), F.lit(0), side),
+            tokens_col: pad(tokens_col, F.col("batch_length"), F.lit(pad_value), side),
+        }
     )
+    return padded.drop("batch_length", "size", "stretch", "first", *([] if group_col else [group]))

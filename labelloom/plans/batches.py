@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +21,6 @@ def evaluation_batches(
     are left behind. ``max_length`` may be given in place of the configured
     one; None keeps all tokens."""
     max_length = override.get("max_length", config.max_length)
-    padded = []
-    for name in config.eval_splits:
-        tokens = tokenize(
-            splits.where(F.col("split") == name), max_length, tokenizer=tokenizer
-        )
-        inputs = tokens.select("row_id", "split", "input_ids", "labels")
-        padded.append(pad_batches(inputs, config.eval_batch_size, pad_value, config.padding_side))
-    return reduce(DataFrame.unionByName, padded)
+    wanted = splits.where(F.col("split").isin(list(config.eval_splits)))
+    tokens = tokenize(wanted, max_length, tokenizer=tokenizer).select("row_id", "split", "input_ids", "labels")
+    return pad_batches(tokens, config.eval_batch_size, pad_value, config.padding_side, group_col="split")

@@ -56,6 +56,35 @@ def test_padding_matches_brute_force(spark, side, ids):
         assert row["attention_mask"] == ([1] * n + mask if side == "right" else mask + [1] * n)
 
 
+@pytest.mark.parametrize("per_part", [1, 40, 10**6])
+def test_stretches_and_groups(spark, per_part):
+    """Batches do not depend on how many stretches there are; groups, one of
+    them null, are batched apart, and no list goes through a join."""
+    rng = random.Random(7)
+    rows = [(rng.randrange(-(2**40), 2**62), [1] * rng.randrange(6) if rng.random() < 0.9 else None, rng.choice(["a", "b", None])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "row_id long, input_ids array<int>, split string").repartition(5)
+    padded = tokens.pad_batches(df, 3, 0, group_col="split", tokens_per_part=per_part)
+    assert "Join" not in padded._jdf.queryExecution().executedPlan().toString()
+    got = {(r["split"], r["row_id"]): r for r in padded.collect()}
+    assert len(got) == 400
+    for name in ("a", "b", None):
+        own = sorted((r for r in rows if r[2] == name), key=lambda r: r[0])
+        for k, (i, ids, _) in enumerate(own):
+            length = max(len(r[1] or []) for r in own[k // 3 * 3 : k // 3 * 3 + 3])
+            row, n = got[name, i], len(ids or [])
+            assert row["batch_id"] == k // 3
+            assert row["input_ids"] == [1] * n + [0] * (length - n)
+            assert row["attention_mask"] == [1] * n + [0] * (length - n)
+
+
+def test_range_number(spark):
+    starts = sorted(random.Random(1).sample(range(10_000), 300))
+    df = spark.range(0, 10_000, 7)
+    for some in (starts, starts[:1], starts[:64], starts[:65], []):
+        got = df.select("id", tokens.range_number(F.col("id"), some).alias("n")).collect()
+        assert all(r["n"] == sum(s <= r["id"] for s in some) for r in got)
+
+
 def test_padding_of_an_empty_table(spark):
     df = tokens.tokenize(frame(spark, []), max_length=8)
     assert tokens.pad_batches(df, 4, "_").count() == 0
