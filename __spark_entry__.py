@@ -50,7 +50,7 @@ from labelloom.plans.views import (  # noqa: E402
 from labelloom.sources import readers, writers  # noqa: E402
 from labelloom.storage import scratch_path, write_table  # noqa: E402
 from labelloom.streaming.drift import drift_per_batch  # noqa: E402
-from labelloom.streaming.landing import land_new_files, stream_files  # noqa: E402
+from labelloom.streaming.landing import land_checked, land_new_files, stream_files  # noqa: E402
 from labelloom.streaming.windows import land_closed_windows, windowed_stats  # noqa: E402
 
 try:  # the one optional part of the library
@@ -64,6 +64,8 @@ VAL_SIZE, SEED = 0.1, 42
 PARTIAL_VOCABULARY = ("en", "fr", "it")  # lacks de and es, has an unused name
 FIRST_N = 250
 MAX_TOKENS = 64
+LARGE_VALUE = 20
+REWRITTEN = "fr"
 BATCH = 8
 
 
@@ -504,6 +506,17 @@ def q_stream_landing(spark, sf):
     return landed.select("row_id", "text", "category", "label")
 
 
+def q_stream_quarantine(spark, sf):
+    """Every row of the stream: landed, or set apart with a reason."""
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    files = stream_files(spark, sf, schema, pattern="documents.parquet")
+    rows = files.select(F.col("doc_id").alias("row_id"), "text", F.col("lang").alias("category"))
+    base = scratch_path(spark, "quarantine")
+    done = land_checked(rows, label_dim(spark, PARTIAL_VOCABULARY), f"{base}/table", f"{base}/checkpoint")
+    landed = done.landed.withColumn("reason", F.lit(None).cast("string"))
+    return landed.unionByName(done.rejected).select("row_id", "text", "category", "label", "reason")
+
+
 # --- examples for training ------------------------------------------------------------
 
 
@@ -594,6 +607,15 @@ def q_response_stats(spark, sf):
     return round6(stats, *[c for c in stats.columns if c not in ("role", "n")])
 
 
+def q_response_drift(spark, sf):
+    """Profiles of two halves of the conversations, the first saved and read back."""
+    turns, path = table_of(spark, sf, "conversations"), scratch_path(spark, "profile")
+    monitoring.response_profile(turns.where("conv_id % 2 = 0"), "role").write.parquet(path)
+    live = monitoring.response_profile(turns.where("conv_id % 2 = 1"), "role")
+    found = monitoring.response_drift(spark.read.parquet(path), live)
+    return round6(found, "mean", "p50", "p95", "baseline_mean", "baseline_sd", "z")
+
+
 def q_rolling_response_stats(spark, sf):
     daily = monitoring.daily_stats(table_of(spark, sf, "events"), "event_type")
     rolling = monitoring.rolling_stats(daily, "event_type").withColumn("day", F.col("day").cast("string"))
@@ -606,25 +628,47 @@ def q_flag_rate(spark, sf):
     return round6(rates, "rate").withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm"))
 
 
+def q_flag_rate_by_rule(spark, sf):
+    flags = F.array_compact(
+        F.array(
+            F.when(F.col("event_type") == "error", F.lit("error")),
+            F.when(F.col("value") > LARGE_VALUE, F.lit("large")),
+            F.when(F.col("props").rlike(r"\b9[0-9]\b"), F.lit("ninety")),
+        )
+    )
+    rates = monitoring.flag_rate_by_rule(table_of(spark, sf, "events"), flags)
+    return round6(rates, "rate").withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm"))
+
+
+def q_top_user_questions(spark, sf):
+    return monitoring.top_questions(monitoring.user_questions(table_of(spark, sf, "conversations")), "domain")
+
+
 def q_top_questions(spark, sf):
     return monitoring.top_questions(table_of(spark, sf, "conversations"), "role")
 
 
 def evaluation_log(spark, sf):
-    """Question, response, model version and phase of every judged row."""
-    return predictions(spark, sf).select(
+    """Question, response, time, model version and phase of every judged row:
+    the document's first line plays the question, the event's time the time."""
+    asked = table_of(spark, sf, "documents").select(
+        F.col("doc_id").alias("question_id"), F.substring_index("text", "\n", 1).alias("question")
+    )
+    times = table_of(spark, sf, "events").select(F.col("event_id").alias("question_id"), F.col("ts").alias("asked_at"))
+    answers = predictions(spark, sf).select(
         F.col("row_id").alias("question_id"),
         "phase",
         argmax("logits").cast("string").alias("response"),
         F.lit("v1").alias("model_version"),
     )
+    return answers.join(asked, "question_id", "left").join(times, "question_id", "left")
 
 
 def q_eval_log_roundtrip(spark, sf):
     """The log as JSON lines, a folder a phase, read back by its schema."""
     path = scratch_path(spark, "evaluation_log")
     writers.write_eval_log(evaluation_log(spark, sf), path)
-    return readers.read_eval_log(spark, path)
+    return readers.read_eval_log(spark, path).withColumn("asked_at", F.date_format("asked_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 def q_compare_answers(spark, sf):
@@ -632,9 +676,13 @@ def q_compare_answers(spark, sf):
 
 
 def q_domain_layout_roundtrip(spark, sf):
-    """Stage and domain folders; one domain is read back by its own."""
+    """Stage and domain folders; one domain is rewritten, and the others stay."""
     base = scratch_path(spark, "store")
-    writers.write_stage(by_lang(spark, sf), base, "processed", "category")
+    rows = by_lang(spark, sf)
+    writers.write_stage(rows, base, "processed", "category")
+    again = readers.read_stage(spark, base, "processed", "category", domain=REWRITTEN)
+    marked = write_table(again.withColumn("text", F.concat(F.lit("v2 "), "text")), "rewritten")
+    writers.write_stage(marked, base, "processed", "category")
     back = readers.read_stage(spark, base, "processed", "category")
     return back.select("row_id", "category", "text")
 
@@ -1035,6 +1083,43 @@ def _preparation_sql() -> dict[str, str]:
         "flag_rate": """SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M') AS period, count(*) AS n,
             count(*) FILTER (event_type = 'error') AS n_flagged,
             round(count(*) FILTER (event_type = 'error') / count(*)::DOUBLE, 6) AS rate FROM events GROUP BY 1""",
+        "flag_rate_by_rule": f"""WITH e AS (
+              SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M') AS period,
+                event_type = 'error' AS error, value > {LARGE_VALUE} AS large, regexp_matches(props, '\\b9[0-9]\\b') AS ninety FROM events),
+            totals AS (SELECT period, count(*) AS n FROM e GROUP BY period),
+            r AS (SELECT period, 'error' AS rule FROM e WHERE error UNION ALL SELECT period, 'large' FROM e WHERE large
+                  UNION ALL SELECT period, 'ninety' FROM e WHERE ninety),
+            k AS (SELECT period, rule, count(*) AS n_flagged FROM r GROUP BY ALL)
+            SELECT period, rule, n, n_flagged, round(n_flagged / n::DOUBLE, 6) AS rate FROM k JOIN totals USING (period)""",
+        "top_user_questions": f"""WITH guided AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'system'),
+            c AS (SELECT CASE WHEN g.conv_id IS NULL THEN 'open' ELSE 'guided' END AS domain,
+                lower(regexp_replace(regexp_replace(text, '^{_SPACE}', ''), '{_SPACE}$', '')) AS key
+                FROM conversations c LEFT JOIN guided g USING (conv_id) WHERE role = 'user'),
+            n AS (SELECT domain, key, count(*) AS n FROM c GROUP BY domain, key)
+            SELECT domain, key, n, rank::INTEGER AS rank FROM (
+              SELECT *, row_number() OVER (PARTITION BY domain ORDER BY n DESC, key) AS rank FROM n) WHERE rank <= 5""",
+        "response_drift": f"""WITH c AS (SELECT conv_id % 2 AS side, role, text,
+                lower(regexp_replace(regexp_replace(text, '^{_SPACE}', ''), '{_SPACE}$', '')) AS key,
+                trim(regexp_replace(text, '{_SPACE}', ' ', 'g')) AS clean FROM conversations),
+            w AS (SELECT side, role, length(text)::DOUBLE AS chars,
+                CASE WHEN clean = '' THEN 0 ELSE len(string_split(clean, ' ')) END::DOUBLE AS words,
+                len(string_split(text, chr(10)))::DOUBLE AS lines, len(regexp_extract_all(text, '[.!?]'))::DOUBLE AS sentences,
+                list_filter(string_split_regex(key, '\\s+'), lambda x: x <> '') AS ws FROM c),
+            m AS (SELECT side, role, chars, words, lines, sentences,
+                len(list_distinct(ws))::DOUBLE / greatest(len(ws), 1) AS distinct_ratio FROM w),
+            u AS (UNPIVOT m ON chars, words, lines, sentences, distinct_ratio INTO NAME statistic VALUE x),
+            s AS (SELECT side, role, statistic, count(*) AS n, avg(x) AS mean, stddev_samp(x) AS sd,
+                CASE WHEN statistic = 'words' THEN quantile_cont(x, 0.5) END AS p50,
+                CASE WHEN statistic = 'words' THEN quantile_cont(x, 0.95) END AS p95 FROM u GROUP BY side, role, statistic)
+            SELECT a.role, a.statistic, a.n, round(a.mean, 6) AS mean, round(a.p50, 6) AS p50, round(a.p95, 6) AS p95,
+                round(b.mean, 6) AS baseline_mean, round(b.sd, 6) AS baseline_sd,
+                round((a.mean - b.mean) / b.sd * sqrt(a.n), 6) AS z
+            FROM s a LEFT JOIN s b ON b.side = 0 AND b.role = a.role AND b.statistic = a.statistic WHERE a.side = 1""",
+        "stream_quarantine": f"""SELECT doc_id AS row_id, CASE WHEN lang IN {PARTIAL_VOCABULARY} AND text IS NOT NULL
+                THEN trim(regexp_replace(text, '{_SPACE}', ' ', 'g')) ELSE text END AS text, lang AS category,
+            list_position({list(PARTIAL_VOCABULARY)}, lang) - 1::BIGINT AS label,
+            nullif(concat_ws(', ', CASE WHEN text IS NULL THEN 'null text' END,
+                CASE WHEN lang IS NULL OR lang NOT IN {PARTIAL_VOCABULARY} THEN 'unknown category' END), '') AS reason FROM documents""",
         "top_questions": f"""WITH c AS (SELECT role,
                 lower(regexp_replace(regexp_replace(text, '^{_SPACE}', ''), '{_SPACE}$', '')) AS key FROM conversations),
             n AS (SELECT role, key, count(*) AS n FROM c GROUP BY role, key)
@@ -1045,11 +1130,14 @@ def _preparation_sql() -> dict[str, str]:
               FROM events GROUP BY 1)
             SELECT strftime(start, '%Y-%m-%d %H:%M') AS period, n, n_flagged, mean_value FROM w
             WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
-        "eval_log_roundtrip": f"WITH {_LOG} SELECT * FROM log",
+        "eval_log_roundtrip": f"""WITH {_LOG} SELECT log.*, string_split(text, chr(10))[1] AS question,
+            strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS asked_at
+            FROM log LEFT JOIN documents ON doc_id = question_id LEFT JOIN events ON event_id = question_id""",
         "compare_answers": f"""WITH {_LOG} SELECT b.question_id, b.response AS before, a.response AS after,
             b.response <> a.response AS changed FROM log b JOIN log a USING (question_id)
             WHERE b.phase = 'baseline' AND a.phase = 'after_lora'""",
-        "domain_layout_roundtrip": "SELECT doc_id AS row_id, lang AS category, text FROM documents",
+        "domain_layout_roundtrip": f"""SELECT doc_id AS row_id, lang AS category,
+            CASE WHEN lang = '{REWRITTEN}' THEN 'v2 ' || text ELSE text END AS text FROM documents""",
         "captured_traffic": """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id, event_type, value,
             (props::JSON->>'$.k')::BIGINT AS k FROM events""",
         "embedding_centroid_drift": """WITH x AS (SELECT vec_id % 2 AS side, label, generate_subscripts(embedding, 1) AS pos,

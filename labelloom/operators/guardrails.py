@@ -25,6 +25,7 @@ FORMAT_RULES = (
     ("hex_key", r"\b[0-9a-f]{32,}\b"),
 )
 BLOCKLIST = ("idiot", "clown", "worthless", "you are an idiot")
+_HAS_PII = "__answer_has_pii"
 NO_LETTER = r"[^\p{L}\p{N}]+"
 
 
@@ -36,6 +37,16 @@ def redact(text: Column | str, rules: Sequence[tuple[str, str]] = PII_RULES) ->
     return out
 
 
+def has_pii(text: Column | str, rules: Sequence[tuple[str, str]] = PII_RULES) -> Column:
+    """Whether ``redact`` changes the text: it does exactly if some rule matches
+    the text as it is, since the first rule to match finds it unchanged."""
+    text = F.col(text) if isinstance(text, str) else text
+    found = F.lit(False)
+    for _, pattern in rules:
+        found = found | text.rlike(pattern)
+    return found
+
+
 def pii_counts(df: DataFrame, text_col: str = "text", rules: Sequence[tuple[str, str]] = PII_RULES) -> DataFrame:
     """``df`` with ``n_<kind>``, each counted in what the rules before it left,
     and ``redacted``. A null text has no matches and stays null."""
@@ -64,16 +75,15 @@ def with_disclaimer(
     df: DataFrame, disclaimers: Mapping[str, str], domain_col: str = "domain", text_col: str = "text"
 ) -> DataFrame:
     """``text`` with its domain's disclaimer put at the end, unless it is there
-    already. The table of domains is a few rows of configuration; domains that
-    it lacks need none."""
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(disclaimers.items()), "domain_name string, disclaimer string")
+    already. ``disclaimers`` is a few entries of configuration, written into the
+    plan; domains that it lacks need none. No column is added, so ``df`` may have
+    any names. A null text stays null."""
     text = F.col(text_col)
-    added = F.when(
-        F.col("disclaimer").isNull() | text.contains(F.col("disclaimer")), text
-    ).otherwise(F.concat(text, F.lit("\n"), F.col("disclaimer")))
-    joined = df.join(F.broadcast(table), F.col(domain_col) == F.col("domain_name"), "left")
-    return joined.withColumn(text_col, added).select(df.columns)
+    out = text
+    for domain, disclaimer in disclaimers.items():
+        needed = (F.col(domain_col) == domain) & ~text.contains(disclaimer)
+        out = F.when(needed, F.concat(text, F.lit("\n"), F.lit(disclaimer))).otherwise(out)
+    return df.withColumn(text_col, out)
 
 
 def guardrail_chain(
@@ -86,10 +96,11 @@ def guardrail_chain(
     """Input screen, output format and disclaimer, output screen, in this order.
 
     Adds ``flags``, such as ``input:blocklist`` or ``output:pii``. A blocked
-    question gets no answer; answers are redacted.
+    question gets no answer; answers are redacted. Every rule looks at a text
+    once, and only texts with a match are rewritten.
     """
     blocked = F.size(blocklist_hits(question_col)) > 0
-    asked_pii = redact(question_col) != F.col(question_col)
+    asked_pii = has_pii(question_col)
     screened = df.withColumns(
         {
             "flags": F.array_compact(
@@ -99,11 +110,13 @@ def guardrail_chain(
         }
     )
     formatted = with_disclaimer(screened, disclaimers, domain_col, answer_col)
+    formatted = formatted.withColumn(_HAS_PII, has_pii(answer_col))
     found = F.array_compact(
         F.array(
-            F.when(redact(answer_col) != F.col(answer_col), F.lit("output:pii")),
+            F.when(F.col(_HAS_PII), F.lit("output:pii")),
             F.when(F.size(blocklist_hits(answer_col)) > 0, F.lit("output:blocklist")),
             F.when(F.size(rule_hits(answer_col)) > 0, F.lit("output:format")),
         )
     )
-    return formatted.withColumn("flags", F.concat("flags", found)).withColumn(answer_col, redact(answer_col))
+    clean = F.when(F.col(_HAS_PII), redact(answer_col)).otherwise(F.col(answer_col))
+    return formatted.withColumns({"flags": F.concat("flags", found), answer_col: clean}).drop(_HAS_PII)

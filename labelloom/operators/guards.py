@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import compare_key
-from labelloom.storage import scratch_path
+from labelloom.storage import lasting_path
 
 SHOWN_IN_ERRORS = 200
 
@@ -40,7 +40,7 @@ def _offenders(bad: DataFrame) -> tuple[list[Row], str]:
     rows = bad.take(SHOWN_IN_ERRORS + 1)
     if len(rows) <= SHOWN_IN_ERRORS:
         return rows, ""
-    path = scratch_path(bad.sparkSession, "offenders")
+    path = lasting_path(bad.sparkSession, "offenders")  # read after the job has failed
     bad.write.parquet(path)
     total = bad.sparkSession.read.parquet(path).count()
     return rows[:SHOWN_IN_ERRORS], f" and others, {total} in all; the whole list: {path}"

@@ -40,6 +40,68 @@ def response_stats(df: DataFrame, group_col: str, text_col: str = "text") -> Dat
     )
 
 
+STATISTICS = ("chars", "words", "lines", "sentences", "distinct_ratio")
+
+
+def response_profile(df: DataFrame, group_col: str, text_col: str = "text") -> DataFrame:
+    """``(group, length, n, s_<statistic>, q_<statistic>)``: rows, sums and sums of
+    squares by group and number of words. Profiles of disjoint sets of answers
+    add up (``merge_profiles``), so one can be saved as a baseline and another
+    kept up from day to day. Null texts count as empty ones."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = F.filter(F.split(compare_key(text), r"\s+"), lambda w: w != "")
+    measured = df.select(
+        group_col,
+        F.length(text).cast("double").alias("chars"),
+        word_count(text).cast("double").alias("words"),
+        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("double").alias("lines"),
+        F.regexp_count(text, F.lit("[.!?]")).cast("double").alias("sentences"),
+        words.alias("ws"),
+    ).withColumn("distinct_ratio", F.size(F.array_distinct("ws")) / F.greatest(F.size("ws"), F.lit(1)))
+    sums = [f(c) for c in STATISTICS for f in (lambda c: F.sum(c).alias(f"s_{c}"), lambda c: F.sum(F.col(c) ** 2).alias(f"q_{c}"))]
+    return measured.groupBy(group_col, F.col("words").cast("long").alias("length")).agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
+def merge_profiles(one: DataFrame, two: DataFrame) -> DataFrame:
+    """The profile of both sets of answers together."""
+    group_col = one.columns[0]
+    return one.unionByName(two).groupBy(group_col, "length").agg(*[F.sum(c).alias(c) for c in one.columns[2:]])
+
+
+def profile_summary(profile: DataFrame) -> DataFrame:
+    """``(group, statistic, n, mean, sd, p50, p95)``, a row per statistic; the
+    percentiles are those of the number of words, exact, and null for others."""
+    group_col = profile.columns[0]
+    totals = profile.groupBy(group_col).agg(
+        F.sum("n").alias("n"),
+        *[F.sum(f"{k}_{c}").alias(f"{k}_{c}") for c in STATISTICS for k in "sq"],
+        *[F.percentile("length", p, F.col("n")).alias(name) for name, p in (("p50", 0.5), ("p95", 0.95))],
+    )
+    n = F.col("n")
+
+    def row(c: str) -> Column:
+        s, q = F.col(f"s_{c}"), F.col(f"q_{c}")
+        # Below zero only by rounding.
+        variance = F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1)
+        ranks = [(F.col(p) if c == "words" else F.lit(None).cast("double")).alias(p) for p in ("p50", "p95")]
+        return F.struct(F.lit(c).alias("statistic"), n.alias("n"), (s / n).alias("mean"), F.when(n > 1, F.sqrt(variance)).alias("sd"), *ranks)
+
+    return totals.select(group_col, F.inline(F.array(*[row(c) for c in STATISTICS])))
+
+
+def response_drift(baseline: DataFrame, live: DataFrame) -> DataFrame:
+    """``(group, statistic, n, mean, p50, p95, baseline_mean, baseline_sd, z)``
+    of two profiles: how many standard errors the live mean is away from the
+    baseline's. Groups that the baseline lacks have no z, nor have those whose
+    baseline does not vary."""
+    group_col = live.columns[0]
+    now = profile_summary(live).drop("sd")
+    then = profile_summary(baseline).select(group_col, "statistic", F.col("mean").alias("baseline_mean"), F.col("sd").alias("baseline_sd"))
+    z = F.when(F.col("baseline_sd") > 0, (F.col("mean") - F.col("baseline_mean")) / F.col("baseline_sd") * F.sqrt("n"))
+    # A few rows per group on either side.
+    return now.join(then, [group_col, "statistic"], "left").withColumn("z", z)
+
+
 def daily_stats(events: DataFrame, group_col: str, ts_col: str = "ts", value_col: str = "value") -> DataFrame:
     """Rows and sum of values per group and day."""
     return events.groupBy(group_col, F.to_date(ts_col).alias("day")).agg(
@@ -68,6 +130,26 @@ def flag_rate(events: DataFrame, flagged: Column, ts_col: str = "ts", period: st
     )
 
 
+def flag_rate_by_rule(events: DataFrame, flags: Column, ts_col: str = "ts", period: str = "6 hours") -> DataFrame:
+    """``(period, rule, n, n_flagged, rate)``: for every rule that flagged any row
+    of a period, the share of the period's rows that it flagged. ``flags`` is an
+    array of rule names; a name given twice for a row counts once."""
+    start = F.window(F.col(ts_col).cast("timestamp_ntz"), period)["start"]
+    # A row per period and combination of flags.
+    counted = events.groupBy(start.alias("period"), F.array_sort(F.array_distinct(flags)).alias("flags")).agg(F.count(F.lit(1)).alias("k"))
+    totals = counted.groupBy("period").agg(F.sum("k").alias("n"))
+    by_rule = counted.select("period", F.explode("flags").alias("rule"), "k").groupBy("period", "rule").agg(F.sum("k").alias("n_flagged"))
+    return by_rule.join(totals, "period").select("period", "rule", "n", "n_flagged", (F.col("n_flagged") / F.col("n")).alias("rate"))
+
+
+def user_questions(turns: DataFrame) -> DataFrame:
+    """The user's turns with the ``domain`` of their conversation: its system
+    text decides whether it is ``guided`` or ``open``."""
+    guided = turns.where("role = 'system'").select("conv_id").distinct().withColumn("domain", F.lit("guided"))
+    asked = turns.where("role = 'user'").join(guided, "conv_id", "left")
+    return asked.withColumn("domain", F.coalesce("domain", F.lit("open")))
+
+
 def top_questions(df: DataFrame, group_col: str, k: int = 5, text_col: str = "text") -> DataFrame:
     """The ``k`` most frequent texts of each group, by their comparison key;
     ties go to the smaller key. Counts combine before the shuffle, and ranks

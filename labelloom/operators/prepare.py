@@ -6,12 +6,14 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labelloom.functions.text import compare_key
-from labelloom.operators.sizing import broadcast_rows
 from labelloom.operators.splitting import assign_split, validation_cutoffs
 from labelloom.operators.tokens import TOKEN_PATTERN
 
+SAMPLE_DIGITS = 4
+
 
 def token_length_filter(df: DataFrame, low: int, high: int, text_col: str = "text") -> DataFrame:
     """Rows of ``low`` to ``high`` tokens, with ``n_tokens``. A null text has none."""
@@ -20,11 +22,27 @@ def token_length_filter(df: DataFrame, low: int, high: int, text_col: str = "tex
 
 
 def sample_exact(df: DataFrame, n: int, seed: int = 42, id_col: str = "row_id") -> DataFrame:
-    """Exactly ``n`` rows (all, if fewer), chosen by the md5 of seed and id. The
-    choice is made on ids; no text is sorted."""
+    """Exactly ``n`` rows (all, if fewer) of unique ids, the first by the md5 of
+    seed and id.
+
+    Rows are counted by the hash's first four digits, and only the bucket in
+    which the n-th row lies is ranked. That row is one cutoff, and the sample a
+    comparison with it: no row is moved, whatever ``n`` is.
+    """
+    if n < 1:
+        return df.limit(0)
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
-    chosen = df.select(id_col, key.alias("key")).orderBy("key", id_col).limit(n).select(id_col)
-    return df.join(broadcast_rows(chosen, n), id_col, "left_semi")
+    hashed = df.select(F.col(id_col).alias("id"), key.alias("h")).withColumn("bucket", F.substring("h", 1, SAMPLE_DIGITS))
+    # At most 16**4 rows reach this window.
+    upto = F.sum("count").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    counts = hashed.groupBy("bucket").count().withColumn("upto", upto)
+    edge = counts.where((F.col("upto") >= n) & (F.col("upto") - F.col("count") < n)).first()
+    if edge is None:
+        return df
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "id"))
+    need = n - (edge["upto"] - edge["count"])
+    last = hashed.where(F.col("bucket") == edge["bucket"]).withColumn("place", place).where(F.col("place") == need).first()
+    return df.where((key < last["h"]) | ((key == last["h"]) & (F.col(id_col) <= F.lit(last["id"]))))
 
 
 def stratified_sample(

@@ -4,55 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-BUCKETS = 65_536
-
 
 def nth_smallest(df: DataFrame, n: int, id_col: str = "row_id") -> int | None:
-    """The ``n``-th smallest value of a unique non-negative integer column, or
-    None if there are no more than ``n`` rows.
-
-    Each round counts rows per equal-width bucket and zooms into the bucket
-    that holds the n-th one. A round returns one row to the driver and cuts
-    the range by 65,536, so even the whole 64-bit range takes four rounds, and
-    from the second on the range filter prunes the scan.
-    """
+    """The ``n``-th smallest value of a unique column, or None if there are no
+    more than ``n`` rows: the engine's top-k over the ids alone."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    ids = df.select(F.col(id_col).cast("long").alias("id"))
-    low, high, rows = ids.agg(F.min("id"), F.max("id"), F.count("id")).first()
-    if rows <= n:
-        return None
-    need = n
-    while low < high:
-        width = (high - low) // BUCKETS + 1
-        counts = (
-            ids.where(F.col("id").between(low, high))
-            .select(F.expr(f"(id - {low}L) div {width}L").alias("bucket"))
-            .groupBy("bucket")
-            .count()
-        )
-        # At most 65,536 rows reach this window.
-        running = F.sum("count").over(
-            Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        )
-        bucket, count, upto = (
-            counts.select("bucket", "count", running.alias("upto"))
-            .where(F.col("upto") >= need)
-            .orderBy("bucket")
-            .first()
-        )
-        need -= upto - count
-        low = low + bucket * width
-        high = min(high, low + width - 1)
-    return low
+    ids = df.select(id_col).where(F.col(id_col).isNotNull())
+    last = ids.orderBy(id_col).offset(n - 1).limit(2).collect()
+    return None if len(last) < 2 else last[0][0]
 
 
 def first_rows(df: DataFrame, n: int | None, id_col: str = "row_id") -> DataFrame:
     """The first ``n`` rows in id order; everything if ``n`` is None or not
-    below the row count. The result is a filter on the id: it is pushed into
-    the scan, shuffles nothing and stays distributed for any ``n``."""
+    below the row count. The result is a filter on the id: it is pushed into the
+    scan, and moves no row."""
     if n is None:
         return df
     if n == 0:

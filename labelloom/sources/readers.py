@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from labelloom.functions.labels import DEFAULT_LABELS, label_dim
 from labelloom.operators.guards import require_columns
 from labelloom.operators.ranking import first_rows
+from labelloom.sources.writers import LOG_TIME
 from labelloom.operators.sizing import broadcast_if_small
 from labelloom.schema import LABEL_MAP, SPLITS
 
@@ -167,12 +168,12 @@ def load_processed(
     return stacked, dim, n_labels
 
 
-EVAL_LOG = "question_id long, response string, model_version string, phase string"
+EVAL_LOG = "question_id long, question string, response string, asked_at timestamp_ntz, model_version string, phase string"
 
 
 def read_eval_log(spark: SparkSession, path: str, schema: str = EVAL_LOG) -> DataFrame:
     """An evaluation log of JSON lines; the phase is read from the folder."""
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("timestampNTZFormat", LOG_TIME).json(path)
 
 
 def read_stage(spark: SparkSession, base: str, stage: str, domain_col: str = "domain", domain: str | None = None) -> DataFrame:

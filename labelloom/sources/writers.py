@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 SPLIT_COLUMNS = ("text", "category", "label")
 SPLIT_FOLDER = "splits"
+LOG_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def write_splits(
@@ -131,10 +132,12 @@ def write_comparison(document: DataFrame, path: str) -> None:
 
 
 def write_eval_log(log: DataFrame, path: str, phase_col: str = "phase") -> None:
-    """Append an evaluation log as JSON lines, a folder a phase."""
-    log.write.mode("append").partitionBy(phase_col).json(path)
+    """Append an evaluation log as JSON lines, a folder a phase: question,
+    response, time and model version of every answer."""
+    log.write.mode("append").option("timestampNTZFormat", LOG_TIME).partitionBy(phase_col).json(path)
 
 
 def write_stage(df: DataFrame, base: str, stage: str, domain_col: str = "domain") -> None:
-    """Parquet under ``base/stage``, a folder a domain."""
-    df.write.mode("overwrite").partitionBy(domain_col).parquet(f"{base.rstrip('/')}/{stage}")
+    """Parquet under ``base/stage``, a folder a domain. The domains of ``df``
+    replace what their folders held; the folders of others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(domain_col).parquet(f"{base.rstrip('/')}/{stage}")

@@ -31,6 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return (configured or current).rstrip("/")
 
 
+def lasting_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that ``clear_scratch`` leaves alone."""
+    return f"{shared_dir(spark)}/labelloom-kept-{uuid.uuid4().hex}/{name}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for one intermediate table; never reused between calls."""
     folder = f"{shared_dir(spark)}/labelloom-{uuid.uuid4().hex}"

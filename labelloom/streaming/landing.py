@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,3 +49,78 @@ def land_new_files(stream: DataFrame, dim: DataFrame, out_dir: str, checkpoint_d
     )
     query.awaitTermination()
     return stream.sparkSession.read.schema(ready.schema).parquet(out_dir)
+
+
+@dataclass(frozen=True)
+class Checked:
+    """``landed`` rows, ``rejected`` rows with their ``reason``, and ``counts``,
+    ``(batch_id, n, n_landed, n_unknown, n_null_text)``."""
+
+    landed: DataFrame
+    rejected: DataFrame
+    counts: DataFrame
+
+
+COUNTED = ("batch_id", "n", "n_landed", "n_unknown", "n_null_text")
+COUNTS = ", ".join(f"{c} long" for c in COUNTED)
+
+
+def land_checked(stream: DataFrame, dim: DataFrame, out_dir: str, checkpoint_dir: str) -> Checked:
+    """As ``land_new_files``, with rows that can't be used set apart.
+
+    A row with a null text or a category outside the vocabulary is rejected;
+    its ``reason`` names both, if both hold. No row is lost: every row of a
+    batch is in one of the two folders that the batch writes in one pass, and
+    the counts are observed in that pass. The folders have the batch's id and
+    are overwritten, so a batch that is run again leaves no second copy. A
+    rejected row keeps its text as it came.
+    """
+    spark = stream.sparkSession
+    base = out_dir.rstrip("/")
+    columns = stream.columns
+    reasons = F.array_compact(
+        F.array(
+            F.when(F.col("text").isNull(), F.lit("null text")),
+            F.when(F.col("label").isNull(), F.lit("unknown category")),
+        )
+    )
+
+    def marked(rows: DataFrame) -> DataFrame:
+        known = encode_labels(rows, dim).withColumn("reason", F.nullif(F.array_join(reasons, ", "), F.lit("")))
+        cleaned = F.when(F.col("reason").isNull(), clean_text("text")).otherwise(F.col("text"))
+        side = F.when(F.col("reason").isNull(), F.lit("landed")).otherwise(F.lit("rejected"))
+        return known.withColumns({"text": cleaned, "outcome": side}).select(*columns, "label", "reason", "outcome")
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        observed = marked(batch).observe(
+            seen,
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("reason").isNull()).alias("n_landed"),
+            F.count_if(F.col("label").isNull()).alias("n_unknown"),
+            F.count_if(F.col("text").isNull()).alias("n_null_text"),
+        )
+        observed.write.mode("overwrite").partitionBy("outcome").parquet(f"{base}/rows/batch_id={batch_id}")
+        counts = spark.createDataFrame([(batch_id, *(seen.get[c] for c in COUNTED[1:]))], COUNTS)
+        counts.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(f"{base}/counts/batch_id={batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(judge)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+    # The folders stand before the first batch, so that they can be read.
+    none = spark.createDataFrame([], marked(spark.createDataFrame([], stream.schema)).schema)
+    for name, schema in (("rows", none.drop("outcome").schema), ("counts", spark.createDataFrame([], COUNTS).drop("batch_id").schema)):
+        folder = "batch_id=-1/outcome=none" if name == "rows" else "batch_id=-1"
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{base}/{name}/{folder}")
+    stored = none.withColumn("batch_id", F.lit(0).cast("long")).schema
+    rows = spark.read.schema(stored).option("basePath", f"{base}/rows").parquet(f"{base}/rows")
+    return Checked(
+        rows.where("outcome = 'landed'").select(*columns, "label"),
+        rows.where("outcome = 'rejected'").select(*columns, "label", "reason"),
+        spark.read.schema(COUNTS).option("basePath", f"{base}/counts").parquet(f"{base}/counts").select(*COUNTED),
+    )

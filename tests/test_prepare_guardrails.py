@@ -1,8 +1,12 @@
 """Edge cases of the preparation, guardrail and monitoring operators."""
 
+import hashlib
+import statistics
+
 from pyspark.sql import functions as F
 
 from labelloom.operators import guardrails, monitoring, prepare
+from labelloom.sources import readers, writers
 
 
 def test_templates(spark):
@@ -67,3 +71,77 @@ def test_monitoring(spark):
     rows = vectors.withColumn("vec_id", F.monotonically_increasing_id())
     same = monitoring.stability_index(rows, rows, k=2)
     assert same.agg(F.sum("psi")).first()[0] == 0
+
+
+def test_disclaimers_with_clashing_columns(spark):
+    df = spark.createDataFrame([("en", "x", 1, 2), ("en", None, 1, 2), (None, "y", 1, 2)], "domain string, text string, disclaimer int, domain_name int")
+    out = guardrails.with_disclaimer(df, {"en": "D."})
+    assert out.columns == df.columns
+    assert [r["text"] for r in out.collect()] == ["x\nD.", None, "y"]
+
+
+def test_pii_is_found_exactly_where_redaction_changes_a_text(spark):
+    texts = ["a.b@c.org", "10.0.0.1x", "from 10.0.0.1", "1234 5678 9012 3456", "+49 123 4567", "nothing", "", None, "1.2.3.4@x.yy 12345678901234567"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(guardrails.has_pii("t").alias("has"), (guardrails.redact("t") != F.col("t")).alias("changed")).collect()
+    assert [r["has"] for r in rows] == [r["changed"] for r in rows]
+    assert rows[0]["has"] and not rows[5]["has"] and rows[7]["has"] is None
+
+
+def test_guardrails_rewrite_each_text_once(spark):
+    df = spark.createDataFrame([], "row_id long, domain string, question string, answer string")
+    plan = guardrails.guardrail_chain(df, {"en": "D."})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"[{guardrails.PII_RULES[0][0]}]") == 1 and "Join" not in plan
+
+
+def test_sample_of_any_size_moves_no_row(spark):
+    df = spark.range(3_000).selectExpr("id * 7 AS row_id", "'t' AS text").repartition(4)
+    order = sorted(range(3_000), key=lambda i: hashlib.md5(f"42:{i * 7}".encode()).hexdigest())
+    for n in (1, 2, 1_500, 2_999, 3_000, 9_999, 0):
+        got = prepare.sample_exact(df, n)
+        assert {r["row_id"] for r in got.collect()} == {i * 7 for i in order[:n]}
+    plan = prepare.sample_exact(df.repartition(1), 1_500)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+
+
+def test_profiles_add_up_and_drift(spark):
+    rows = [("a", "one two.\nthree"), ("a", ""), ("a", None), ("a", "x x x x!"), ("b", "solo")]
+    df = spark.createDataFrame(rows, "role string, text string")
+    whole = monitoring.response_profile(df, "role")
+    parts = monitoring.merge_profiles(
+        monitoring.response_profile(df.limit(2), "role"), monitoring.response_profile(df.exceptAll(df.limit(2)), "role")
+    )
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+    got = {(r["role"], r["statistic"]): r for r in monitoring.profile_summary(whole).collect()}
+    assert len(got) == 10
+    words = got["a", "words"]
+    assert (words["n"], words["mean"], words["p50"]) == (4, 7 / 4, 1.5)
+    assert abs(words["sd"] - statistics.stdev([3, 0, 0, 4])) < 1e-12
+    assert got["a", "sentences"]["mean"] == 0.5 and got["b", "words"]["sd"] is None and got["a", "lines"]["p50"] is None
+    live = monitoring.response_profile(spark.createDataFrame([("a", "w " * 9), ("c", "new")], df.schema), "role")
+    drift = {(r["role"], r["statistic"]): r for r in monitoring.response_drift(whole, live).collect()}
+    row = drift["a", "words"]
+    assert abs(row["z"] - (9 - 7 / 4) / statistics.stdev([3, 0, 0, 4])) < 1e-12 and row["p95"] == 9
+    assert drift["c", "words"]["z"] is None and drift["c", "words"]["baseline_mean"] is None
+
+
+def test_flag_rates_by_rule_and_user_questions(spark):
+    events = spark.createDataFrame([(0, ["a", "a"]), (1, ["a", "b"]), (2, []), (30_000, ["b"]), (30_001, None)], "s long, flags array<string>")
+    events = events.withColumn("ts", F.timestamp_seconds("s"))
+    got = [(r["rule"], r["n"], r["n_flagged"]) for r in monitoring.flag_rate_by_rule(events, F.col("flags")).orderBy("period", "rule").collect()]
+    assert got == [("a", 3, 2), ("b", 3, 1), ("b", 2, 1)]
+    turns = spark.createDataFrame(
+        [(1, "system", "s"), (1, "user", "Q "), (1, "assistant", "a"), (2, "user", "q"), (2, "user", "q"), (2, "user", "r")],
+        "conv_id long, role string, text string",
+    )
+    top = monitoring.top_questions(monitoring.user_questions(turns), "domain", k=1).collect()
+    assert sorted((r["domain"], r["key"], r["n"]) for r in top) == [("guided", "q", 1), ("open", "q", 2)]
+
+
+def test_rewriting_a_domain_leaves_the_others(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "domain string, x int")
+    writers.write_stage(df, str(tmp_path), "raw")
+    writers.write_stage(df.where("domain = 'b'").withColumn("x", F.lit(9)), str(tmp_path), "raw")
+    got = readers.read_stage(spark, str(tmp_path), "raw").select("domain", "x").collect()
+    assert {tuple(r) for r in got} == {("a", 1), ("b", 9), (None, 3)}
+    assert readers.read_stage(spark, str(tmp_path), "raw", domain="b").count() == 1
