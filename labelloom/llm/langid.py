@@ -17,8 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from labelloom.llm.common import bounded_sample, slices
+from labelloom.llm.common import unit_hash, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -162,10 +163,12 @@ def fit_language_model(
     if not counts:
         return train([], [])
     each = max(1, sample_rows // len(counts))
-    parts = [bounded_sample(usable.where(F.col("l") == l), n, each, "t") for l, n in sorted(counts.items())]
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionByName(part)
+    enough = each + 6 * each**0.5 + 20  # nearly always, so that few rows are ranked
+    shares = F.create_map(*[F.lit(x) for l, n in sorted(counts.items()) for x in (l, min(1.0, enough / n))])
+    chance = unit_hash("t", seed=42)
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("chance", "t"))
+    likely = usable.withColumn("chance", chance).where(F.col("chance") < shares[F.col("l")])
+    sample = likely.withColumn("rank", rank).where(F.col("rank") <= each).select("t", "l")
     rows = sample.toPandas().sort_values(["l", "t"])
     return train(rows["t"].tolist(), rows["l"].tolist())
 

@@ -34,8 +34,9 @@ _LIC = "licen[sc]e"
 _V = r"(?: v(?:ersion)?)?"
 _LATER = "(?: or (?:any )?later(?: version)?)?"
 
-# label; keyword that stands in every match of name and mention; name; tag words; mention.
-FAMILIES: tuple[tuple[str, str, str, str, str], ...] = (
+# label; keyword that stands in every match of name and mention; name; tag words
+# (none for texts that no identifier names); mention.
+FAMILIES: tuple[tuple[str, str, str, str | None, str], ...] = (
     ("gpl-2.0", "gnu", rf"gnu general public {_LIC}{_V} 2(?: 0)?{_LATER}", "gpl 2 0(?: only| or later)?", r"gnu gpl ?v?2"),
     ("gpl-3.0", "gnu", rf"gnu general public {_LIC}{_V} 3(?: 0)?{_LATER}", "gpl 3 0(?: only| or later)?", r"gnu gpl ?v?3"),
     ("gpl", "gnu", rf"(?:the )?gnu general public {_LIC}", "gpl", "gnu gpl"),
@@ -47,13 +48,15 @@ FAMILIES: tuple[tuple[str, str, str, str, str], ...] = (
     ("apache-1.1", "apache", rf"apache software {_LIC}(?:{_V} 1 [01])?", "apache 1 [01]", "apache 1 [01]"),
     ("apache", "apache", rf"apache {_LIC}", "apache", "apache licensed"),
     ("mit", "mit licen", rf"mit {_LIC}", "mit", "mit licensed"),
-    ("mit-text", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", "mit 0", "permission is hereby granted"),
+    ("mit-text", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", None, "permission is hereby granted"),
+    ("mit-0", "mit 0", rf"mit 0(?: {_LIC})?", "mit 0", "mit 0 licensed"),
     ("x11", "x11", rf"x11 {_LIC}", "x11", "mit x11"),
     ("bsd-2-clause", "bsd", rf"(?:simplified|freebsd|2 clause) bsd {_LIC}|bsd 2 clause(?: {_LIC})?", "bsd 2 clause(?: patent)?", "bsd 2"),
     ("bsd-3-clause", "bsd", rf"(?:new|revised|modified|3 clause) bsd {_LIC}|bsd 3 clause(?: {_LIC})?", "bsd 3 clause(?: clear)?", "bsd 3"),
     ("bsd-4-clause", "bsd", rf"(?:original|old|4 clause) bsd {_LIC}|bsd 4 clause(?: {_LIC})?", "bsd 4 clause", "bsd 4"),
     ("bsd", "bsd", rf"(?:berkeley software distribution|bsd) {_LIC}", "bsd", "bsd (?:style|licensed)"),
-    ("bsd-text", "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted", "0bsd", "redistribution and use"),
+    ("bsd-text", "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted", None, "redistribution and use"),
+    ("0bsd", "bsd", rf"(?:zero clause bsd|0bsd)(?: {_LIC})?", "0bsd", "0bsd licensed"),
     ("isc", "isc licen", rf"isc {_LIC}", "isc", "isc licensed"),
     ("mpl-1.1", "mozilla", rf"mozilla public {_LIC}{_V} 1 [01]", "mpl 1 [01]", "mozilla public 1 [01]"),
     ("mpl-2.0", "mozilla", rf"mozilla public {_LIC}{_V} 2(?: 0)?", "mpl 2 0", "mozilla public 2 0"),
@@ -74,7 +77,7 @@ FAMILIES: tuple[tuple[str, str, str, str, str], ...] = (
     ("cc-by-nd", "cc by nd", rf"cc by nd(?: [1-4] [05])?(?: {_LIC})?", "cc by nd", "cc by nd"),
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?", "cc0 1 0", "cc0"),
     ("creative-commons", "creative commons", rf"creative commons {_LIC}", "cc", "creative commons"),
-    ("public-domain", "public domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "unlicense", "public domain"),
+    ("public-domain", "public domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", None, "public domain"),
     ("unlicense", "unlicense", "the unlicense", "unlicense", "unlicense"),
     ("wtfpl", "wtfpl", rf"do what the \w+ you want to public {_LIC}|wtfpl {_LIC}", "wtfpl", "wtfpl"),
     ("zlib", "zlib", rf"zlib(?: libpng)? {_LIC}", "zlib(?: acknowledgement)?", "zlib licensed"),
@@ -112,14 +115,15 @@ def _whole_words(body: str) -> str:
     return rf"(?<![^ ])(?:{body})(?![^ ])"
 
 
-def rules(families: Sequence[tuple[str, str, str, str, str]] = FAMILIES) -> list[Rule]:
-    """The families' rules in order: a tag, two kinds of grant, the name and a
-    mention each."""
+def rules(families: Sequence[tuple[str, str, str, str | None, str]] = FAMILIES) -> list[Rule]:
+    """The families' rules in order: a tag if there is one, two kinds of grant,
+    the name and a mention each."""
     made = []
     for label, family_keyword, name, tag, mention in families:
         keyword = NAME_KEYWORDS.get(label, family_keyword)
+        if tag is not None:
+            made.append(Rule(label, "spdx", _whole_words(rf"spdx {_LIC} identifier (?:{tag})"), TAG))
         made += [
-            Rule(label, "spdx", _whole_words(rf"spdx {_LIC} identifier (?:{tag})"), TAG),
             Rule(
                 label,
                 keyword,

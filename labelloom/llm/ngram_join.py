@@ -48,6 +48,7 @@ COSTS = (32, 256, 2_048)  # estimated candidates above which L grows by one
 COLD = 24  # prefixes a shingle may be in and still be joined pair by pair
 BLOCK = 256
 MAX_BROADCAST_SETS = 1_000_000
+_ROW = "__row_number"
 
 
 @dataclass(frozen=True)
@@ -435,9 +436,23 @@ def similar_documents(
 
 
 def keep_one(docs: DataFrame, rule: Similarity | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component. Rows
-    with a null id, and those without words, stay."""
-    groups = similar_documents(docs, rule, id_col, text_col)
-    dropped = groups.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
-    dropped = write_table(dropped, "dropped_ids")
-    return docs.join(broadcast_rows(dropped, dropped.count(), MAX_BROADCAST_SETS), id_col, "left_anti")
+    """One row of ``docs`` for each component: the one with the smallest id, and
+    of rows with equal ids any one; rows with a null id come after all others.
+    Rows without words stay.
+
+    Where ids repeat or are null, the rows get numbers in a table that is
+    written first, and are compared under these.
+    """
+    ids = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    if ids.where((F.col("n") > 1) | F.col(id_col).isNull()).isEmpty():
+        groups = similar_documents(docs, rule, id_col, text_col)
+        dropped = groups.where(F.col("component_id") < F.col(id_col)).select(id_col)
+        dropped = write_table(dropped, "dropped_ids")
+        return docs.join(broadcast_rows(dropped, dropped.count(), MAX_BROADCAST_SETS), id_col, "left_anti")
+    numbered = write_table(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered_rows")
+    groups = similar_documents(numbered, rule, _ROW, text_col).select(_ROW, "component_id")
+    named = groups.join(numbered.select(_ROW, F.col(id_col).alias("own_id")), _ROW)
+    best = F.min(F.struct(F.col("own_id").isNull().alias("last"), "own_id", _ROW))
+    kept = named.groupBy("component_id").agg(best.alias("best")).select(F.col(f"best.{_ROW}").alias("kept"))
+    rest = write_table(named.join(kept, named[_ROW] == kept["kept"], "left_anti").select(_ROW), "dropped_rows")
+    return numbered.join(broadcast_rows(rest, rest.count(), MAX_BROADCAST_SETS), _ROW, "left_anti").drop(_ROW)

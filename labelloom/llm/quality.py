@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import bounded_sample, slices
+from labelloom.llm.common import bounded_sample, slices, unit_hash
 from labelloom.llm.words import find_words
 
 SAMPLE_ROWS = 4_000
@@ -221,14 +221,16 @@ def fit_quality_model(
     label_col: str = "quality",
 ) -> LineField:
     """Train on at most ``sample_rows`` rows of ``labels`` ``(id, label)``, chosen
-    by a hash of the id. Null ids and labels other than 0 and 1 are left out."""
+    by a hash of the id, whatever the layout of the tables. Null ids and labels other than 0 and 1 are left out."""
     usable = labels.select(F.col(id_col), F.col(label_col).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & F.col(id_col).isNotNull()
     )
     rows = usable.count()
     # At most ``sample_rows`` narrow rows: a bounded broadcast.
     sample = bounded_sample(usable, rows, sample_rows, id_col)
-    found = docs.select(id_col, text_col).join(F.broadcast(sample), id_col).limit(sample_rows).toPandas()
+    found = docs.select(id_col, text_col).join(F.broadcast(sample), id_col)
+    # Where ids repeat, a label meets several texts: again the first by a hash.
+    found = found.orderBy(unit_hash(id_col, text_col), id_col, text_col).limit(sample_rows).toPandas()
     found = found.sort_values([id_col, text_col])
     return train(found[text_col].tolist(), found["y"].tolist())
 

@@ -259,4 +259,40 @@ FROM kept JOIN coded USING (row) CROSS JOIN digest
 """
 
 
-ORACLES: dict[str, str] = {"op11_manifest": _MANIFEST, "op12_codes": _codes_sql()}
+def _mix_sql(block_rows: int = mixing.BLOCK_ROWS, seed: int = 42) -> str:
+    """The cycle as a table of slots; the rest is ranks and whole divisions."""
+    names, shares = [*SOURCE_WEIGHTS, None], [*SOURCE_WEIGHTS.values(), OTHER_WEIGHT]
+    cycle, order = sum(shares), mixing.pfair_cycle(shares)
+    turns = [0] * len(shares)
+    slots = []
+    for slot, s in enumerate(order):
+        slots.append(f"({s}, {turns[s]}, {slot})")
+        turns[s] += 1
+    sources = ", ".join(f"({i}, {'NULL' if n is None else repr(n)}, {a})" for i, (n, a) in enumerate(zip(names, shares, strict=True)))
+    return f"""
+WITH sources(s, name, share) AS (VALUES {sources}),
+turns(s, turn, cell) AS (VALUES {", ".join(slots)}),
+ranked AS (
+    SELECT doc_id, source, coalesce(s, {len(shares) - 1}) AS s, row_number() OVER (
+        PARTITION BY coalesce(s, {len(shares) - 1})
+        ORDER BY md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id NULLS FIRST) - 1 AS place
+    FROM documents LEFT JOIN sources ON name = source
+), placed AS (
+    SELECT doc_id, source, name AS mix_source, place, share, place // {block_rows} AS block, ranked.s
+    FROM ranked JOIN sources USING (s)
+), timed AS (
+    SELECT p.*, block // share * {cycle} + cell AS slot FROM placed p JOIN turns t ON t.s = p.s AND t.turn = block % share
+), ends AS (
+    SELECT min(blocks // share * {cycle} + cell) AS first_empty FROM (
+        SELECT s, any_value(share) AS share, (count(place) + {block_rows - 1}) // {block_rows} AS blocks
+        FROM sources LEFT JOIN ranked USING (s) GROUP BY s
+    ) b JOIN turns t ON t.s = b.s AND t.turn = blocks % share
+)
+SELECT doc_id, source, mix_source, CAST(block AS BIGINT) AS block, CAST(block * {cycle} // share AS BIGINT) AS release,
+    CAST(((block + 1) * {cycle} + share - 1) // share AS BIGINT) AS deadline, CAST(slot AS BIGINT) AS slot,
+    row_number() OVER (ORDER BY slot, place) - 1 AS position, slot < first_empty AS on_target
+FROM timed CROSS JOIN ends
+"""
+
+
+ORACLES: dict[str, str] = {"op6_mix": _mix_sql(), "op11_manifest": _MANIFEST, "op12_codes": _codes_sql()}

@@ -31,7 +31,7 @@ RANGES_PER_SHARD = 64
 ROWS_PER_RANGE = 1_000_000
 SAMPLES_PER_RANGE = 64
 OVERFULL = 1.5
-MAX_ROUNDS = 8
+MAX_ROUNDS = 40
 LOWEST = -(1 << 63)
 
 Splitter = tuple[int, int, int]

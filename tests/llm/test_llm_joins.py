@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import oracle
 from labelloom.llm import ann, decontamination, mixing, ngram_join, queries, sharding
 from labelloom.llm.graph import connected_components
 from labelloom.llm.settings import OTHER_WEIGHT, SOURCE_WEIGHTS
@@ -121,6 +122,13 @@ def test_mix_query_equals_plain_stream(spark):
     assert [(r["doc_id"], r["slot"]) for r in got] == plain_mix(rows, SOURCE_WEIGHTS, OTHER_WEIGHT, mixing.BLOCK_ROWS)
 
 
+def test_mix_query_equals_sql(spark):
+    con = oracle.connect(SF)
+    df, sql = queries.op6_mix(spark, SF), queries.ORACLES["op6_mix"]
+    assert oracle.spark_rows(df) == oracle.sql_rows(con, sql)
+    assert oracle.type_mismatches(df, con, sql) == []
+
+
 def test_mix_odd(spark, empty):
     docs = rows_of(spark, [(None, None), (1, "a"), (1, "a"), (2, "")], source=None)
     assert sorted(r["position"] for r in mixing.mix(docs, {"a": 1}).collect()) == [0, 1, 2, 3]
@@ -207,6 +215,14 @@ def test_similar_odd(spark, empty):
     assert {r["doc_id"] for r in ngram_join.keep_one(docs).collect()} == {1, 3}
 
 
+def test_keep_one_with_repeated_and_null_ids(spark):
+    text, other = "one two three four five six", "a b c d e f g"
+    docs = rows_of(spark, [(2, text), (1, text), (None, text), (1, text), (None, text), (None, other), (None, other), (5, ""), (5, ""), (None, None)])
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in ngram_join.keep_one(docs.repartition(3)).collect())
+    assert got == [(0, ""), (0, other), (1, text), (5, ""), (5, "")]
+    assert ngram_join.keep_one(docs).columns == docs.columns
+
+
 # --- neighbours
 
 

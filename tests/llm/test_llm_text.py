@@ -224,6 +224,53 @@ def test_license_keywords_stand_in_every_match(spark):
     assert got == {0: ["wtfpl"], 1: ["bsd"], 2: ["python"], 3: ["odbl"]}
 
 
+IDENTIFIERS = {
+    "0BSD": "0bsd",
+    "AGPL-3.0-only": "agpl",
+    "Apache-1.1": "apache-1.1",
+    "Apache-2.0": "apache-2.0",
+    "Artistic-2.0": "artistic-2.0",
+    "BSD-2-Clause": "bsd-2-clause",
+    "BSD-3-Clause": "bsd-3-clause",
+    "BSD-4-Clause": "bsd-4-clause",
+    "BSL-1.0": "boost",
+    "CC-BY-4.0": "cc-by-4.0",
+    "CC-BY-SA-4.0": "cc-by-sa",
+    "CC0-1.0": "cc0",
+    "CDDL-1.0": "cddl",
+    "EPL-2.0": "epl",
+    "GPL-2.0-only": "gpl-2.0",
+    "GPL-3.0-or-later": "gpl-3.0",
+    "ISC": "isc",
+    "LGPL-2.1-only": "lgpl",
+    "MIT": "mit",
+    "MIT-0": "mit-0",
+    "MPL-2.0": "mpl-2.0",
+    "OFL-1.1": "ofl",
+    "PostgreSQL": "postgresql",
+    "Unlicense": "unlicense",
+    "WTFPL": "wtfpl",
+    "Zlib": "zlib",
+}
+
+
+def test_every_identifier_gives_its_license(spark):
+    names = sorted(IDENTIFIERS)
+    docs = spark.createDataFrame([(i, f"// SPDX-License-Identifier: {n}\nint x;") for i, n in enumerate(names)], "doc_id int, text string")
+    # The phrase "cc by" has a label of its own wherever it stands.
+    got = {names[r["doc_id"]]: [x for x in r["labels"] if x != "cc-by"] for r in licenses.scan_licenses(docs).collect()}
+    assert {n: labels for n, labels in got.items() if labels != [IDENTIFIERS[n]]} == {}
+
+
+def test_samples_do_not_depend_on_layout(spark):
+    from labelloom.llm.common import bounded_sample
+
+    df = spark.range(20_000).withColumnRenamed("id", "k")
+    samples = [sorted(r["k"] for r in bounded_sample(df.repartition(n), 20_000, 500, "k").collect()) for n in (1, 7, 23)]
+    assert len(samples[0]) == 500 and samples[0] == samples[1] == samples[2]
+    assert bounded_sample(df, 20_000, 30_000, "k").count() == 20_000
+
+
 def test_license_query_counts(spark, odd, empty):
     from labelloom.llm.queries import op5_licenses
 
