@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def nth_smallest(df: DataFrame, n: int, id_col: str = "row_id") -> int | None:
     """The ``n``-th smallest value of a unique column, or None if there are no
     more than ``n`` rows: the engine's top-k over the ids alone."""
