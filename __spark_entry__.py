@@ -6,6 +6,7 @@ independently for DuckDB.
 
 from __future__ import annotations
 
+import importlib
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -54,8 +55,10 @@ from labelloom.streaming.landing import land_checked, land_new_files, stream_fil
 from labelloom.streaming.windows import land_closed_windows, windowed_stats  # noqa: E402
 
 try:  # the one optional part of the library
-    from labelloom.llm import queries as llm_queries  # noqa: E402
-except ImportError:
+    llm_queries = importlib.import_module("labelloom.llm.queries")
+except ModuleNotFoundError as missing:
+    if missing.name not in ("labelloom.llm", "labelloom.llm.queries"):
+        raise  # it is there, but broken
     llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +68,7 @@ PARTIAL_VOCABULARY = ("en", "fr", "it")  # lacks de and es, has an unused name
 FIRST_N = 250
 MAX_TOKENS = 64
 LARGE_VALUE = 20
+FEEDBACK_SECONDS = 4 * 3_600
 REWRITTEN = "fr"
 BATCH = 8
 
@@ -640,6 +644,13 @@ def q_flag_rate_by_rule(spark, sf):
     return round6(rates, "rate").withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm"))
 
 
+def q_feedback_rate(spark, sf):
+    """Views play the responses, clicks of the same user the feedback."""
+    kind = F.col("event_type")
+    rates = monitoring.feedback_rate(table_of(spark, sf, "events"), kind == "view", kind == "click", within=FEEDBACK_SECONDS)
+    return round6(rates, "rate").withColumn("period", F.date_format("period", "yyyy-MM-dd"))
+
+
 def q_top_user_questions(spark, sf):
     return monitoring.top_questions(monitoring.user_questions(table_of(spark, sf, "conversations")), "domain")
 
@@ -1091,6 +1102,11 @@ def _preparation_sql() -> dict[str, str]:
                   UNION ALL SELECT period, 'ninety' FROM e WHERE ninety),
             k AS (SELECT period, rule, count(*) AS n_flagged FROM r GROUP BY ALL)
             SELECT period, rule, n, n_flagged, round(n_flagged / n::DOUBLE, 6) AS rate FROM k JOIN totals USING (period)""",
+        "feedback_rate": f"""WITH r AS (SELECT event_id, ts, EXISTS (
+                SELECT 1 FROM events f WHERE f.event_type = 'click' AND f.user_id = e.user_id AND f.ts > e.ts
+                AND f.ts <= e.ts + INTERVAL {FEEDBACK_SECONDS} SECOND) AS followed FROM events e WHERE event_type = 'view')
+            SELECT strftime(ts, '%Y-%m-%d') AS period, count(*) AS n, count(*) FILTER (followed) AS n_followed,
+                round(count(*) FILTER (followed) / count(*)::DOUBLE, 6) AS rate FROM r GROUP BY 1""",
         "top_user_questions": f"""WITH guided AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'system'),
             c AS (SELECT CASE WHEN g.conv_id IS NULL THEN 'open' ELSE 'guided' END AS domain,
                 lower(regexp_replace(regexp_replace(text, '^{_SPACE}', ''), '{_SPACE}$', '')) AS key

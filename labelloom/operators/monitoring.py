@@ -142,6 +142,42 @@ def flag_rate_by_rule(events: DataFrame, flags: Column, ts_col: str = "ts", peri
     return by_rule.join(totals, "period").select("period", "rule", "n", "n_flagged", (F.col("n_flagged") / F.col("n")).alias("rate"))
 
 
+def feedback_rate(
+    events: DataFrame,
+    is_response: Column,
+    is_feedback: Column,
+    user_col: str = "user_id",
+    ts_col: str = "ts",
+    within: int = 3_600,
+    period: str = "1 day",
+) -> DataFrame:
+    """``(period, n, n_followed, rate)``: responses, and those that the same user
+    gave feedback on later, at most ``within`` seconds after.
+
+    A response looks for the first feedback behind it in its own stretch of
+    ``within`` seconds, and takes the first of the next stretch otherwise, so no
+    response meets more than two rows, and a user with very many events is as
+    many groups as there are stretches. Rows without user or time are left out.
+    """
+    length = within * 1_000_000
+    at = F.unix_micros(F.col(ts_col).cast("timestamp")).alias("at")
+    rows = events.select(F.col(user_col).alias("user"), at, is_response.alias("response"), is_feedback.alias("feedback"))
+    rows = rows.where(F.col("user").isNotNull() & F.col("at").isNotNull() & (F.col("response") | F.col("feedback")))
+    rows = rows.withColumn("stretch", F.floor(F.col("at") / length).cast("long"))
+    given = F.when(F.col("feedback"), F.col("at"))
+    behind = Window.partitionBy("user", "stretch").orderBy("at").rangeBetween(1, length)
+    own = rows.withColumn("next", F.min(given).over(behind)).where("response")
+    first = rows.where("feedback").groupBy("user", (F.col("stretch") - 1).alias("stretch")).agg(F.min("at").alias("first"))
+    followed = F.coalesce(F.coalesce("next", "first") - F.col("at") <= length, F.lit(False))
+    start = F.window(F.timestamp_micros("at").cast("timestamp_ntz"), period)["start"]
+    return (
+        own.join(first, ["user", "stretch"], "left")
+        .groupBy(start.alias("period"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(followed).alias("n_followed"))
+        .withColumn("rate", F.col("n_followed") / F.col("n"))
+    )
+
+
 def user_questions(turns: DataFrame) -> DataFrame:
     """The user's turns with the ``domain`` of their conversation: its system
     text decides whether it is ``guided`` or ``open``."""

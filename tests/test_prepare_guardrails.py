@@ -1,6 +1,7 @@
 """Edge cases of the preparation, guardrail and monitoring operators."""
 
 import hashlib
+import random
 import statistics
 
 from pyspark.sql import functions as F
@@ -145,3 +146,15 @@ def test_rewriting_a_domain_leaves_the_others(spark, tmp_path):
     got = readers.read_stage(spark, str(tmp_path), "raw").select("domain", "x").collect()
     assert {tuple(r) for r in got} == {("a", 1), ("b", 9), (None, 3)}
     assert readers.read_stage(spark, str(tmp_path), "raw", domain="b").count() == 1
+
+
+def test_feedback_is_found_in_time(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 1, 1, 2, None]), rng.randrange(4_000), rng.choice(["r", "f", "x"])) for _ in range(500)]
+    events = spark.createDataFrame(rows, "user_id long, s long, kind string").withColumn("ts", F.timestamp_seconds("s"))
+    for within in (1, 7, 100, 10_000):
+        got = monitoring.feedback_rate(events, F.col("kind") == "r", F.col("kind") == "f", within=within).collect()
+        asked = [(u, s) for u, s, k in rows if k == "r" and u is not None]
+        followed = sum(any(k == "f" and v == u and 0 < t - s <= within for v, t, k in rows) for u, s in asked)
+        assert [(r["n"], r["n_followed"]) for r in got] == [(len(asked), followed)]
+    assert monitoring.feedback_rate(events.limit(0), F.col("kind") == "r", F.col("kind") == "f").count() == 0
