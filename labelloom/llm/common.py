@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -50,9 +54,18 @@ def most_frequent(df: DataFrame, count_col: str, bound: int) -> DataFrame:
     return df.where(F.col(count_col) >= F.lit(least)) if least is not None else df.limit(0)
 
 
+def release_memory() -> None:
+    """Give what the allocators hold free back to the system, where they can."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(frames: Iterable[pd.DataFrame], column: str, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
     """Arrow batches cut so that a piece holds about ``chars`` characters of
-    ``column``, however long its texts are; a single text is never cut."""
+    ``column``, however long its texts are; a single text is never cut. After
+    each batch, memory that is free goes back to the system: workers live on
+    from stage to stage, and would keep the most that they have ever used."""
     for frame in frames:
         sizes = np.cumsum([len(t) if t else 0 for t in frame[column]])
         start = 0
@@ -61,3 +74,4 @@ def slices(frames: Iterable[pd.DataFrame], column: str, chars: int = 4_000_000)
             stop = max(start + 1, int(sizes.searchsorted(before + chars, side="right")))
             yield frame.iloc[start:stop]
             start = stop
+        release_memory()

@@ -32,7 +32,7 @@ from labelloom.llm.words import NOT_ALPHANUMERIC, find_words
 from labelloom.operators.sizing import broadcast_rows
 from labelloom.storage import write_table
 
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 750_000
 PASSAGE = 64  # words, for frequencies and for the decomposition
 STRIDE = 24  # windows of three strides are compared
 WINDOW = 72

@@ -38,7 +38,7 @@ from labelloom.llm.words import find_words, mix64, shingle_sets
 from labelloom.operators.sizing import broadcast_if_small, broadcast_rows, collect_longs
 from labelloom.storage import write_table
 
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 500_000
 COUNTED_AT_ONCE = 2_000_000
 LISTED_AT_ONCE = 50_000  # repeated shingles in one row
 FREQUENT = 1_000_000  # shingles with a known frequency, 16 bytes each

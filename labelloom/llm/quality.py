@@ -26,7 +26,7 @@ SAMPLE_ROWS = 4_000
 EPOCHS = 25
 PART = 128  # documents in one pass of the chain
 MAX_CELLS = 20_000  # their lines, filled up to the longest
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 500_000
 
 UPPER = range(0x41, 0x5B)
 LOWER = range(0x61, 0x7B)
