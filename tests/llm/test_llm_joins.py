@@ -314,6 +314,36 @@ def test_leak_query_finds_every_copy(spark):
     assert len(set(got) - want) <= 0.2 * len(want)
 
 
+def test_recall_of_paraphrases(spark):
+    """Items with words left out, replaced and put in, within other texts."""
+    rng = np.random.default_rng(8)
+    items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").collect()
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(300).collect()]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    clean = [t for t in texts if t and len(t.split()) < 400]
+    pool = [w for t in clean for w in t.split()]
+    made, docs = {}, [(i, t) for i, t in enumerate(clean)]
+    for r in items:
+        words = r["text"].split()
+        for left_out, put_in in ((0.0, 0.0), (0.1, 0.1), (0.2, 0.1), (0.25, 0.2)):
+            own = []
+            for w in words:
+                if rng.random() >= left_out:
+                    own.append(w)
+                if rng.random() < put_in:
+                    own.append(pool[rng.integers(len(pool))])
+            doc = 10_000 + len(made)
+            around = clean[rng.integers(len(clean))].split()
+            at = rng.integers(len(around) + 1)
+            made[doc] = (r["item_id"], left_out)
+            docs.append((doc, " ".join(around[:at] + own + around[at:])))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(table, bench).collect()}
+    hit = {doc: (doc, item) in found for doc, (item, _) in made.items()}
+    assert all(hit[d] for d, (_, share) in made.items() if share == 0)
+    assert sum(hit.values()) / len(hit) >= 0.9
+
+
 def test_leaks_in_paraphrases_and_odd_rows(spark, empty):
     rng = np.random.default_rng(6)
     word = lambda k: f"n{k}"
