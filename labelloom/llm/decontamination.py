@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import slices
+from labelloom.llm.common import release_memory, slices
 from labelloom.llm.words import NOT_ALPHANUMERIC, find_words
 from labelloom.operators.sizing import broadcast_rows
 from labelloom.storage import write_table
@@ -225,6 +225,7 @@ def _product(positions: DataFrame, sketch: np.ndarray, weights: np.ndarray) -> n
                 order = np.argsort(word, kind="stable")
                 used, starts = np.unique(word[order], return_index=True)
                 total[used] += weights[used, None] * _sums(latent, each[order], starts)
+            release_memory()
         for block in range(0, height, SENT_ROWS):
             part = total[block : block + SENT_ROWS]
             if part.any():
@@ -314,6 +315,7 @@ def candidates(
                         "cosine": cosine,
                     }
                 )
+            release_memory()
 
     return positions.mapInPandas(run, f"id {id_type}, start long, item long, cosine double")
 
