@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from labelloom.llm.common import release_memory, slices
 from labelloom.llm.words import NOT_ALPHANUMERIC, find_words
 from labelloom.operators.sizing import broadcast_rows
-from labelloom.storage import write_table
+from labelloom.storage import small_batches, write_table
 
 SLICE_CHARS = 750_000
 PASSAGE = 64  # words, for frequencies and for the decomposition
@@ -121,13 +121,14 @@ def word_frequencies(docs: DataFrame, bench: Benchmark, text_col: str) -> tuple[
         yield pd.DataFrame({"word": [-1, *found.tolist()], "n": [passages, *met[found].tolist()]})
 
     # One row per word of the benchmark.
-    rows = (
-        docs.select(text_col)
-        .mapInPandas(run, "word long, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
+    with small_batches(docs.sparkSession):
+        rows = (
+            docs.select(text_col)
+            .mapInPandas(run, "word long, n long")
+            .groupBy("word")
+            .agg(F.sum("n").alias("n"))
+            .toPandas()
+        )
     met = np.zeros(len(vocabulary))
     words = rows[rows["word"] >= 0]
     met[words["word"]] = words["n"]
@@ -238,7 +239,9 @@ def _product(positions: DataFrame, sketch: np.ndarray, weights: np.ndarray) -> n
     # A row per block of words and task, then a row per block.
     parts = positions.select("place", "word").mapInPandas(run, schema).groupBy("block").applyInPandas(add, schema)
     result = np.zeros((height, width))
-    for block, values in parts.toPandas().itertuples(index=False):
+    with small_batches(positions.sparkSession):
+        rows = parts.toPandas()
+    for block, values in rows.itertuples(index=False):
         part = np.asarray(values).reshape(-1, width)
         result[block : block + len(part)] = part
     return result

@@ -18,7 +18,8 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 _byte_values = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_powers: dict[str, np.ndarray] = {}
+PIECE = 1 << 15  # bytes hashed at once, which fit a processor's cache
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -29,14 +30,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse, at least ``n`` of them."""
-    if "up" not in _powers or len(_powers["up"]) < n:
-        size = max(n, 1 << 16)
-        for name, base in (("up", MULTIPLIER), ("down", INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["up"], _powers["down"]
+    """Powers of the multiplier and of its inverse, at least ``n`` of them. Only
+    those for a usual piece are kept: workers live on from stage to stage."""
+    if _powers and n <= len(_powers[0][0]):
+        return _powers[0]
+    size = max(n, PIECE + 1)
+    both = np.full((2, size), [[MULTIPLIER], [INVERSE]], dtype=np.uint64)
+    both[:, 0] = 1
+    up, down = np.multiply.accumulate(both, axis=1)
+    if size == PIECE + 1:
+        _powers.append((up, down))
+    return up, down
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of each word, in pieces of whole words. It does not depend on
+    where the word stands, nor on the pieces."""
+    hashes = np.empty(len(start), dtype=np.uint64)
+    at = 0
+    while at < len(start):
+        low = start[at]
+        stop = max(at + 1, int(np.searchsorted(end, low + PIECE, side="right")))
+        piece, s, e = data[low : end[stop - 1]], start[at:stop] - low, end[at:stop] - low
+        up, down = powers(len(piece) + 1)
+        total = np.zeros(len(piece) + 1, dtype=np.uint64)
+        np.cumsum(_byte_values[piece] * up[: len(piece)], out=total[1:])
+        hashes[at:stop] = mix64((total[e] - total[s]) * down[s])
+        at = stop
+    return hashes
 
 
 @dataclass
@@ -65,11 +86,8 @@ def find_words(texts: Sequence[str | None], separators: bytes = WHITE_SPACE, low
     inside = np.concatenate([[False], ~is_separator[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[0::2], edges[1::2]
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_values[data] * up[: len(data)], out=total[1:])
-    hashes = mix64((total[end] - total[start]) * down[start])
-    text = np.searchsorted(text_start, start, side="right") - 1
+    hashes = _hashes(data, start, end)
+    text = np.repeat(np.arange(len(raw)), np.diff(np.searchsorted(start, text_start)))
     return Words(data, text_start, start, end, text, hashes)
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 _made: list[str] = []  # scratch folders of this process
 
@@ -59,9 +63,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Actions in here hand rows to Python in Arrow batches of ``BATCH_BYTES``
+    or the session's bound, if that is less. Without it a batch is 10,000 rows
+    whatever their length, held by the executor and the worker several times."""
+    before = spark.conf.get(BATCH_CONF, None)
+    set_by_session = before is not None and before.isdigit()
+    spark.conf.set(BATCH_CONF, str(min(BATCH_BYTES, int(before)) if set_by_session and int(before) > 0 else BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_CONF)
+        else:
+            spark.conf.set(BATCH_CONF, before)
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """The same for a table with one row per input row: written as parquet, so
     that later reads are columnar and know its size."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

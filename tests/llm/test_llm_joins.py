@@ -13,6 +13,7 @@ import oracle
 from labelloom.llm import ann, decontamination, mixing, ngram_join, queries, sharding
 from labelloom.llm.graph import connected_components
 from labelloom.llm.settings import OTHER_WEIGHT, SOURCE_WEIGHTS
+from labelloom.llm.words import find_words, powers
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, n string"
@@ -393,6 +394,16 @@ def test_benchmark_items_with_null_ids(spark):
     assert got == {(0, None), (1, 5)}
 
 
+def test_word_hashes_keep_little_memory():
+    """A long text leaves no large tables behind, and its words hash as alone."""
+    texts = ["x" * 400_000, "é " * 100_000, None, "a b"]
+    found = find_words([*texts, "x" * 400_000 + " é"])
+    assert found.hash[0] == found.hash[-2] and len(set(found.hash[1:100_001].tolist())) == 1
+    assert found.hash[1] == found.hash[-1] == find_words(["é"]).hash[0]
+    assert found.counts(5).tolist() == [1, 100_000, 0, 2, 2]
+    assert max(len(p) for p in powers(1)) < 100_000
+
+
 # --- pipeline
 
 
