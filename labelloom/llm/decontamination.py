@@ -46,9 +46,11 @@ MIN_COMMON, MIN_COMMON_WITH_ANSWER, MIN_ANSWER = 0.6, 0.45, 0.8
 ANSWER_WORDS = 8
 MAX_BROADCAST_IDS = 1_000_000
 ITEMS_AT_ONCE = 50_000
-CACHED_ROWS = 1_500  # rows of the latent table summed at once
-WORDS_AT_ONCE = 8_192
+CACHED_GROUPS = 512  # summed at once
+LONG_GROUP = 64  # rows; longer ones are summed by themselves
+WORDS_AT_ONCE, PRODUCT_WORDS = 8_192, 65_536
 SENT_ROWS = 64  # of a task's product in one row
+NO_WORD, MANY_WORDS = -1, -2
 
 
 @dataclass
@@ -82,23 +84,35 @@ class Benchmark:
 
 
 class WordNumbers:
-    """Numbers of the vocabulary's words by hash; -1 for other words."""
+    """Numbers of the vocabulary's words by hash; -1 for other words. A slot for
+    the low bits of a hash holds the one word that can be meant, or says that
+    there are more; only these are searched for."""
 
-    def __init__(self, vocabulary: np.ndarray, bits: int = 22):
+    def __init__(self, vocabulary: np.ndarray):
+        bits = min(22, max(16, len(vocabulary).bit_length() + 6))
         self.vocabulary, self.mask = vocabulary, np.uint64((1 << bits) - 1)
-        self.maybe = np.zeros(1 << bits, dtype=bool)
-        self.maybe[(vocabulary & self.mask).astype(np.int64)] = True
+        self.slots = np.full(1 << bits, NO_WORD, dtype=np.int32)
+        slot, first, count = np.unique(vocabulary & self.mask, return_index=True, return_counts=True)
+        self.slots[slot.astype(np.int64)] = np.where(count == 1, first, MANY_WORDS)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        numbers = np.full(len(hashes), -1, dtype=np.int32)
-        at = np.flatnonzero(self.maybe[(hashes & self.mask).astype(np.int64)])
+        numbers = self.slots[(hashes & self.mask).astype(np.int64)]
+        at = np.flatnonzero(numbers != NO_WORD)
+        place, own = numbers[at], hashes[at]
+        many = np.flatnonzero(place == MANY_WORDS)
+        if len(many):
+            place[many] = np.minimum(np.searchsorted(self.vocabulary, own[many]), len(self.vocabulary) - 1)
         if len(at):
-            place = np.minimum(np.searchsorted(self.vocabulary, hashes[at]), len(self.vocabulary) - 1)
-            hit = self.vocabulary[place] == hashes[at]
-            numbers[at[hit]] = place[hit]
+            numbers[at] = np.where(self.vocabulary[place] == own, place, NO_WORD)
         return numbers
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """As ``np.unique``, which hashes whole numbers; sorting takes less time."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def word_frequencies(docs: DataFrame, bench: Benchmark, text_col: str) -> tuple[int, np.ndarray]:
     """The number of passages of all texts, and in how many each word stands."""
     vocabulary = bench.vocabulary
@@ -115,7 +129,7 @@ def word_frequencies(docs: DataFrame, bench: Benchmark, text_col: str) -> tuple[
             passage = first_passage[words.text] + place // PASSAGE
             number = numbers.find(words.hash)
             inside = number >= 0
-            met += np.bincount(np.unique(passage[inside] * size + number[inside]) % size, minlength=size)
+            met += np.bincount(_distinct(passage[inside] * size + number[inside]) % size, minlength=size)
             passages += int(per_text.sum())
         found = np.flatnonzero(met)
         yield pd.DataFrame({"word": [-1, *found.tolist()], "n": [passages, *met[found].tolist()]})
@@ -194,19 +208,43 @@ def _runs(starts: np.ndarray, total: int, size: int) -> Iterator[tuple[int, int]
         at = end
 
 
+def latent_table(weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A row per word, one after the other in memory, which those of a
+    decomposition's factors are not."""
+    return np.ascontiguousarray(weights[:, None] * basis, dtype=np.float32)
+
+
 def _sums(table: np.ndarray, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The sum of the ``table``'s ``rows`` for each group that begins at
-    ``first``, some that fit a processor's cache at a time."""
-    out = np.empty((len(first), table.shape[1]), dtype=table.dtype)
-    for s, e in _runs(first, len(rows), CACHED_ROWS):
-        a, b = first[s], first[e] if e < len(first) else len(rows)
-        np.add.reduceat(table.take(rows[a:b], axis=0), first[s:e] - a, axis=0, out=out[s:e])
+    ``first``. Groups are taken some at a time, the longest first, so that their
+    k-th rows are added at once and stay in a processor's cache. The table must
+    lie row by row: ``take`` copies any other one as a whole in every call."""
+    sizes, width = np.diff(first, append=len(rows)), table.shape[1]
+    out = np.empty((len(first), width), dtype=table.dtype)
+    buffers = np.empty((2, min(CACHED_GROUPS, len(first)), width), dtype=table.dtype)
+    for s in range(0, len(first), CACHED_GROUPS):
+        order = s + np.argsort(-sizes[s : s + CACHED_GROUPS], kind="stable")
+        starts, size = first[order], sizes[order]
+        short = int(np.searchsorted(-size, -LONG_GROUP))
+        for group, a, n in zip(order[:short].tolist(), starts.tolist(), size.tolist(), strict=False):
+            out[group] = table.take(rows[a : a + n], axis=0).sum(axis=0)
+        order, starts, size = order[short:], starts[short:], size[short:]
+        if not len(order):
+            continue
+        total, more = buffers[0, : len(order)], buffers[1]
+        table.take(rows[starts], axis=0, out=total, mode="clip")
+        # How many groups have a k-th row.
+        longer = np.searchsorted(-size, -np.arange(1, size[0]))
+        for k, n in enumerate(longer.tolist(), 1):
+            table.take(rows[starts[:n] + k], axis=0, out=more[:n], mode="clip")
+            total[:n] += more[:n]
+        out[order] = total
     return out
 
 
 def _product(positions: DataFrame, sketch: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """``A' A S`` for the passages' matrix ``A`` and a sketch ``S`` over words."""
-    weighted = (weights[:, None] * sketch).astype(np.float32)
+    weighted = latent_table(weights, sketch)
     sent = positions.sparkSession.sparkContext.broadcast(weighted)
     height, width = sketch.shape
 
@@ -217,16 +255,19 @@ def _product(positions: DataFrame, sketch: np.ndarray, weights: np.ndarray) -> n
             if not len(frame):
                 continue
             words, firsts, _, _ = _cells(frame, PASSAGE)
-            for s, e in _runs(firsts, len(words), WORDS_AT_ONCE):
+            for s, e in _runs(firsts, len(words), PRODUCT_WORDS):
                 a, b = firsts[s], firsts[e] if e < len(firsts) else len(words)
                 word, first = words[a:b], firsts[s:e] - a
                 latent = _sums(own, word, first)
                 # Back to words: for each, the passages that it stands in.
                 each = np.repeat(np.arange(len(first)), np.diff([*first, len(word)]))
                 order = np.argsort(word, kind="stable")
-                used, starts = np.unique(word[order], return_index=True)
-                total[used] += weights[used, None] * _sums(latent, each[order], starts)
+                sorted_words = word[order]
+                starts = np.flatnonzero(np.concatenate([[True], sorted_words[1:] != sorted_words[:-1]]))
+                used = sorted_words[starts]
+                total[used] += _sums(latent, each[order], starts)
             release_memory()
+        total *= weights[:, None]
         for block in range(0, height, SENT_ROWS):
             part = total[block : block + SENT_ROWS]
             if part.any():
@@ -279,7 +320,7 @@ def candidates(
     """``(id, start, item, cosine)``: windows whose cosine with an item in the
     latent space is ``min_cosine`` or more. Windows of ``WINDOW`` words begin
     every ``STRIDE`` words."""
-    latent = (weights[:, None] * basis).astype(np.float32)
+    latent = latent_table(weights, basis)
     items = np.stack([count.astype(np.float32) @ latent[word] for word, count in bench.vectors])
     items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-12)
     sent = positions.sparkSession.sparkContext.broadcast((latent, items))

@@ -394,6 +394,29 @@ def test_benchmark_items_with_null_ids(spark):
     assert got == {(0, None), (1, 5)}
 
 
+def test_sums_of_latent_rows():
+    rng = np.random.default_rng(3)
+    # Factors of a decomposition lie column by column: each take from such a table copies all of it.
+    table = decontamination.latent_table(np.ones(50), np.asfortranarray(rng.normal(size=(50, 6))))
+    assert table.flags.c_contiguous and table.dtype == np.float32
+    sizes = [1, 3, 900, 2, 64, 65, 1] + rng.integers(1, 9, 1_500).tolist()
+    rows = rng.integers(0, 50, sum(sizes))
+    first = np.cumsum([0, *sizes[:-1]])
+    want = np.add.reduceat(table[rows].astype(float), first, axis=0)
+    assert np.allclose(decontamination._sums(table, rows, first), want, rtol=1e-5, atol=1e-4)
+    assert decontamination._sums(table, rows[:900], np.array([0])).shape == (1, 6)
+
+
+def test_word_numbers_with_shared_slots():
+    low = np.arange(1, 4_000, dtype=np.uint64)
+    vocabulary = np.sort(np.concatenate([low, low[::3] + np.uint64(1 << 40), low[::5] + np.uint64(1 << 50)]))
+    asked = np.concatenate([vocabulary, low + np.uint64(1 << 60), np.array([0, 1 << 40], dtype=np.uint64)])
+    numbers = decontamination.WordNumbers(vocabulary).find(asked)
+    place = {v: i for i, v in enumerate(vocabulary.tolist())}
+    assert numbers.tolist() == [place.get(v, -1) for v in asked.tolist()]
+    assert decontamination.WordNumbers(vocabulary[:0]).find(low).max() == -1
+
+
 def test_word_hashes_keep_little_memory():
     """A long text leaves no large tables behind, and its words hash as alone."""
     texts = ["x" * 400_000, "é " * 100_000, None, "a b"]
