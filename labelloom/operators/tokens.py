@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,10 +19,23 @@ from labelloom.storage import write_table
 TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[\p{P}\p{S}]"
 
 TOKENS_PER_PART = 4_000_000  # of a task that pads
+BYTES_AT_ONCE = 500_000  # for a tokenizer
 
 Tokenizer = Callable[[list[str]], list[list[int]]]
 
 
+def text_slices(texts: pa.Array, size: int = BYTES_AT_ONCE) -> Iterator[list[str | None]]:
+    """The texts in order, about ``size`` bytes at a time; none is cut."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(ends.searchsorted(before + size, side="right")))
+        yield texts[start:stop].to_pylist()
+        start = stop
+
+
 def tokenize(
     df: DataFrame,
     max_length: int | None = 256,
@@ -32,16 +47,19 @@ def tokenize(
     ``labels``; every other column except ``row_id`` and ``split`` is dropped.
 
     Without a ``tokenizer`` the tokens are strings cut out by a built-in
-    pattern in the JVM. A ``tokenizer`` maps a batch of texts to lists of ids
-    and is called once per Arrow batch.
+    pattern in the JVM. A ``tokenizer`` maps a batch of texts to lists of ids;
+    it gets some texts of an Arrow batch at a time, ``BYTES_AT_ONCE`` bytes
+    unless a single one is longer, and their ids leave Python's lists at once.
     """
     if tokenizer is None:
         tokens = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_PATTERN), F.lit(0))
     else:
 
-        @F.pandas_udf("array<int>")
-        def encode(texts: pd.Series) -> pd.Series:
-            return pd.Series(tokenizer(texts.tolist()), index=texts.index, dtype=object)
+        @F.arrow_udf("array<int>")
+        def encode(texts: pa.Array) -> pa.Array:
+            kind = pa.list_(pa.int32())
+            parts = [pa.array(list(tokenizer(some)), kind, from_pandas=True) for some in text_slices(texts)]
+            return pa.concat_arrays([pa.array([], kind), *parts])
 
         tokens = encode(F.col(text_col))
     kept = [c for c in ("row_id", "split") if c in df.columns]

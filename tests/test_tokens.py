@@ -33,6 +33,22 @@ def test_custom_tokenizer_gets_batches(spark):
         assert len(row["attention_mask"]) == len(row["input_ids"])
 
 
+def test_custom_tokenizer_gets_bounded_batches(spark):
+    limit = 500_000
+
+    def sizes(texts):
+        total = sum(len(t.encode()) for t in texts if t is not None)
+        assert total <= limit or len([t for t in texts if t]) == 1, total
+        return [None if t is None else [len(t)] for t in texts]
+
+    lengths = {i: (None if i % 7 == 3 else 600_000 if i == 20 else 1_000 * (i % 40)) for i in range(200)}
+    df = spark.createDataFrame(list(lengths.items()), "row_id long, n int").coalesce(1)
+    df = df.select("row_id", F.expr("repeat('é', n)").alias("text"), F.lit(0).alias("label"))
+    out = tokens.tokenize(df, max_length=None, tokenizer=sizes)
+    got = {r["row_id"]: r["input_ids"] for r in out.select("row_id", "input_ids").collect()}
+    assert got == {i: None if n is None else [n] for i, n in lengths.items()}
+
+
 @pytest.mark.parametrize("side", ["right", "left"])
 @pytest.mark.parametrize("ids", ["dense", "sparse"])
 def test_padding_matches_brute_force(spark, side, ids):
