@@ -46,9 +46,9 @@ MIN_COMMON, MIN_COMMON_WITH_ANSWER, MIN_ANSWER = 0.6, 0.45, 0.8
 ANSWER_WORDS = 8
 MAX_BROADCAST_IDS = 1_000_000
 ITEMS_AT_ONCE = 50_000
-CACHED_GROUPS = 512  # summed at once
-LONG_GROUP = 64  # rows; longer ones are summed by themselves
-WORDS_AT_ONCE, PRODUCT_WORDS = 8_192, 65_536
+CACHED_ROWS, CACHED_GROUPS = 1_500, 512  # rows of the latent table and groups of them summed at once
+SHORT_GROUP = 8  # rows at most
+WORDS_AT_ONCE = 8_192
 SENT_ROWS = 64  # of a task's product in one row
 NO_WORD, MANY_WORDS = -1, -2
 
@@ -216,29 +216,31 @@ def latent_table(weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
 
 def _sums(table: np.ndarray, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The sum of the ``table``'s ``rows`` for each group that begins at
-    ``first``. Groups are taken some at a time, the longest first, so that their
-    k-th rows are added at once and stay in a processor's cache. The table must
-    lie row by row: ``take`` copies any other one as a whole in every call."""
-    sizes, width = np.diff(first, append=len(rows)), table.shape[1]
-    out = np.empty((len(first), width), dtype=table.dtype)
-    buffers = np.empty((2, min(CACHED_GROUPS, len(first)), width), dtype=table.dtype)
-    for s in range(0, len(first), CACHED_GROUPS):
-        order = s + np.argsort(-sizes[s : s + CACHED_GROUPS], kind="stable")
-        starts, size = first[order], sizes[order]
-        short = int(np.searchsorted(-size, -LONG_GROUP))
-        for group, a, n in zip(order[:short].tolist(), starts.tolist(), size.tolist(), strict=False):
-            out[group] = table.take(rows[a : a + n], axis=0).sum(axis=0)
-        order, starts, size = order[short:], starts[short:], size[short:]
-        if not len(order):
-            continue
-        total, more = buffers[0, : len(order)], buffers[1]
-        table.take(rows[starts], axis=0, out=total, mode="clip")
-        # How many groups have a k-th row.
-        longer = np.searchsorted(-size, -np.arange(1, size[0]))
-        for k, n in enumerate(longer.tolist(), 1):
-            table.take(rows[starts[:n] + k], axis=0, out=more[:n], mode="clip")
-            total[:n] += more[:n]
-        out[order] = total
+    ``first``, some that fit a processor's cache at a time. The table must lie
+    row by row: ``take`` copies any other one as a whole in every call. Most
+    groups are short; their k-th rows are added together, in the order in which
+    ``reduceat`` adds so few, the first row last."""
+    sizes = np.diff(first, append=len(rows))
+    out = np.empty((len(first), table.shape[1]), dtype=table.dtype)
+    order = np.argsort(-sizes, kind="stable")
+    long = int(np.searchsorted(-sizes[order], -SHORT_GROUP))
+    at = np.sort(order[:long])
+    if long:
+        ends = np.cumsum(sizes[at])
+        starts = ends - sizes[at]
+        own = rows[np.arange(ends[-1]) + np.repeat(first[at] - starts, sizes[at])]
+        for s, e in _runs(starts, len(own), CACHED_ROWS):
+            a, b = starts[s], ends[e - 1]
+            out[at[s:e]] = np.add.reduceat(table.take(own[a:b], axis=0), starts[s:e] - a, axis=0)
+    for s in range(long, len(order), CACHED_GROUPS):
+        group = order[s : s + CACHED_GROUPS]
+        start, size = first[group], sizes[group]
+        total = np.zeros((len(group), table.shape[1]), dtype=table.dtype)
+        for k in range(1, int(size[0])):
+            n = int(np.searchsorted(-size, -k))
+            total[:n] += table.take(rows[start[:n] + k], axis=0)
+        total += table.take(rows[start], axis=0)
+        out[group] = total
     return out
 
 
@@ -255,7 +257,7 @@ def _product(positions: DataFrame, sketch: np.ndarray, weights: np.ndarray) -> n
             if not len(frame):
                 continue
             words, firsts, _, _ = _cells(frame, PASSAGE)
-            for s, e in _runs(firsts, len(words), PRODUCT_WORDS):
+            for s, e in _runs(firsts, len(words), WORDS_AT_ONCE):
                 a, b = firsts[s], firsts[e] if e < len(firsts) else len(words)
                 word, first = words[a:b], firsts[s:e] - a
                 latent = _sums(own, word, first)
@@ -265,9 +267,8 @@ def _product(positions: DataFrame, sketch: np.ndarray, weights: np.ndarray) -> n
                 sorted_words = word[order]
                 starts = np.flatnonzero(np.concatenate([[True], sorted_words[1:] != sorted_words[:-1]]))
                 used = sorted_words[starts]
-                total[used] += _sums(latent, each[order], starts)
+                total[used] += weights[used, None] * _sums(latent, each[order], starts)
             release_memory()
-        total *= weights[:, None]
         for block in range(0, height, SENT_ROWS):
             part = total[block : block + SENT_ROWS]
             if part.any():
