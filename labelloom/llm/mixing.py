@@ -15,6 +15,7 @@ of the stream is sorted or windowed beyond a small hash bucket of one source.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,8 +49,10 @@ def pfair_cycle(weights: Sequence[int]) -> list[int]:
     return order
 
 
-def _literal(rows: Sequence[Sequence[int]]) -> Column:
-    return F.expr("array(" + ",".join("array(" + ",".join(f"{x}L" for x in row) + ")" for row in rows) + ")")
+def _longs(values: Sequence[int]) -> Column:
+    """An array of longs, as a text that the optimiser turns into one constant.
+    A literal for each value would be copied by every step of planning."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def mix(
@@ -111,23 +114,23 @@ def mix(
     )
 
     slots = [[t for t, s in enumerate(order) if s == i] for i in range(len(shares))]
-    before, seen = [], [0] * len(shares)
-    for s in order:
-        before.append(list(seen))
-        seen[s] += 1
-    share = F.get(F.expr("array(" + ",".join(f"{a}L" for a in shares) + ")"), F.col("mix_s"))
+    begins = [sum(shares[:i]) for i in range(len(shares))]  # of each source's slots, laid end to end
+    # Of each source, the number of its slots before each slot.
+    before = [[bisect_left(own_slots, t) for t in range(cycle)] for own_slots in slots]
+    share = F.get(_longs(shares), F.col("mix_s"))
     ends = []  # the first empty slot of each source
     for i, (rows, a) in enumerate(zip(totals, shares, strict=True)):
         blocks = -(-rows // block_rows)
         ends.append(blocks // a * cycle + slots[i][blocks % a])
+    turn = F.get(_longs(begins), F.col("mix_s")) + F.col("block") % F.col("mix_share")
     placed = (
         ranked.withColumn("mix_share", share)
-        .withColumn("mix_turn", F.get(F.get(_literal(slots), F.col("mix_s")), F.col("block") % F.col("mix_share")))
+        .withColumn("mix_turn", F.get(_longs([t for own_slots in slots for t in own_slots]), turn))
         .withColumn("slot", F.expr("block div mix_share") * cycle + F.col("mix_turn"))
     )
     earlier_rows = F.lit(0).cast("long")
     for i, (rows, a) in enumerate(zip(totals, shares, strict=True)):
-        blocks = F.expr(f"block div mix_share") * a + F.get(F.get(_literal(before), F.col("mix_turn")), F.lit(i))
+        blocks = F.expr(f"block div mix_share") * a + F.get(_longs(before[i]), F.col("mix_turn"))
         earlier_rows = earlier_rows + F.least(F.lit(rows).cast("long"), blocks * block_rows)
     names_col = F.get(F.array(*[F.lit(n) for n in names]), F.col("mix_s"))
     return placed.select(

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import bounded_sample, slices, unit_hash
+from labelloom.llm.common import bounded_sample, release_memory, slices, unit_hash
 from labelloom.llm.words import find_words
 
 SAMPLE_ROWS = 4_000
@@ -171,6 +171,7 @@ def train(
     pieces = [line_features(texts[k : k + 100]) for k in range(0, len(texts), 100)]
     features = np.concatenate([p[0] for p in pieces])
     lines = np.concatenate([p[2] for p in pieces])
+    del pieces  # as large as ``features``
     parts = list(chains(features, lines))
     rng = np.random.default_rng(seed)
     moments = [[np.zeros_like(field.weights), np.zeros_like(field.steps)] for _ in range(2)]
@@ -232,7 +233,11 @@ def fit_quality_model(
     # Where ids repeat, a label meets several texts: again the first by a hash.
     found = found.orderBy(unit_hash(id_col, text_col), id_col, text_col).limit(sample_rows).toPandas()
     found = found.sort_values([id_col, text_col])
-    return train(found[text_col].tolist(), found["y"].tolist())
+    field = train(found[text_col].tolist(), found["y"].tolist())
+    # The driver lives on, and would keep what the sample took.
+    del found
+    release_memory()
+    return field
 
 
 def score_quality(docs: DataFrame, field: LineField, text_col: str = "text") -> DataFrame:

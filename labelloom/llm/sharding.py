@@ -96,12 +96,17 @@ def find_splitters(
         part = ranged.where(F.col("range").isin(list(wanted)))
         again = unit_hash("group_key", "tie_key", "uid", seed=seed + number) < F.col("size") * rate
         drawn = part.where(again).toPandas()
+        # All their rows, with their own sizes for weights: later rounds draw the same.
+        floor = mean / (samples_per_range * number)
+        settled = len(drawn) == sum(r["n"] for r in full) and drawn["size"].min() >= floor
         more = set()
         for name, rowset in drawn.groupby("range"):
             rowset = rowset.sort_values(["group_key", "tie_key", "uid"])
-            weights = np.maximum(rowset["size"].to_numpy(dtype=np.float64), mean / (samples_per_range * number))
+            weights = np.maximum(rowset["size"].to_numpy(dtype=np.float64), floor)
             for i in quantile_keys(rowset["uid"].to_numpy(), weights, wanted[name]):
                 more.add(tuple(int(rowset[c].iloc[i]) for c in ("group_key", "tie_key", "uid")))
+        if settled and more <= set(splitters):
+            break
         splitters = sorted(set(splitters) | more)
     return splitters
 

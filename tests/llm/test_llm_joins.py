@@ -63,6 +63,19 @@ def test_shards_odd(spark, empty):
     assert sharding.shard_documents(empty, 8).count() == 0
 
 
+def test_shards_end_when_no_range_can_be_cut(spark, monkeypatch):
+    # A large row and a small one: by sizes, such a range is cut before its first row.
+    docs = rows_of(spark, [(i, f"{i} " + "x" * (10 if i % 2 else 900)) for i in range(60)])
+    narrow = docs.select(F.col("doc_id").alias("position"), sharding.text_size("text").alias("size"))
+    rounds, range_of = [], sharding.range_of
+    monkeypatch.setattr(sharding, "range_of", lambda s: rounds.append(list(s)) or range_of(s))
+    placed = sharding.assign_shards(
+        narrow, 4, F.col("position"), F.lit(0), F.col("size"), keep=("position",), ranges_per_shard=8
+    )
+    assert len(rounds) < 10
+    assert sorted(r["position"] for r in check_shards(placed, 4)) == list(range(60))
+
+
 def test_write_shards(spark, tmp_path):
     docs = rows_of(spark, [(i, "word " * (i + 1)) for i in range(40)]).select("doc_id", "text")
     sharding.write_shards(docs, sharding.shard_documents(docs, 4), str(tmp_path / "out"))
@@ -130,6 +143,18 @@ def test_mix_query_equals_sql(spark):
     assert oracle.type_mismatches(df, con, sql) == []
 
 
+def test_mix_plan_stays_small(spark, empty):
+    """The cycle's places are a few constants and no literal each, which the
+    driver would hold for every column and step of planning."""
+    fields = "spark.sql.debug.maxToStringFields"
+    spark.conf.set(fields, "1000000")
+    try:
+        plan = mixing.mix(empty, SOURCE_WEIGHTS, OTHER_WEIGHT)._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset(fields)
+    assert len(plan) < 60_000
+
+
 def test_mix_odd(spark, empty):
     docs = rows_of(spark, [(None, None), (1, "a"), (1, "a"), (2, "")], source=None)
     assert sorted(r["position"] for r in mixing.mix(docs, {"a": 1}).collect()) == [0, 1, 2, 3]
