@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +76,15 @@ def slices(frames: Iterable[pd.DataFrame], column: str, chars: int = 4_000_000)
             yield frame.iloc[start:stop]
             start = stop
         release_memory()
+
+
+def text_slices(texts: pa.Array, chars: int) -> Iterator[list[str | None]]:
+    """The same cuts for an Arrow column of texts, which become Python's strings
+    a slice at a time."""
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(sizes.searchsorted(before + chars, side="right")))
+        yield texts.slice(start, stop - start).to_pylist()
+        start = stop

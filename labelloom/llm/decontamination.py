@@ -537,8 +537,9 @@ def find_leaks(
     order of their ids, those with a null id as the last one; rows with equal or null ids are each looked at.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {id_type}, item_id long, cosine double, start_word long, common double, answer double"
-    result = docs.sparkSession.createDataFrame([], schema)
+    types = {id_col: id_type, "item_id": "long", "cosine": "double", "start_word": "long", "common": "double", "answer": "double"}
+    # A frame made of Python's rows would start workers of another kind, which stay.
+    result = docs.sparkSession.range(0).select(*(F.lit(None).cast(t).alias(c) for c, t in types.items()))
     blocks = [F.col(item_col).between(low, high) for low, high in _item_bounds(benchmark, item_col)]
     for block in [*blocks, F.col(item_col).isNull()]:
         part = benchmark.where(block).select(item_col, text_col).collect()

@@ -15,11 +15,11 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import bounded_sample, release_memory, slices, unit_hash
+from labelloom.llm.common import bounded_sample, release_memory, text_slices, unit_hash
 from labelloom.llm.words import find_words
 
 SAMPLE_ROWS = 4_000
@@ -242,17 +242,21 @@ def fit_quality_model(
 
 def score_quality(docs: DataFrame, field: LineField, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` (1 from a half on) added or
-    replaced. Whole texts; a null text counts as an empty one."""
+    replaced. Whole texts; a null text counts as an empty one. Only the texts go
+    to Python and only the scores come back; all other columns stay as they are."""
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     model = pickle.dumps(field)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = pickle.loads(model)
-        for frame in slices(frames, "__text", SLICE_CHARS):
-            score = score_texts(own, frame["__text"].tolist())
-            yield frame.drop(columns="__text").assign(score=score, predicted=(score >= 0.5).astype("int32"))
+        for texts in batches:
+            scores = [score_texts(own, part) for part in text_slices(texts, SLICE_CHARS)]
+            # The worker lives on, and would keep what its last batch took.
+            del texts
+            release_memory()
+            yield pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
 
-    rows = docs.select(*kept, F.col(text_col).alias("__text"))
-    fields = [f for f in rows.schema.fields if f.name != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return rows.mapInPandas(run, f"{schema}, score double, predicted int")
+    # Each text is scored once, also where rows are filtered by what comes of it.
+    score = F.arrow_udf(run, "double").asNondeterministic()
+    scored = docs.select(*kept, score(F.col(text_col)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -53,11 +53,13 @@ def range_of(splitters: Sequence[Splitter]) -> Column:
     """The number of splitters at or below a row's key."""
     bounds = list(splitters)
 
-    @F.pandas_udf("int")
     def place(group: pd.Series, tie: pd.Series, uid: pd.Series) -> pd.Series:
         return pd.Series([bisect_right(bounds, k) for k in zip(group, tie, uid, strict=True)], dtype="int32")
 
-    return place(F.col("group_key"), F.col("tie_key"), F.col("uid"))
+    # Found once a row: a filter on it would have it found again by a second worker
+    # of the task, and executors keep as many workers as were ever busy at once.
+    found = F.pandas_udf(place, "int").asNondeterministic()
+    return found(F.col("group_key"), F.col("tie_key"), F.col("uid"))
 
 
 def find_splitters(
@@ -82,9 +84,10 @@ def find_splitters(
         splitters = sorted({(int(keys[i]), LOWEST, LOWEST) for i in quantile_keys(keys, weights, parts)})
     mean = total / parts
     for number in range(1, MAX_ROUNDS + 1):
-        ranged = keyed.withColumn("range", range_of(splitters))
+        own_range = range_of(splitters)
         full = (
-            ranged.groupBy("range")
+            keyed.withColumn("range", own_range)
+            .groupBy("range")
             .agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
             .where((F.col("bytes") > OVERFULL * mean) & (F.col("n") > 1))
             .collect()
@@ -93,9 +96,9 @@ def find_splitters(
             break
         wanted = {r["range"]: max(2, round(r["bytes"] / mean)) for r in full}
         rate = F.lit(samples_per_range * number / mean)
-        part = ranged.where(F.col("range").isin(list(wanted)))
         again = unit_hash("group_key", "tie_key", "uid", seed=seed + number) < F.col("size") * rate
-        drawn = part.where(again).toPandas()
+        part = keyed.where(again).withColumn("range", own_range)
+        drawn = part.where(F.col("range").isin(list(wanted))).toPandas()
         # All their rows, with their own sizes for weights: later rounds draw the same.
         floor = mean / (samples_per_range * number)
         settled = len(drawn) == sum(r["n"] for r in full) and drawn["size"].min() >= floor

@@ -76,6 +76,14 @@ def test_shards_end_when_no_range_can_be_cut(spark, monkeypatch):
     assert sorted(r["position"] for r in check_shards(placed, 4)) == list(range(60))
 
 
+def test_ranges_are_found_once_a_row(spark):
+    """Twice in a task takes two workers, which the executor keeps."""
+    keyed = rows_of(spark, [(i, "x") for i in range(9)]).selectExpr("doc_id group_key", "0L tie_key", "0L uid")
+    ranged = keyed.withColumn("range", sharding.range_of([(3, 0, 0), (6, 0, 0)])).where("range = 1")
+    assert [r["group_key"] for r in ranged.collect()] == [3, 4, 5]
+    assert ranged._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_write_shards(spark, tmp_path):
     docs = rows_of(spark, [(i, "word " * (i + 1)) for i in range(40)]).select("doc_id", "text")
     sharding.write_shards(docs, sharding.shard_documents(docs, 4), str(tmp_path / "out"))
@@ -396,6 +404,14 @@ def test_leaks_in_paraphrases_and_odd_rows(spark, empty):
     assert decontamination.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_no_leaks_takes_no_rows_made_in_python(spark):
+    """They would start workers of another kind, which executors keep."""
+    docs, bench = rows_of(spark, [(1, "some words")]), spark.range(0).selectExpr("id item_id", "'a' text")
+    none = decontamination.find_leaks(docs, bench)
+    assert none.count() == 0 and dict(none.dtypes)["doc_id"] == "bigint"
+    assert "RDD" not in none._jdf.queryExecution().analyzed().toString()
+
+
 def test_leak_whose_copies_are_a_third_of_all_rows(spark):
     """All words of the item are frequent then; so are those of a passage that
     many different documents share."""

@@ -5,10 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from labelloom.llm import langid, licenses, quality, secret_scan, tokens
+from labelloom.llm.common import text_slices
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, score string, uid string"
@@ -95,6 +97,28 @@ def test_quality_odd(spark, odd, empty):
     assert quality.fit_quality_model(odd, none).prior == 0.5
 
 
+def test_quality_leaves_other_columns_as_they_are(spark):
+    """Only texts go to Python, and each is scored once, also below a filter."""
+    field = quality.train(["good words here.", "BAD!! BAD!!"], [1, 0])
+    # Neither a long beyond 2^53 among nulls nor a map gets through a pandas frame unchanged.
+    rows = [(None, {"a": 1}, "good words here."), (2**53 + 1, None, None), (3, {}, "BAD!!\nBAD!! words")]
+    docs = spark.createDataFrame(rows, "doc_id long, more map<string, long>, text string").coalesce(1)
+    scored = quality.score_quality(docs, field)
+    got = scored.collect()
+    assert [tuple(r)[:3] for r in got] == rows
+    want = quality.score_texts(field, [r[2] for r in rows])
+    assert np.allclose([r["score"] for r in got], want) and [r["predicted"] for r in got] == [int(w >= 0.5) for w in want]
+    plan = scored.where("predicted = 1").select("score")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "InPandas" not in plan
+
+
+def test_text_slices():
+    texts = pa.array(["ab", None, "é" * 9, "", "abc", "d"])
+    assert list(text_slices(texts, 4)) == [["ab", None], ["é" * 9], ["", "abc", "d"]]
+    assert list(text_slices(texts[2:], 4)) == [["é" * 9], ["", "abc", "d"]]
+    assert list(text_slices(texts[:0], 4)) == []
+
+
 # --- secrets
 
 
