@@ -11,12 +11,16 @@ two sets are compared.
    table of bounded size, come last in the order. Only speed depends on it.
 3. Prefix entries are counted by shingle. Those in few sets are joined with
    each other to pairs, which count their matches and are verified.
-4. Shingles in many prefixes would make all pairs of a group. The sets that
-   share them, directly or in a chain, are a family. A family is cut by set
-   size into bands, a band into blocks, and each pair of blocks that can hold
-   similar sets is compared in memory by one task, which gives back the links
-   needed to connect them and numbers of links, not the pairs.
-5. Components over both kinds of links.
+4. Shingles in many prefixes would make all pairs of a group. A set with h of
+   them takes an L that is larger by as many: its partners then share as many
+   others with it as before, and are found over these alone.
+5. Sets whose longest prefix doesn't hold enough others, mostly copies of each
+   other, are families with those that share such shingles, directly or in a
+   chain. A family is cut by set size into bands, a band into blocks, and each
+   pair of blocks that can hold similar sets is compared in memory by one task,
+   which gives back the links needed to connect them and numbers of links, not
+   the pairs.
+6. Components over both kinds of links.
 
 Sets are compared exactly, on 64-bit hashes of their shingles.
 """
@@ -36,7 +40,7 @@ from labelloom.llm.common import most_frequent, slices
 from labelloom.llm.graph import connected_components
 from labelloom.llm.words import find_words, mix64, shingle_sets
 from labelloom.operators.sizing import broadcast_if_small, broadcast_rows, collect_longs
-from labelloom.storage import write_table
+from labelloom.storage import release_shuffles, write_table
 
 SLICE_CHARS = 500_000
 COUNTED_AT_ONCE = 2_000_000
@@ -45,8 +49,11 @@ FREQUENT = 1_000_000  # shingles with a known frequency, 16 bytes each
 MEMBERSHIP_BITS = 24
 LEAST_LEVEL = 2  # one shared shingle happens by chance, as the square of the texts
 COSTS = (32, 256, 2_048)  # estimated candidates above which L grows by one
+MAX_LEVEL = 12  # L of a set with shingles in many prefixes, at most
 COLD = 24  # prefixes a shingle may be in and still be joined pair by pair
-BLOCK = 256
+COMPARED_AT_ONCE = 256
+BLOCK = 1_024  # sets of a block at most
+BLOCK_SHINGLES = 1 << 19  # and their shingles, if there are more than COMPARED_AT_ONCE sets
 MAX_BROADCAST_SETS = 1_000_000
 _ROW = "__row_number"
 
@@ -124,8 +131,8 @@ def level_of(cost: int) -> int:
 
 def prefixes(docs: DataFrame, frequent: dict[str, np.ndarray], rule: Similarity, text_col: str) -> DataFrame:
     """``(set_id, n, level, prefix)``: the first shingles of each document's set
-    in the global order, as many as its level asks for. A task gives each set
-    once, however many copies of it it meets."""
+    in the global order, as many as the highest level asks for. A task gives
+    each set once, however many copies of it it meets."""
     known = docs.sparkSession.sparkContext.broadcast((frequent["shingle"], frequent["met"]))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,7 +172,7 @@ def prefixes(docs: DataFrame, frequent: dict[str, np.ndarray], rule: Similarity,
                 need = rule.need(n)
                 cost = int(own[: n - need + 1].sum())
                 level = min(level_of(cost), need)
-                rows.append((key, n, level, s[: n - need + level].view(np.int64)))
+                rows.append((key, n, level, s[: n - need + min(MAX_LEVEL, need)].view(np.int64)))
             yield pd.DataFrame(rows, columns=["set_id", "n", "level", "prefix"])
 
     schema = "set_id binary, n long, level int, prefix array<long>"
@@ -243,30 +250,78 @@ def verify_block(left: pd.DataFrame, right: pd.DataFrame | None, rule: Similarit
     return edges, links
 
 
-def _cold_pairs(posting: DataFrame, rule: Similarity) -> DataFrame:
-    """Pairs ``(a, b)`` that share enough of their prefixes, and no family."""
-    own = posting.where(F.col("met") <= COLD).select("shingle", "set_id", "n", "level", "entry_level", "pos", "family")
+def verify_parts(left: pd.DataFrame, right: pd.DataFrame | None, rule: Similarity) -> Iterator[tuple[list, dict]]:
+    """The same, a bounded part against a part at a time."""
+    cut = [
+        None if side is None else [side.iloc[i : i + COMPARED_AT_ONCE].reset_index(drop=True) for i in range(0, len(side), COMPARED_AT_ONCE)]
+        for side in (left, right)
+    ]
+    for k, part in enumerate(cut[0]):
+        if right is None:
+            yield verify_block(part, None, rule)
+        for other in cut[0][k + 1 :] if right is None else cut[1]:
+            yield verify_block(part, other, rule)
+
+
+def need_of(rule: Similarity) -> Column:
+    return F.expr(f"({rule.num}L * n + {rule.den - 1}L) div {rule.den}L")
+
+
+def _hot_sets(hot: DataFrame, rule: Similarity) -> DataFrame:
+    """``(uid, n, least, hot, reach)`` of the sets in ``hot``, entries of
+    shingles in many prefixes: how many a set has, and the level at which its
+    prefix holds ``level`` others. Where no level does, ``reach`` is beyond all.
+
+    Two similar sets share at least L of their prefixes at any L that both
+    need. At its ``reach`` a set can share all but ``level`` of them in hot
+    shingles, so it shares ``level`` others with any that reaches as far."""
+    held = hot.groupBy("uid").agg(
+        F.first("n").alias("n"),
+        F.first("level").alias("level"),
+        F.min("shingle").alias("least"),
+        F.count(F.lit(1)).cast("int").alias("hot"),
+        *[F.count_if(F.col("entry_level") <= k).alias(f"hot_{k}") for k in range(1, MAX_LEVEL + 1)],
+    )
+    fits = [
+        F.when((F.lit(k) <= need_of(rule)) & (F.lit(k) - F.col(f"hot_{k}") >= F.col("level")), F.lit(k))
+        for k in range(1, MAX_LEVEL + 1)
+    ]
+    return held.select("uid", "n", "least", "hot", F.coalesce(*fits, F.lit(MAX_LEVEL + 1)).alias("reach"))
+
+
+def _cold_pairs(cold: DataFrame, rule: Similarity) -> DataFrame:
+    """Pairs ``(a, b)`` of uids whose sets share enough of their prefixes, and no family.
+    ``cold`` has entries of shingles in few prefixes, up to each set's reach."""
+    own = cold.select("shingle", "uid", "n", "level", "reach", "hot", "entry_level", "pos", "family")
     a = own.select("shingle", *[F.col(c).alias(f"{c}_a") for c in own.columns[1:]])
     b = own.select("shingle", *[F.col(c).alias(f"{c}_b") for c in own.columns[1:]])
-    level = F.least("level_a", "level_b")
+    reach = F.least("reach_a", "reach_b")
+    # What the set of the lower reach asks for, or both.
+    level = F.greatest(
+        F.when(F.col("reach_a") <= F.col("reach_b"), F.col("level_a")),
+        F.when(F.col("reach_b") <= F.col("reach_a"), F.col("level_b")),
+    )
     return (
         a.join(b, "shingle")
-        .where(F.col("set_id_a") < F.col("set_id_b"))
+        .where(F.col("uid_a") < F.col("uid_b"))
         .where(
             (F.col("n_a") * rule.num <= F.col("n_b") * rule.den) & (F.col("n_b") * rule.num <= F.col("n_a") * rule.den)
         )
-        .where((F.col("entry_level_a") <= level) & (F.col("entry_level_b") <= level))
+        .where((F.col("entry_level_a") <= reach) & (F.col("entry_level_b") <= reach))
         .where(F.col("family_a").isNull() | F.col("family_b").isNull() | (F.col("family_a") != F.col("family_b")))
-        .groupBy(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
+        .groupBy(F.col("uid_a").alias("a"), F.col("uid_b").alias("b"))
         .agg(
             F.count(F.lit(1)).alias("matches"),
             F.min(level).alias("level"),
-            # Behind the last match at most so many more are shared.
+            # Behind the last match, and of hot ones, at most so many more are shared.
             F.least(F.first("n_a") - F.max("pos_a"), F.first("n_b") - F.max("pos_b")).alias("behind"),
+            F.least(F.first("hot_a"), F.first("hot_b")).alias("hot"),
             (F.first("n_a") + F.first("n_b")).alias("sizes"),
         )
         .where(F.col("matches") >= F.col("level"))
-        .where((F.col("matches") + F.col("behind") - 1) * (rule.num + rule.den) >= F.col("sizes") * rule.num)
+        .where(
+            (F.col("matches") + F.col("behind") + F.col("hot") - 1) * (rule.num + rule.den) >= F.col("sizes") * rule.num
+        )
         .select("a", "b")
     )
 
@@ -286,7 +341,11 @@ def _family_links(members: DataFrame, sets: DataFrame, rule: Similarity) -> Data
     width = math.log(rule.den / rule.num) if rule.num < rule.den else 1e-9
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width * (1 + 1e-9)))
     banded = members.withColumn("band", band)
-    counts = banded.groupBy("family", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
+    number = F.count(F.lit(1))
+    by_shingles = F.least(F.ceil(number / F.lit(COMPARED_AT_ONCE)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)))
+    counts = banded.groupBy("family", "band").agg(
+        F.greatest(F.ceil(number / F.lit(BLOCK)), by_shingles).cast("long").alias("blocks")
+    )
     near = counts
     for shift, name in ((-1, "blocks_above"), (1, "blocks_below")):
         near = near.join(
@@ -336,10 +395,10 @@ def _family_links(members: DataFrame, sets: DataFrame, rule: Similarity) -> Data
         alone = bool(frame["same"].iloc[0]) and frame["i"].iloc[0] == frame["j"].iloc[0]
         if not len(left) or (not alone and not len(right)):
             return pd.DataFrame({"a": [], "b": [], "links": []})
-        edges, links = verify_block(left.reset_index(drop=True), None if alone else right.reset_index(drop=True), rule)
-        return pd.DataFrame(
-            [(a, b, 0) for a, b in edges] + [(a, None, n) for a, n in links.items()], columns=["a", "b", "links"]
-        )
+        rows = []
+        for edges, links in verify_parts(left, None if alone else right, rule):
+            rows += [(a, b, 0) for a, b in edges] + [(a, None, n) for a, n in links.items()]
+        return pd.DataFrame(rows, columns=["a", "b", "links"])
 
     return placed.groupBy("family", "lower", "i", "j", "same").applyInPandas(compare, "a binary, b binary, links long")
 
@@ -368,7 +427,8 @@ def similar_documents(
     counted = listed.groupBy("shingle").agg(F.sum("met").alias("met"))
     often = collect_longs(most_frequent(write_table(counted, "frequent_shingles"), "met", frequent), "shingle", "met")
 
-    # One row stands for each class.
+    # One row stands for each class. Its entries are known by its uid, half as
+    # long as the id of the set.
     found = write_table(
         prefixes(docs, often, rule, text_col).withColumn("uid", F.monotonically_increasing_id()), "set_prefixes"
     )
@@ -376,29 +436,42 @@ def similar_documents(
     uids = found.select("set_id", "uid")
     several = uids.groupBy("set_id").agg(F.min("uid").alias("kept"), F.count(F.lit(1)).alias("k")).where("k > 1")
     extra = write_table(uids.join(several, "set_id").where("uid <> kept").select("uid"), "extra_rows")
-    entry_level = F.greatest(
-        F.lit(1), F.col("pos") + 1 - (F.col("n") - F.expr(f"({rule.num}L * n + {rule.den - 1}L) div {rule.den}L"))
-    ).cast("int")
+    entry_level = F.greatest(F.lit(1), F.col("pos") + 1 - (F.col("n") - need_of(rule))).cast("int")
     entries = (
         found.join(broadcast_rows(extra, extra.count(), MAX_BROADCAST_SETS), "uid", "left_anti")
-        .select("set_id", "n", "level", F.posexplode("prefix").alias("pos", "shingle"))
-        .select("shingle", "set_id", "n", "level", "pos", entry_level.alias("entry_level"))
+        .select("uid", "n", "level", F.posexplode("prefix").alias("pos", "shingle"))
+        .select("shingle", "uid", "n", "level", "pos", entry_level.alias("entry_level"))
     )
     met = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     posting = write_table(entries.join(met, "shingle"), "prefix_entries")
+    release_shuffles(docs.sparkSession)
 
-    # Families of sets over shingles in many prefixes.
-    hot = posting.where(F.col("met") > COLD).select("set_id", "n", "shingle")
-    least = hot.groupBy("set_id").agg(F.min("shingle").alias("least"), F.first("n").alias("n"))
+    # Families over shingles in many prefixes, of sets that have few others.
+    hot = posting.where(F.col("met") > COLD)
+    marked = write_table(_hot_sets(hot, rule), "hot_sets")
+    least = marked.where(F.col("reach") > MAX_LEVEL)
     chains = connected_components(
-        hot.join(least.select("set_id", "least"), "set_id").select("least", "shingle").distinct(), "least", "shingle"
+        hot.join(least.select("uid", "least"), "uid").select("least", "shingle").distinct(), "least", "shingle"
     )
     families = write_table(
-        least.join(chains, least["least"] == chains["node"]).select("set_id", "n", F.col("component").alias("family")),
+        least.join(chains, least["least"] == chains["node"])
+        .select("uid", "n", F.col("component").alias("family"))
+        .join(uids, "uid"),
         "set_families",
     )
-    cold = posting.where(F.col("met") <= COLD).join(families.select("set_id", "family"), "set_id", "left")
-    pairs = write_table(_cold_pairs(cold, rule), "candidate_pairs")
+    marks = marked.select("uid", "hot", "reach").join(families.select("uid", "family"), "uid", "left")
+    cold = (
+        posting.where(F.col("met") <= COLD)
+        .join(broadcast_if_small(marks), "uid", "left")
+        .withColumn("reach", F.coalesce("reach", "level"))
+        .withColumn("hot", F.coalesce("hot", F.lit(0)))
+        .where(F.col("entry_level") <= F.col("reach"))
+    )
+    met_twice = write_table(_cold_pairs(cold, rule), "candidate_pairs")
+    one, two = (uids.select(F.col("uid").alias(c), F.col("set_id").alias(f"set_{c}")) for c in "ab")
+    named = met_twice.join(one, "a").join(two, "b").select(F.col("set_a").alias("a"), F.col("set_b").alias("b"))
+    pairs = write_table(named, "named_pairs")
+    release_shuffles(docs.sparkSession)
 
     classes = members.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("id").alias("id"))
     compared = (
@@ -412,6 +485,7 @@ def similar_documents(
         .unionByName(_family_links(families, sets, rule)),
         "set_links",
     )
+    release_shuffles(docs.sparkSession)
 
     edges = links.where(F.col("b").isNotNull()).select("a", "b")
     single = links.where(F.col("links").isNull())  # each a link by itself

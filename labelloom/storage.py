@@ -56,6 +56,13 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files of tables that are written and of
+    plans that nobody holds. Spark does so when the driver collects its garbage,
+    which a job with large shuffles and little work on the driver rarely needs."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a small ``df`` in the shared folder, so that losing an
     executor costs a re-read and not a recomputation."""

@@ -239,6 +239,42 @@ def test_similar_families_equal_all_pairs(spark, monkeypatch, words, num, cold):
     assert got == plain_components(rows, rule)
 
 
+def plain_links(rows, rule):
+    sets = {i: shingles(t, rule.words) for i, t in rows}
+    different = {frozenset(s) for s in sets.values() if s}
+    return {
+        i: sum(s != o and rule.den * len(s & o) >= rule.num * len(s | o) for o in different) if s else 0
+        for i, s in sets.items()
+    }
+
+
+def test_common_passages_make_no_families(spark, monkeypatch):
+    """Texts that share passages of many texts are compared by what else they
+    share; only copies that have nothing else are compared in blocks."""
+    monkeypatch.setattr(ngram_join, "COLD", 4)
+    monkeypatch.setattr(ngram_join, "COMPARED_AT_ONCE", 4, raising=False)
+    placed = []
+    links = ngram_join._family_links
+    monkeypatch.setattr(ngram_join, "_family_links", lambda members, *rest: placed.append(members.count()) or links(members, *rest))
+    rng = np.random.default_rng(4)
+    passages = [[f"p{k}_{j}" for j in range(7)] for k in range(10)]
+    texts = []
+    for k in range(60):
+        own = [f"w{k}_{j}" for j in range(70)]
+        for x in rng.choice(10, 4, replace=False):
+            at = int(rng.integers(0, len(own)))
+            own[at:at] = passages[x]
+        texts += [" ".join(own), edited(rng, own, 0.01)] if k % 4 else [" ".join(own)]
+    groups = [f"g{j}" for j in range(100)]
+    texts += [edited(rng, groups, 0.01) for _ in range(9)]
+    rows = list(enumerate(texts))
+    rule = ngram_join.Similarity(5, 80, 100)
+    got = ngram_join.similar_documents(rows_of(spark, rows), rule, frequent=0).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, rule)
+    assert {r["doc_id"]: r["n_links"] for r in got} == plain_links(rows, rule)
+    assert placed[0] <= 9
+
+
 def test_similar_odd(spark, empty):
     docs = rows_of(spark, [(None, "one two three four five six"), (7, "one two three four five six"), (7, "one two three four five six"), (3, None), (None, "")])
     got = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1, r["n_links"]) for r in ngram_join.similar_documents(docs).collect())
